@@ -98,23 +98,30 @@ def factorise(gram: DataFrame, d: int, k: int | None = None) -> Factors:
 
 
 def _row_map(rows: DataFrame, x: str, mat: np.ndarray, out: str, keep: Sequence[str] | None) -> DataFrame:
+    """``out = x @ mat`` per row, in Arrow batches.  The regions travel as
+    primitive columns both ways; the array is rebuilt on the JVM side."""
     keep = list(keep) if keep is not None else [c for c in rows.columns if c != x]
+    d, k = mat.shape
     fields = [f for f in rows.schema.fields if f.name in keep]
-    schema = T.StructType([*fields, T.StructField(out, T.ArrayType(T.DoubleType(), False), False)])
+    ocols = [f"_{out}{c}" for c in range(k)]
+    schema = T.StructType([*fields, *(T.StructField(c, T.DoubleType(), False) for c in ocols)])
     m = rows.sparkSession.sparkContext.broadcast(np.ascontiguousarray(mat))  # d x k, bounded by d^2
+    xcols = [f"_x{c}" for c in range(d)]
 
     def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         a = m.value
         for pdf in batches:
             if pdf.empty:
                 continue
-            X = np.vstack(pdf[x].to_numpy()).astype(np.float64, copy=False)
-            Y = X @ a
+            Y = pdf[xcols].to_numpy(dtype=np.float64) @ a
             res = pdf[keep].copy()
-            res[out] = list(Y)
+            for c in range(k):
+                res[ocols[c]] = Y[:, c]
             yield res
 
-    return rows.select(*keep, x).mapInPandas(fn, schema=schema)
+    src = rows.select(*keep, *[F.col(x)[c].alias(xcols[c]) for c in range(d)])
+    mapped = src.mapInPandas(fn, schema=schema)
+    return mapped.select(*keep, F.array(*[F.col(c) for c in ocols]).alias(out))
 
 
 def closed_form_cov_ug(spark: SparkSession, f: Factors, c_train: DataFrame) -> DataFrame:

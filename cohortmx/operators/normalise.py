@@ -54,7 +54,7 @@ def zscore_params(m: DataFrame, key, ddof: int = 0) -> DataFrame:
 
 
 def apply_zscore(rows: DataFrame, params: DataFrame, key, x: str = "x", out: str = "z",
-                 broadcast: bool | str = "auto", limit: int = BROADCAST_LIMIT) -> DataFrame:
+                 broadcast: bool | str = "auto", limit: int = BROADCAST_LIMIT, d: int | None = None) -> DataFrame:
     """Join per-subject parameters to the rows and z-score ``x`` (JVM-side).
 
     ``broadcast="auto"`` checkpoints the (small) parameter table, counts it
@@ -62,14 +62,18 @@ def apply_zscore(rows: DataFrame, params: DataFrame, key, x: str = "x", out: str
     otherwise the rows take a shuffle join on the subject key.
     """
     keys = _keys(key)
-    if broadcast == "auto":
+    if broadcast == "auto" or d is None:
         params = materialize(params)
-        d = len(params.select("z_mean").first()[0]) if params.first() is not None else 0
+        head = params.select(F.size("z_mean")).first()
+        d = d or (int(head[0]) if head is not None else 0)
+    if broadcast == "auto":
         broadcast = params.count() * (24 * d + 64) <= limit
     side = F.broadcast(params) if broadcast else params
     joined = rows.join(side, keys)
-    z = F.transform(F.col(x), lambda v, k: F.when(F.col("z_flat")[k], F.lit(0.0))
-                    .otherwise(F.try_divide(v - F.col("z_mean")[k], F.col("z_sd")[k])))
+    # one plain expression per region (no lambda): stays in generated code
+    z = F.array(*[F.when(F.col("z_flat")[k], F.lit(0.0))
+                  .otherwise(F.try_divide(F.col(x)[k] - F.col("z_mean")[k], F.col("z_sd")[k]))
+                  for k in range(d)])
     other = [c for c in rows.columns if c != x]
     return joined.select(*other, z.alias(out))
 
@@ -79,4 +83,4 @@ def zscore(df: DataFrame, key, x: str = "x", d: int | None = None, ddof: int = 0
     """Each subject's columns to mean 0 and variance 1 (ddof 0 default)."""
     keys = _keys(key)
     m = m if m is not None else moments(df, keys, x, d)
-    return apply_zscore(df, zscore_params(m, keys, ddof), keys, x, out=x, broadcast=broadcast)
+    return apply_zscore(df, zscore_params(m, keys, ddof), keys, x, out=x, broadcast=broadcast, d=d)

@@ -10,7 +10,7 @@ from cohortmx.operators.correlate import corr_from_moments
 from cohortmx.sources.text import read_matrix_dir
 
 
-@pytest.mark.parametrize("method", ["pairs", "chunks"])
+@pytest.mark.parametrize("method", ["wide", "pairs", "chunks"])
 def test_corr_and_fisher_match_numpy(spark, main_dir, method):
     d, mats = main_dir
     rows = read_matrix_dir(spark, d).rows
@@ -27,7 +27,7 @@ def test_corr_and_fisher_match_numpy(spark, main_dir, method):
 def test_layout_independence(spark, main_dir, parts):
     d, mats = main_dir
     rows = read_matrix_dir(spark, d).rows.repartition(parts)
-    for method in ("pairs", "chunks"):
+    for method in ("wide", "pairs", "chunks"):
         got = corr_matrix(rows, "subject_id", d=WIDTH, method=method).collect()
         for sid, mat in mats.items():
             assert np.allclose(to_dense(got, sid), np.corrcoef(mat, rowvar=False), atol=1e-12)
@@ -45,7 +45,7 @@ def _edge_rows(spark):
     return spark.createDataFrame(data, "subject_id long, row_idx int, x array<double>"), cases
 
 
-@pytest.mark.parametrize("method", ["pairs", "chunks"])
+@pytest.mark.parametrize("method", ["wide", "pairs", "chunks"])
 def test_edge_cases(spark, method):
     df, _ = _edge_rows(spark)
     got = fisher_z(corr_matrix(df.repartition(3), "subject_id", d=3, method=method)).collect()
@@ -68,12 +68,15 @@ def test_moments_forms_agree(spark, main_dir):
     d, _ = main_dir
     rows = read_matrix_dir(spark, d).rows.repartition(5)
     a = {(r["subject_id"], r["i"], r["j"]): r for r in moments(rows, "subject_id", d=WIDTH, method="pairs").collect()}
-    b = {(r["subject_id"], r["i"], r["j"]): r for r in moments(rows, "subject_id", d=WIDTH, method="chunks").collect()}
-    assert a.keys() == b.keys()
-    for k in a:
-        assert a[k]["n"] == b[k]["n"]
-        for c in ("mean_i", "mean_j", "c_ij", "c_ii", "c_jj"):
-            assert a[k][c] == pytest.approx(b[k][c], rel=1e-12, abs=1e-12)
+    for other in ("chunks", "wide"):
+        b = {(r["subject_id"], r["i"], r["j"]): r
+             for r in moments(rows, "subject_id", d=WIDTH, method=other).collect()}
+        assert a.keys() == b.keys()
+        for k in a:
+            assert a[k]["n"] == b[k]["n"]
+            assert (a[k]["const_i"], a[k]["const_j"]) == (b[k]["const_i"], b[k]["const_j"])
+            for c in ("mean_i", "mean_j", "c_ij", "c_ii", "c_jj"):
+                assert a[k][c] == pytest.approx(b[k][c], rel=1e-12, abs=1e-12)
 
 
 def test_entry_stats_match_numpy(spark, main_dir):
