@@ -11,8 +11,9 @@ from .moments import _keys, mirror, moments
 NAN = float("nan")
 
 
-def corr_from_moments(m: DataFrame, key, keep_n: bool = False) -> DataFrame:
-    """``key..., i, j, r`` over the full d x d grid.
+def corr_from_moments(m: DataFrame, key, keep_n: bool = False, full: bool = True) -> DataFrame:
+    """``key..., i, j, r`` over the full d x d grid (``full=False``: only
+    i <= j, for statistics that are mirrored after aggregating).
 
     Off-diagonal r comes from the population co-moments of the same group;
     the diagonal is 1 for a column with at least two distinct values and NaN
@@ -25,7 +26,7 @@ def corr_from_moments(m: DataFrame, key, keep_n: bool = False) -> DataFrame:
          .otherwise(scalar.safe_corr(c("c_ij"), c("c_ii"), c("c_jj"), c("n"), c("const_i"), c("const_j"))))
     extra = ["n"] if keep_n else []
     up = m.select(*keys, "i", "j", r.alias("r"), *extra)
-    return mirror(up, keys, ["r", *extra])
+    return mirror(up, keys, ["r", *extra]) if full else up
 
 
 def corr_matrix(df: DataFrame, key, x: str = "x", d: int | None = None, method: str = "auto") -> DataFrame:

@@ -11,22 +11,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .moments import _keys
+from .moments import _keys, mirror
 
 
-def entry_stats(table: DataFrame, by=(), value: str = "f", ddof: int = 0, skip_undefined: bool = False) -> DataFrame:
+def entry_stats(table: DataFrame, by=(), value: str = "f", ddof: int = 0, skip_undefined: bool = False,
+                upper: bool = False) -> DataFrame:
     """A2-A5: ``by..., i, j, mean, var, n`` of ``value`` over all subjects.
 
     ``ddof=0`` is the population variance (numpy's default), ``ddof=1`` the
-    sample variance (R's ``var``).
+    sample variance (R's ``var``).  ``upper=True``: the input holds only
+    i <= j (symmetric matrices); the d x d result is mirrored after the
+    aggregation, so each subject contributes d(d+1)/2 rows, not d^2.
     """
     by = _keys(by) if by else []
     v = F.col(value)
     if skip_undefined:
         table = table.where(~F.isnan(v))
     var = F.var_pop(v) if ddof == 0 else F.var_samp(v)
-    return table.groupBy(*by, "i", "j").agg(
+    out = table.groupBy(*by, "i", "j").agg(
         F.avg(v).alias("mean"), var.alias("var"), F.count(F.lit(1)).alias("n"))
+    return mirror(out, by, ["mean", "var", "n"]) if upper else out
 
 
 def subject_dim(table: DataFrame, key: str = "subject_id") -> DataFrame:

@@ -20,6 +20,7 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,9 +58,10 @@ def compute(meas: DataFrame, d: int | None = None, split: str = "rank", n_train:
     spark = meas.sparkSession
     d = d or array_width(meas)
     m = materialize(moments(meas, "subject_id", d=d, method=method))
-    fz = fisher_z(corr_from_moments(m, "subject_id"), undefined=undefined)
+    # upper triangle only: F is symmetric, mirror the d x d results
+    fz = fisher_z(corr_from_moments(m, "subject_id", full=False), undefined=undefined)
 
-    stats = entry_stats(fz, ddof=ddof_var)
+    stats = entry_stats(fz, ddof=ddof_var, upper=True)
     subjects = subject_dim(m)
     if split == "rank":
         splits = split_by_rank(subjects, n_train=n_train)
@@ -70,15 +72,18 @@ def compute(meas: DataFrame, d: int | None = None, split: str = "rank", n_train:
     else:
         raise ValueError("split must be 'rank' or 'threshold'")
     splits = materialize(splits)
-    by_split = entry_stats(attach_split(fz, splits), by="split", ddof=ddof_var)
+    by_split = entry_stats(attach_split(fz, splits), by="split", ddof=ddof_var, upper=True)
 
     cov = zscored_stack_cov(m, "subject_id", splits, ddof_z=ddof_z)
     ctrain = cov.where(F.col("split") == "train").drop("split")
     ctest = cov.where(F.col("split") == "test").drop("split")
     gram = zscored_stack_cov(m, "subject_id", splits, ddof_z=ddof_z, gram=True).where(F.col("split") == "train")
 
-    ctrain_np = mx.to_numpy(ctrain, d)
-    ctest_np = mx.to_numpy(ctest, d)
+    # both d x d covariances in one small collect
+    both = cov.collect()
+    ctrain_np, ctest_np = np.zeros((d, d)), np.zeros((d, d))
+    for r in both:
+        (ctrain_np if r["split"] == "train" else ctest_np)[r["i"], r["j"]] = r["value"]
     f = factor_gram(spark, mx.to_numpy(gram, d), k)
     cug_np = f.cov_ug(ctrain_np)
 
@@ -86,8 +91,6 @@ def compute(meas: DataFrame, d: int | None = None, split: str = "rank", n_train:
     z_train = apply_zscore(train_rows, zscore_params(m, "subject_id", ddof_z), "subject_id", out="x")
     u = f.u_rows(z_train)
 
-    import numpy as np
-
     dist = {"CUG_Ctest": float(np.linalg.norm(cug_np - ctest_np)),
             "Ctrain_Ctest": float(np.linalg.norm(ctrain_np - ctest_np))}
     t = {

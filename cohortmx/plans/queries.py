@@ -25,6 +25,7 @@ from ..operators.moments import moments
 from ..operators.normalise import apply_zscore, column_stats, zscore_params
 from ..operators.summarise import (attach_split, entry_stats, split_by_rank, split_by_threshold,
                                    subject_dim)
+from ..session import materialize
 from ..sources.tables import embeddings_measurement, lineitem_measurement
 
 D = 4          # lineitem regions
@@ -44,22 +45,23 @@ def _li_moments(spark, sf):
     return moments(_li(spark, sf), "subject_id", d=D)
 
 
-def _fisher(spark, sf):
-    return fisher_z(corr_from_moments(_li_moments(spark, sf), "subject_id"))
+def _fisher(spark, sf, full=True):
+    return fisher_z(corr_from_moments(_li_moments(spark, sf), "subject_id", full=full))
 
 
 def _rank_split(table: DataFrame) -> DataFrame:
     return split_by_rank(subject_dim(table))
 
 
-def _covs(spark, sf):
-    m = _li_moments(spark, sf)
-    return zscored_stack_cov(m, "subject_id", _rank_split(m))
+def _prepared(spark, sf):
+    """Moments and the rank split, checkpointed: several steps (driver-side
+    d x d collects, the range partitioning of the subjects) read them."""
+    m = materialize(_li_moments(spark, sf))
+    return m, materialize(_rank_split(m))
 
 
 def _factors(spark, sf, k=None):
-    m = _li_moments(spark, sf)
-    splits = _rank_split(m)
+    m, splits = _prepared(spark, sf)
     gram = zscored_stack_cov(m, "subject_id", splits, gram=True).where(F.col("split") == "train")
     return m, splits, factor_gram(spark, mx.to_numpy(gram, D), k)
 
@@ -80,25 +82,26 @@ def q_fisher_z(spark, sf):
 
 
 def q_fisher_mean_var(spark, sf):
-    s = entry_stats(_fisher(spark, sf), ddof=0)
+    s = entry_stats(_fisher(spark, sf, full=False), ddof=0, upper=True)
     return s.select("i", "j", fixed(F.col("mean"), R9).alias("f_mean"),
                     fixed(F.col("var"), R9).alias("f_var"), F.col("n").alias("n_subjects"))
 
 
 def q_fisher_var_samp(spark, sf):
-    s = entry_stats(_fisher(spark, sf), ddof=1)
+    s = entry_stats(_fisher(spark, sf, full=False), ddof=1, upper=True)
     return s.select("i", "j", fixed(F.col("var"), R9).alias("f_var_samp"))
 
 
 def q_fisher_mean_by_rank_split(spark, sf):
-    f = _fisher(spark, sf)
-    s = entry_stats(attach_split(f, _rank_split(f)), by="split")
+    m, splits = _prepared(spark, sf)
+    f = fisher_z(corr_from_moments(m, "subject_id", full=False))
+    s = entry_stats(attach_split(f, splits), by="split", upper=True)
     return s.select("split", "i", "j", fixed(F.col("mean"), R9).alias("f_mean"), F.col("n").alias("n_subjects"))
 
 
 def q_fisher_mean_by_threshold(spark, sf):
-    f = _fisher(spark, sf)
-    s = entry_stats(attach_split(f, split_by_threshold(subject_dim(f), CUT)), by="split")
+    f = _fisher(spark, sf, full=False)
+    s = entry_stats(attach_split(f, split_by_threshold(subject_dim(f), CUT)), by="split", upper=True)
     return s.select("split", "i", "j", fixed(F.col("mean"), R9).alias("f_mean"), F.col("n").alias("n_subjects"))
 
 
@@ -114,17 +117,19 @@ def q_column_mean_std(spark, sf):
 
 def q_zscore_rows(spark, sf):
     li = _li(spark, sf)
-    z = apply_zscore(li, zscore_params(moments(li, "subject_id", d=D), "subject_id"), "subject_id")
+    z = apply_zscore(li, zscore_params(moments(li, "subject_id", d=D), "subject_id"), "subject_id", d=D)
     return z.select("subject_id", "l_orderkey", "l_linenumber",
                     *[fixed(F.col("z")[k], R9).alias(f"z{k}") for k in range(D)])
 
 
 def q_cov_train_test(spark, sf):
-    return _covs(spark, sf).select("split", "i", "j", _r9("value"))
+    m, splits = _prepared(spark, sf)
+    return zscored_stack_cov(m, "subject_id", splits).select("split", "i", "j", _r9("value"))
 
 
 def _train_test(spark, sf):
-    c = _covs(spark, sf)
+    m, splits = _prepared(spark, sf)
+    c = zscored_stack_cov(m, "subject_id", splits)
     tr = c.where(F.col("split") == "train").drop("split")
     te = c.where(F.col("split") == "test").drop("split")
     return tr, te
@@ -146,8 +151,8 @@ def q_frobenius_train_test(spark, sf):
 
 
 def q_gram_matrix(spark, sf):
-    m = _li_moments(spark, sf)
-    g = zscored_stack_cov(m, "subject_id", _rank_split(m), gram=True)
+    m, splits = _prepared(spark, sf)
+    g = zscored_stack_cov(m, "subject_id", splits, gram=True)
     return g.where(F.col("split") == "train").select("i", "j", fixed(F.col("value"), R6).alias("value"))
 
 
@@ -198,7 +203,7 @@ def q_g_matrix(spark, sf):
 def _train_z_rows(spark, sf, m, splits):
     li = _li(spark, sf)
     train = attach_split(li, splits).where(F.col("split") == "train").drop("split")
-    return apply_zscore(train, zscore_params(m, "subject_id"), "subject_id", out="x")
+    return apply_zscore(train, zscore_params(m, "subject_id"), "subject_id", out="x", d=D)
 
 
 def q_u_rows(spark, sf):
