@@ -137,3 +137,37 @@ def run(spark: SparkSession, input_dir: str, out_dir: str, glob: str = "sub*.txt
     res = compute(src.rows, d=src.width, **kw)
     write(res, out_dir, suffix)
     return res
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m cohortmx.plans.pipeline INPUT_DIR OUT_DIR [options]``.
+
+    The master and cluster settings come from spark-submit / the
+    environment; prints the two distances (K7).
+    """
+    import argparse
+
+    from ..session import builder
+
+    ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
+    ap.add_argument("input_dir")
+    ap.add_argument("out_dir")
+    ap.add_argument("--glob", default="sub*.txt")
+    ap.add_argument("--width", type=int)
+    ap.add_argument("--split", choices=["rank", "threshold"], default="rank")
+    ap.add_argument("--n-train", type=int)
+    ap.add_argument("--cut", type=int)
+    ap.add_argument("--k", type=int)
+    ap.add_argument("--ddof-var", type=int, default=0)
+    ap.add_argument("--ddof-z", type=int, default=0)
+    ap.add_argument("--suffix", default="")
+    a = ap.parse_args(argv)
+    spark = builder("cohortmx-pipeline").getOrCreate()
+    res = run(spark, a.input_dir, a.out_dir, glob=a.glob, width=a.width, suffix=a.suffix, split=a.split,
+              n_train=a.n_train, cut=a.cut, k=a.k, ddof_var=a.ddof_var, ddof_z=a.ddof_z)
+    for pair, value in res.distances.items():
+        print(f"{pair}: {value:.17g}")
+
+
+if __name__ == "__main__":
+    main()

@@ -40,23 +40,30 @@ def _lines(spark: SparkSession, path: str, glob: str, recursive: bool) -> DataFr
 
 
 def read_matrix_dir(spark: SparkSession, path: str, glob: str = "sub*.txt", id_regex: str = r"(\d{6})",
-                    width: int | None = None, id_from: str = "file_name", recursive: bool = False) -> MatrixDir:
+                    width: int | None = None, id_from: str = "file_name", recursive: bool = False,
+                    id_slice: tuple[int, int] | None = None) -> MatrixDir:
     """Read every matching file below ``path``.
 
     ``id_regex``'s first group, matched against the file name (P5), is the
     subject id; ``id_from="path"`` matches the whole path instead.
-    ``width`` (regions per row) defaults to the token count of the first
-    line read.
+    ``id_slice=(3, 9)`` takes the id from fixed positions of the file name
+    instead (P6, Python slice convention).  ``width`` (regions per row)
+    defaults to the token count of the first line read.
     """
     lines = _lines(spark, path, glob, recursive)
     source = F.col("file_name") if id_from == "file_name" else F.col("file_path")
-    sid = F.regexp_extract(source, id_regex, 1)
-    # Trim, split on any run of whitespace; P4: cast, NULL if not a number
+    if id_slice is not None:
+        start, stop = id_slice
+        sid = F.substring(F.col("file_name"), start + 1, stop - start)
+    else:
+        sid = F.regexp_extract(source, id_regex, 1)
+    # Trim, split on any run of whitespace; P4: cast the whole array
+    # (generated code), a token that is not a number becomes NULL
     tokens = F.split(F.regexp_replace("line", r"^\s+|\s+$", ""), r"\s+")
     parsed = lines.select(
         F.when(sid != "", sid).try_cast("long").alias("subject_id"),
         "file_name", F.col("row_idx").cast("int").alias("row_idx"), "line",
-        F.transform(tokens, lambda t: t.try_cast("double")).alias("x"))
+        tokens.try_cast(T.ArrayType(T.DoubleType())).alias("x"))
     if width is None:
         first = parsed.where(F.length(F.trim("line")) > 0).select(F.size("x")).first()
         if first is None:

@@ -73,3 +73,9 @@ def test_splittable_csv_reader_same_values(spark, main_dir):
     got = sorted(tuple(r["x"]) for r in df.collect())
     want = sorted(tuple(row) for m in mats.values() for row in m.tolist())
     assert got == want
+
+
+def test_subject_id_by_fixed_slice(spark, main_dir):
+    d, mats = main_dir
+    src = read_matrix_dir(spark, d, id_slice=(3, 9))
+    assert sorted({r["subject_id"] for r in src.rows.collect()}) == MAIN_IDS
