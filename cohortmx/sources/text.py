@@ -26,17 +26,27 @@ class MatrixDir:
     width: int
 
 
+def whole_files(df: DataFrame) -> DataFrame:
+    """``value`` (a whole file) of a text scan, batch or streaming, with its
+    file name and path."""
+    return df.select("value", F.col("_metadata.file_name").alias("file_name"),
+                     F.col("_metadata.file_path").alias("file_path"))
+
+
+def split_lines(raw: DataFrame) -> DataFrame:
+    """One row per line with its position in the file."""
+    # drop trailing whitespace (a final newline would give a phantom empty
+    # row), then split on LF or CRLF
+    content = F.regexp_replace("value", r"\s+$", "")
+    return raw.select("file_name", "file_path",
+                      F.posexplode(F.split(content, r"\r?\n")).alias("row_idx", "line"))
+
+
 def _lines(spark: SparkSession, path: str, glob: str, recursive: bool) -> DataFrame:
     reader = spark.read.option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    raw = reader.text(path, wholetext=True).select(
-        "value", F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_path").alias("file_path"))
-    # Drop trailing whitespace (a final newline would give a phantom
-    # empty row), then split on LF or CRLF.
-    content = F.regexp_replace("value", r"\s+$", "")
-    return raw.select("file_name", "file_path",
-                      F.posexplode(F.split(content, r"\r?\n")).alias("row_idx", "line"))
+    return split_lines(whole_files(reader.text(path, wholetext=True)))
 
 
 def read_matrix_dir(spark: SparkSession, path: str, glob: str = "sub*.txt", id_regex: str = r"(\d{6})",
@@ -50,7 +60,14 @@ def read_matrix_dir(spark: SparkSession, path: str, glob: str = "sub*.txt", id_r
     instead (P6, Python slice convention).  ``width`` (regions per row)
     defaults to the token count of the first line read.
     """
-    lines = _lines(spark, path, glob, recursive)
+    return parse_lines(_lines(spark, path, glob, recursive), path, glob, width, id_regex, id_from, id_slice)
+
+
+def parse_lines(lines: DataFrame, path: str = "", glob: str = "", width: int | None = None,
+                id_regex: str = r"(\d{6})", id_from: str = "file_name",
+                id_slice: tuple[int, int] | None = None) -> MatrixDir:
+    """P3-P6 on :func:`split_lines` output; ``width`` is required for a
+    streaming input (no first row to look at)."""
     source = F.col("file_name") if id_from == "file_name" else F.col("file_path")
     if id_slice is not None:
         start, stop = id_slice
