@@ -67,10 +67,21 @@ def array_width(df: DataFrame, x: str = "x") -> int:
     return int(row["d"])
 
 
-def moments(df: DataFrame, key, x: str = "x", d: int | None = None, method: str = "auto") -> DataFrame:
-    """Long moments table (see module doc) of ``x`` grouped by ``key``."""
+def moments(df: DataFrame, key, x: str = "x", d: int | None = None, method: str = "auto",
+            salts: int | None = None) -> DataFrame:
+    """Long moments table (see module doc) of ``x`` grouped by ``key``.
+
+    ``salts`` (chunk form only): first hash-partition the rows by ``(key,
+    salt)`` with ``salts`` salt values, so each key forms at most ``salts``
+    long runs even when the input layout scatters every key over every
+    partition; a hot key is spread over ``salts`` tasks.  Leave it unset
+    when rows of a key already sit together (one file per subject).
+    """
     keys = _keys(key)
     d = d or array_width(df, x)
+    if salts:
+        salt = F.pmod(F.xxhash64(F.col(x)), F.lit(int(salts)))
+        df = df.repartition(*[F.col(k) for k in keys], salt)
     if method == "auto":
         method = "wide" if d <= WIDE_MAX_D else "chunks"
     if method == "wide":
