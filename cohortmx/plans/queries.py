@@ -25,7 +25,9 @@ from ..operators.moments import moments
 from ..operators.normalise import apply_zscore, column_stats, zscore_params
 from ..operators.summarise import (attach_split, entry_stats, split_by_rank, split_by_threshold,
                                    subject_dim)
-from ..session import materialize
+from ..session import materialize, scratch_path
+from ..sources import sinks
+from ..sources.text import read_matrix_dir
 from ..sources.tables import embeddings_measurement, lineitem_measurement
 
 D = 4          # lineitem regions
@@ -220,6 +222,30 @@ def q_ug_truncated(spark, sf):
                      *[fixed(F.col("ug")[k], R9).alias(f"ug{k}") for k in range(D)])
 
 
+def _fresh(spark, name):
+    import uuid
+
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+def q_ingest_text_roundtrip(spark, sf):
+    """S1-P10 + the directory writer: lineitem measures written as subject
+    text folders and read back; every value must survive exactly."""
+    path = _fresh(spark, "subject-text")
+    sinks.write_matrix_dir(_li(spark, sf), path, D)
+    back = read_matrix_dir(spark, path, glob="*.txt", id_regex=r"sub=(\d+)", id_from="path",
+                           recursive=True, width=D)
+    return back.rows.select("subject_id", *[F.col("x")[k].alias(f"x{k}") for k in range(D)])
+
+
+def q_csv_sink_roundtrip(spark, sf):
+    """K1: the Fn matrix written as headerless CSV (%.18e) and read back."""
+    s = entry_stats(_fisher(spark, sf, full=False), ddof=0, upper=True)
+    path = _fresh(spark, "fn-csv")
+    sinks.write_matrix(s.select("i", "j", F.col("mean").alias("value")), path, D)
+    return sinks.read_matrix(spark, path, D).select("i", "j", fixed(F.col("value"), R9).alias("f_mean"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "subject_corr": q_subject_corr,
     "fisher_z": q_fisher_z,
@@ -244,6 +270,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "g_matrix": q_g_matrix,
     "u_rows": q_u_rows,
     "ug_truncated": q_ug_truncated,
+    "ingest_text_roundtrip": q_ingest_text_roundtrip,
+    "csv_sink_roundtrip": q_csv_sink_roundtrip,
 }
 
 # ------------------------------------------------------------------ oracles
@@ -350,6 +378,9 @@ p AS (
 """ + f"SELECT subject_id, i, j, {_f9('CASE WHEN i = j THEN 1.0 ELSE corr(a, b) END')} AS r FROM p GROUP BY subject_id, i, j",
     # full rank: UG = X_train, so C_UG equals C_train up to rounding
     "cov_ug_full_rank": _with(_M, _RANK, _Z, _ZP, _COV) + f"SELECT i, j, {_f9('value')} AS value FROM tr",
+    "ingest_text_roundtrip": _with(_M) + "SELECT subject_id, x0, x1, x2, x3 FROM m",
+    "csv_sink_roundtrip": _with(_M, _PAIRS, _CORR, _FISHER)
+    + f"SELECT i, j, {_f9('avg(f)')} AS f_mean FROM fz GROUP BY i, j",
     "ug_closeness": _with(_M, _RANK, _Z, _ZP, _COV)
     + f"SELECT 'CUG_Ctest' AS pair, {_f9(_DIST)} AS value FROM tr JOIN te USING (i, j) "
       f"UNION ALL SELECT 'Ctrain_Ctest' AS pair, {_f9(_DIST)} AS value FROM tr JOIN te USING (i, j)",

@@ -62,3 +62,19 @@ def read_matrix(spark, path: str, d: int) -> DataFrame:
     raw = raw.withColumn("i", F.row_number().over(Window.orderBy(F.monotonically_increasing_id())) - 1)
     return raw.select(F.col("i").cast("int"), F.posexplode(F.array(*[F.col(f"c{j}").cast("double") for j in range(d)]))
                       .alias("j", "value")).select("i", F.col("j").cast("int"), "value")
+
+
+def write_matrix_dir(meas: DataFrame, path: str, width: int, id_digits: int = 6) -> None:
+    """The inverse of ``read_matrix_dir``: rows as space-separated text under
+    ``path/sub=NNNNNN/``, line order = ``row_idx`` within each file.
+
+    Rows are written where they are (no shuffle): a subject spread over
+    several tasks gets several files in its folder, each numbered from 0.
+    Doubles are written in Spark's shortest round-trip form.
+    """
+    line = F.concat_ws(" ", *[F.col("x")[k].cast("string") for k in range(width)])
+    order = ["sub", "row_idx"] if "row_idx" in meas.columns else ["sub"]
+    out = meas.select(F.lpad(F.col("subject_id").cast("string"), id_digits, "0").alias("sub"),
+                      *([F.col("row_idx")] if "row_idx" in meas.columns else []), line.alias("value"))
+    (out.sortWithinPartitions(*order).select("sub", "value").write.mode("overwrite")
+     .partitionBy("sub").text(path))
