@@ -62,8 +62,8 @@ def fixed(c: Column, decimals: int) -> Column:
     the same IEEE operations, so the stored doubles are bit-identical.
     """
     scale = float(10 ** decimals)
-    v = F.round(c * F.lit(scale)) / F.lit(scale)
-    return F.when(v == 0.0, F.lit(0.0)).otherwise(v)
+    # one rounding per value; adding 0.0 turns -0.0 into 0.0 (IEEE)
+    return F.round(c * F.lit(scale)) / F.lit(scale) + F.lit(0.0)
 
 
 def sql_fixed(expr: str, decimals: int) -> str:
