@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import os
+import uuid
 import re
 import sys
 import time
@@ -22,6 +23,8 @@ from cohortmx.operators.correlate import corr_from_moments  # noqa: E402
 from cohortmx.operators.moments import moments  # noqa: E402
 from cohortmx.plans import pipeline  # noqa: E402
 from cohortmx.plans.queries import QUERIES  # noqa: E402
+from cohortmx.session import scratch_path  # noqa: E402
+from cohortmx.sources import sinks  # noqa: E402
 from cohortmx.sources.tables import lineitem_measurement, read_table  # noqa: E402
 
 HEADLINE = [
@@ -57,6 +60,17 @@ def full_pipeline(spark, sf):
     return res.tables["U"]
 
 
+def text_pipeline(text_dir):
+    """The reference's workload shape: subject text files in, the eleven
+    CSV results out (parse, T1-T4, U written in order)."""
+    def q(spark, sf):
+        out = scratch_path(spark, f"bench-out-{uuid.uuid4().hex}")
+        res = pipeline.run(spark, text_dir[sf], out, glob="*.txt", width=4,
+                           read_opts={"id_from": "path", "id_regex": r"sub=(\d+)", "recursive": True})
+        return res.tables["Fn"]
+    return q
+
+
 def main():
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -74,6 +88,14 @@ def main():
     runs["corr_d15"] = corr15("auto")
     runs["pipeline_t1_t4"] = full_pipeline
 
+    # untimed set-up: the lineitem measures as subject text folders
+    text_dir = {}
+    for d in {sf, os.path.join(os.path.dirname(sf.rstrip("/")), "sf0.001")}:
+        if os.path.isdir(d):
+            text_dir[d] = scratch_path(spark, f"bench-text-{uuid.uuid4().hex}")
+            sinks.write_matrix_dir(lineitem_measurement(spark, d), text_dir[d], 4, one_file_per_subject=True)
+    runs["pipeline_text_to_csv"] = text_pipeline(text_dir)
+
     # warm-up on the tiny tables: JVM, generated code, Python workers
     tiny = os.path.join(os.path.dirname(sf.rstrip("/")), "sf0.001")
     if os.path.isdir(tiny):

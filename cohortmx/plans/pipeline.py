@@ -75,65 +75,77 @@ def compute(meas: DataFrame, d: int | None = None, split: str = "rank", n_train:
     by_split = entry_stats(attach_split(fz, splits), by="split", ddof=ddof_var, upper=True)
 
     cov = zscored_stack_cov(m, "subject_id", splits, ddof_z=ddof_z)
-    ctrain = cov.where(F.col("split") == "train").drop("split")
-    ctest = cov.where(F.col("split") == "test").drop("split")
     gram = zscored_stack_cov(m, "subject_id", splits, ddof_z=ddof_z, gram=True).where(F.col("split") == "train")
 
-    # both d x d covariances in one small collect
-    both = cov.collect()
-    ctrain_np, ctest_np = np.zeros((d, d)), np.zeros((d, d))
-    for r in both:
-        (ctrain_np if r["split"] == "train" else ctest_np)[r["i"], r["j"]] = r["value"]
-    f = factor_gram(spark, mx.to_numpy(gram, d), k)
+    # every d x d result in one small collect (7 d^2 rows, bounded by d)
+    def tag(df, name, col="value"):
+        return df.select(F.lit(name).alias("name"), "i", "j", F.col(col).cast("double").alias("value"))
+
+    small = (tag(stats, "Fn", "mean").unionByName(tag(stats, "Fv", "var"))
+             .unionByName(tag(by_split.where(F.col("split") == "train"), "Ftrain", "mean"))
+             .unionByName(tag(by_split.where(F.col("split") == "test"), "Ftest", "mean"))
+             .unionByName(tag(cov.where(F.col("split") == "train"), "Ctrain"))
+             .unionByName(tag(cov.where(F.col("split") == "test"), "Ctest"))
+             .unionByName(tag(gram, "gram")))
+    mats = {n: np.full((d, d), np.nan) for n in ("Fn", "Fv", "Ftrain", "Ftest", "Ctrain", "Ctest", "gram")}
+    for r in small.collect():
+        mats[r["name"]][r["i"], r["j"]] = r["value"]
+
+    f = factor_gram(spark, np.nan_to_num(mats["gram"]), k)
+    ctrain_np, ctest_np = mats["Ctrain"], mats["Ctest"]
     cug_np = f.cov_ug(ctrain_np)
 
     train_rows = attach_split(meas, splits).where(F.col("split") == "train").drop("split")
-    z_train = apply_zscore(train_rows, zscore_params(m, "subject_id", ddof_z), "subject_id", out="x")
+    z_train = apply_zscore(train_rows, zscore_params(m, "subject_id", ddof_z), "subject_id", out="x", d=d)
     u = f.u_rows(z_train)
 
     dist = {"CUG_Ctest": float(np.linalg.norm(cug_np - ctest_np)),
             "Ctrain_Ctest": float(np.linalg.norm(ctrain_np - ctest_np))}
-    t = {
-        "Fn": stats.select("i", "j", F.col("mean").alias("value")),
-        "Fv": stats.select("i", "j", F.col("var").alias("value")),
-        "Ftrain": by_split.where(F.col("split") == "train").select("i", "j", F.col("mean").alias("value")),
-        "Ftest": by_split.where(F.col("split") == "test").select("i", "j", F.col("mean").alias("value")),
+    t = {name: mx.from_numpy(spark, mats[name]) for name in ("Fn", "Fv", "Ftrain", "Ftest", "Ctrain", "Ctest")}
+    t.update({
         "U": u,
         "G": f.g_matrix(),
         "CUG": mx.from_numpy(spark, cug_np),
-        "Ctrain": ctrain,
-        "Ctest": ctest,
         "CUGCtest": spark.createDataFrame([(dist["CUG_Ctest"],)], "value double"),
         "CtrainCtest": spark.createDataFrame([(dist["Ctrain_Ctest"],)], "value double"),
-    }
+    })
     return Results(d=d, tables=t, factors=f, distances=dist, moments=m, splits=splits)
 
 
 def write(res: Results, out_dir: str, suffix: str = "", fmt: str | None = "%.18e") -> dict[str, str]:
-    """K5: ``out_dir/<name><suffix>`` for each of the eleven results."""
-    paths = {}
+    """K5: ``out_dir/<name><suffix>`` for each of the eleven results.
+
+    The ten small results (d x d matrices, k x d G, two scalars) are written
+    by one job; U, the only tall result, by a distributed sort and write.
+    """
+    small = {}
     for name in sinks.OUTPUT_NAMES:
-        path = os.path.join(out_dir, name + suffix)
-        df = res.tables[name]
         if name == "U":
-            sinks.write_rows(df, path, ["subject_id", "row_idx"] if "row_idx" in df.columns else ["subject_id"],
-                             "u", res.factors.k, fmt)
-        elif name == "G":
-            sinks.write_matrix(df, path, res.d, fmt)
-        elif name in ("CUGCtest", "CtrainCtest"):
-            sinks.write_scalar(df, path, fmt)
+            continue
+        df = res.tables[name]
+        if name in ("CUGCtest", "CtrainCtest"):
+            small[name] = (df.select(F.lit(0).alias("i"), F.lit(0).alias("j"), "value"), 1)
         else:
-            sinks.write_matrix(df, path, res.d, fmt)
-        paths[name] = path
-    return paths
+            small[name] = (df, res.d)
+    paths = sinks.write_small(small, out_dir, suffix, fmt)
+    u = res.tables["U"]
+    paths["U"] = os.path.join(out_dir, "U" + suffix)
+    sinks.write_rows(u, paths["U"], ["subject_id", "row_idx"] if "row_idx" in u.columns else ["subject_id"],
+                     "u", res.factors.k, fmt)
+    return {name: paths[name] for name in sinks.OUTPUT_NAMES}
 
 
 def run(spark: SparkSession, input_dir: str, out_dir: str, glob: str = "sub*.txt", width: int | None = None,
-        suffix: str = "", **kw) -> Results:
-    """Read a ``subNNNNNN.txt`` directory, compute, write the eleven files."""
+        suffix: str = "", read_opts: dict | None = None, **kw) -> Results:
+    """Read a ``subNNNNNN.txt`` directory, compute, write the eleven files.
+
+    ``read_opts`` go to :func:`read_matrix_dir` (e.g. ids from
+    ``sub=NNNNNN`` folders: ``id_from="path", id_regex=r"sub=(\\d+)",
+    recursive=True``).
+    """
     from ..sources.text import read_matrix_dir
 
-    src = read_matrix_dir(spark, input_dir, glob=glob, width=width)
+    src = read_matrix_dir(spark, input_dir, glob=glob, width=width, **(read_opts or {}))
     res = compute(src.rows, d=src.width, **kw)
     write(res, out_dir, suffix)
     return res

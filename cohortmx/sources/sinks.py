@@ -64,17 +64,66 @@ def read_matrix(spark, path: str, d: int) -> DataFrame:
                       .alias("j", "value")).select("i", F.col("j").cast("int"), "value")
 
 
-def write_matrix_dir(meas: DataFrame, path: str, width: int, id_digits: int = 6) -> None:
+def write_matrix_dir(meas: DataFrame, path: str, width: int, id_digits: int = 6,
+                     one_file_per_subject: bool = False) -> None:
     """The inverse of ``read_matrix_dir``: rows as space-separated text under
     ``path/sub=NNNNNN/``, line order = ``row_idx`` within each file.
 
-    Rows are written where they are (no shuffle): a subject spread over
-    several tasks gets several files in its folder, each numbered from 0.
-    Doubles are written in Spark's shortest round-trip form.
+    By default rows are written where they are (no shuffle): a subject
+    spread over several tasks gets several files in its folder, each
+    numbered from 0.  ``one_file_per_subject`` reproduces the one-file
+    layout with a hash shuffle by subject (each subject's rows then go
+    through one task, as that format requires).  Doubles are written in
+    Spark's shortest round-trip form.
     """
+    if one_file_per_subject:
+        meas = meas.repartition(F.col("subject_id"))
     line = F.concat_ws(" ", *[F.col("x")[k].cast("string") for k in range(width)])
     order = ["sub", "row_idx"] if "row_idx" in meas.columns else ["sub"]
     out = meas.select(F.lpad(F.col("subject_id").cast("string"), id_digits, "0").alias("sub"),
                       *([F.col("row_idx")] if "row_idx" in meas.columns else []), line.alias("value"))
     (out.sortWithinPartitions(*order).select("sub", "value").write.mode("overwrite")
      .partitionBy("sub").text(path))
+
+
+def _fs_rename(spark, src: str, dst: str) -> None:
+    """Move a folder on the cluster file system (metadata only)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    s, d = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
+    fs = s.getFileSystem(conf)
+    if fs.exists(d):
+        fs.delete(d, True)
+    fs.mkdirs(d.getParent())
+    if not fs.rename(s, d):
+        raise OSError(f"could not move {src} to {dst}")
+
+
+def write_small(named: dict, out_dir: str, suffix: str = "", fmt: str | None = "%.18e") -> dict[str, str]:
+    """K1/K4/K5 in one job: every small result (``name -> (long table, ncols)``)
+    as its own headerless CSV file under ``out_dir/<name><suffix>``.
+
+    All rows are bounded by d^2, so they go through one task in ``(name, i)``
+    order; ``partitionBy(name)`` gives one folder per result, then each
+    folder is moved to its exact name.
+    """
+    spark = next(iter(named.values()))[0].sparkSession
+    parts = []
+    for name, (m, ncols) in named.items():
+        dense = dense_rows(m, ncols)
+        line = F.concat_ws(",", *[_fmt(F.col(f"c{j}"), fmt) for j in range(ncols)])
+        parts.append(dense.select(F.lit(name).alias("name"), "i", line.alias("value")))
+    allrows = parts[0]
+    for p in parts[1:]:
+        allrows = allrows.unionByName(p)
+    tmp = out_dir.rstrip("/") + f"/_staging{suffix}"
+    (allrows.repartition(1).sortWithinPartitions("name", "i").select("name", "value")
+     .write.mode("overwrite").partitionBy("name").text(tmp))
+    paths = {}
+    for name in named:
+        paths[name] = out_dir.rstrip("/") + f"/{name}{suffix}"
+        _fs_rename(spark, f"{tmp}/name={name}", paths[name])
+    jvm = spark.sparkContext._jvm
+    tpath = jvm.org.apache.hadoop.fs.Path(tmp)
+    tpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(tpath, True)
+    return paths
