@@ -65,8 +65,7 @@ def text_pipeline(text_dir):
     CSV results out (parse, T1-T4, U written in order)."""
     def q(spark, sf):
         out = scratch_path(spark, f"bench-out-{uuid.uuid4().hex}")
-        res = pipeline.run(spark, text_dir[sf], out, glob="*.txt", width=4,
-                           read_opts={"id_from": "path", "id_regex": r"sub=(\d+)", "recursive": True})
+        res = pipeline.run(spark, text_dir[sf], out, width=4)
         return res.tables["Fn"]
     return q
 
@@ -93,7 +92,7 @@ def main():
     for d in {sf, os.path.join(os.path.dirname(sf.rstrip("/")), "sf0.001")}:
         if os.path.isdir(d):
             text_dir[d] = scratch_path(spark, f"bench-text-{uuid.uuid4().hex}")
-            sinks.write_matrix_dir(lineitem_measurement(spark, d), text_dir[d], 4, one_file_per_subject=True)
+            sinks.write_subject_files(lineitem_measurement(spark, d), text_dir[d], 4)
     runs["pipeline_text_to_csv"] = text_pipeline(text_dir)
 
     # warm-up on the tiny tables: JVM, generated code, Python workers

@@ -127,3 +127,30 @@ def write_small(named: dict, out_dir: str, suffix: str = "", fmt: str | None = "
     tpath = jvm.org.apache.hadoop.fs.Path(tmp)
     tpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(tpath, True)
     return paths
+
+
+def write_subject_files(meas: DataFrame, path: str, width: int, id_digits: int = 6) -> int:
+    """The flat input layout itself: one ``path/subNNNNNN.txt`` per subject.
+
+    Written with :func:`write_matrix_dir` (one file per subject) into a
+    staging folder, then each part file is renamed (metadata only).
+    Returns the number of files.  Used to build test and bench inputs.
+    """
+    spark = meas.sparkSession
+    staging = path.rstrip("/") + "/_staging"
+    write_matrix_dir(meas, staging, width, id_digits, one_file_per_subject=True)
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(staging)
+    fs = root.getFileSystem(conf)
+    n = 0
+    for st in fs.globStatus(jvm.org.apache.hadoop.fs.Path(staging + "/sub=*/part-*")):
+        sub = st.getPath().getParent().getName().split("=", 1)[1]
+        target = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/sub{sub}.txt")
+        if fs.exists(target):
+            fs.delete(target, False)
+        if not fs.rename(st.getPath(), target):
+            raise OSError(f"could not move {st.getPath()} to {target}")
+        n += 1
+    fs.delete(root, True)
+    return n

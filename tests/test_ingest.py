@@ -79,3 +79,19 @@ def test_subject_id_by_fixed_slice(spark, main_dir):
     d, mats = main_dir
     src = read_matrix_dir(spark, d, id_slice=(3, 9))
     assert sorted({r["subject_id"] for r in src.rows.collect()}) == MAIN_IDS
+
+
+def test_subject_files_round_trip(spark, main_dir):
+    from cohortmx.session import scratch_path
+    from cohortmx.sources.sinks import write_subject_files
+
+    d, mats = main_dir
+    rows = read_matrix_dir(spark, d).rows
+    import uuid
+
+    out = scratch_path(spark, f"subject-files-test-{uuid.uuid4().hex}")
+    assert write_subject_files(rows, out, WIDTH) == len(MAIN_IDS)
+    back = read_matrix_dir(spark, out).rows.collect()
+    for sid, mat in mats.items():
+        got = np.array([r["x"] for r in sorted(back, key=lambda r: r["row_idx"]) if r["subject_id"] == sid])
+        assert np.array_equal(got, mat)
