@@ -84,3 +84,46 @@ def test_threshold_pipeline(spark, main_dir):
     want = _numpy_task(mats, 4)
     assert np.allclose(to_dense(res.tables["Ctrain"].collect(), col="value"), want["Ctrain"], atol=1e-12)
     assert res.distances["Ctrain_Ctest"] == pytest.approx(want["CtrainCtest"], abs=1e-12)
+
+
+def test_wide_pipeline_d64_matches_numpy(spark):
+    """T5 path: 64 regions (chunk moments) through the whole pipeline."""
+    import os
+
+    from cohortmx.sources.tables import embeddings_measurement
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("driver test tables not present")
+    meas = embeddings_measurement(spark, sf)
+    res = pipeline.compute(meas, d=64, k=8)
+    pdf = meas.toPandas()
+    mats = {int(s): np.vstack(g.sort_values("row_idx").x.to_numpy()) for s, g in pdf.groupby("subject_id")}
+    want = _numpy_task(mats, len(mats) // 2, 8)
+    got = {n: to_dense(res.tables[n].collect(), col="value", d=64) for n in ("Fn", "Ftrain", "Ctrain", "Ctest", "CUG")}
+    for n, v in got.items():
+        assert np.allclose(v, want[n], atol=1e-9), n
+    assert np.allclose(res.factors.s, want["s"], rtol=1e-8)
+    assert res.distances["CUG_Ctest"] == pytest.approx(want["CUGCtest"], rel=1e-9)
+    # invariant: sum of squared singular values = trace of the train Gram
+    assert float(np.sum(res.factors.s ** 2)) <= float(np.trace(want["Xtr"].T @ want["Xtr"])) + 1e-6
+
+
+def test_singular_values_agree_with_rowmatrix(spark, main_dir):
+    from pyspark.mllib.linalg.distributed import RowMatrix
+
+    from cohortmx.operators.moments import moments
+    from cohortmx.operators.normalise import zscore
+    from cohortmx.operators.summarise import split_by_rank, subject_dim
+    from cohortmx.operators.covariance import zscored_stack_cov
+    from cohortmx.operators import matrix as mx
+    from cohortmx.sources.text import read_matrix_dir
+
+    d, _ = main_dir
+    rows = read_matrix_dir(spark, d).rows
+    m = moments(rows, "subject_id", d=WIDTH)
+    gram = zscored_stack_cov(m, "subject_id", gram=True)
+    f = factor_gram(spark, mx.to_numpy(gram, WIDTH))
+    z = zscore(rows, "subject_id", d=WIDTH)
+    svd = RowMatrix(z.select("x").rdd.map(lambda r: r["x"])).computeSVD(WIDTH, computeU=False)
+    assert np.allclose(np.array(svd.s.toArray()), f.s, rtol=1e-10)
