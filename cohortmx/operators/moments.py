@@ -245,8 +245,8 @@ def _chunk_moments(df: DataFrame, keys: list[str], x: str, d: int) -> DataFrame:
                       (F.min(F.col("mn")[F.col("k")]) == F.max(F.col("mx")[F.col("k")])).alias("c")))
     stats = (col_stats.groupBy(*kc)
              .agg(F.max("N").alias("N"), F.sort_array(F.collect_list(F.struct("k", "m", "c"))).alias("_s"))
-             .select(*kc, "N", F.transform("_s", lambda t: t["m"]).alias("gmean"),
-                     F.transform("_s", lambda t: t["c"]).alias("gconst")))
+             .select(*kc, "N", F.col("_s").getField("m").alias("gmean"),
+                     F.col("_s").getField("c").alias("gconst")))
 
     # 2. Chan's merge as a plain sum over runs:
     #    M2 = sum_p M2_p + n_p (m_p - m)(m_p - m)^T     (JVM expressions)
@@ -259,7 +259,7 @@ def _chunk_moments(df: DataFrame, keys: list[str], x: str, d: int) -> DataFrame:
                          (F.col("m2")[e] + F.col("n").cast("double") * delta(F.col("i")) * delta(F.col("j"))).alias("v"))
     comom = (cells.groupBy(*kc, "e").agg(F.sum("v").alias("M2"))
              .groupBy(*kc).agg(F.sort_array(F.collect_list(F.struct("e", "M2"))).alias("_c"))
-             .select(*kc, F.transform("_c", lambda t: t["M2"]).alias("M2")))
+             .select(*kc, F.col("_c").getField("M2").alias("M2")))
 
     # 3. one row per key with all arrays -> long cells
     per_key = comom.join(stats, keys)

@@ -47,10 +47,9 @@ def zscore_params(m: DataFrame, key, ddof: int = 0) -> DataFrame:
     flat = F.col("const") | (F.col("n") <= ddof)
     items = dg.select(*keys, F.struct("k", "mean", sd.alias("sd"), flat.alias("flat")).alias("s"))
     agg = items.groupBy(*keys).agg(F.sort_array(F.collect_list("s")).alias("s"))
-    return agg.select(*keys,
-                      F.transform("s", lambda e: e["mean"]).alias("z_mean"),
-                      F.transform("s", lambda e: e["sd"]).alias("z_sd"),
-                      F.transform("s", lambda e: e["flat"]).alias("z_flat"))
+    # field of an array of structs: no lambda, stays in generated code
+    return agg.select(*keys, F.col("s").getField("mean").alias("z_mean"),
+                      F.col("s").getField("sd").alias("z_sd"), F.col("s").getField("flat").alias("z_flat"))
 
 
 def apply_zscore(rows: DataFrame, params: DataFrame, key, x: str = "x", out: str = "z",
