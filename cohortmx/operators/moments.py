@@ -71,6 +71,9 @@ def moments(df: DataFrame, key, x: str = "x", d: int | None = None, method: str
             salts: int | None = None) -> DataFrame:
     """Long moments table (see module doc) of ``x`` grouped by ``key``.
 
+    ``x`` must hold complete observations (no NULL entries): the sources
+    drop or reject incomplete rows before this step.
+
     ``salts`` (chunk form only): first hash-partition the rows by ``(key,
     salt)`` with ``salts`` salt values, so each key forms at most ``salts``
     long runs even when the input layout scatters every key over every
