@@ -115,11 +115,14 @@ def compute(meas: DataFrame, d: int | None = None, split: str = "rank", n_train:
     return Results(d=d, tables=t, factors=f, distances=dist, moments=m, splits=splits)
 
 
-def write(res: Results, out_dir: str, suffix: str = "", fmt: str | None = "%.18e") -> dict[str, str]:
-    """K5: ``out_dir/<name><suffix>`` for each of the eleven results.
+def write(res: Results, out_dir: str, suffix: str = "", fmt: str | None = "%.18e",
+          single_files: bool = True) -> dict[str, str]:
+    """K5: the eleven results under their names, ``suffix`` appended (``p5``).
 
     The ten small results (d x d matrices, k x d G, two scalars) are written
-    by one job; U, the only tall result, by a distributed sort and write.
+    by one job as ``<name><suffix>.csv`` files; U, the only tall result, by a
+    distributed sort into the folder ``U<suffix>.csv/`` (part files in row
+    order), never through a single task.
     """
     small = {}
     for name in sinks.OUTPUT_NAMES:
@@ -130,9 +133,9 @@ def write(res: Results, out_dir: str, suffix: str = "", fmt: str | None = "%.18e
             small[name] = (df.select(F.lit(0).alias("i"), F.lit(0).alias("j"), "value"), 1)
         else:
             small[name] = (df, res.d)
-    paths = sinks.write_small(small, out_dir, suffix, fmt)
+    paths = sinks.write_small(small, out_dir, suffix, fmt, single_files)
     u = res.tables["U"]
-    paths["U"] = os.path.join(out_dir, "U" + suffix)
+    paths["U"] = os.path.join(out_dir, "U" + suffix + (".csv" if single_files else ""))
     sinks.write_rows(u, paths["U"], ["subject_id", "row_idx"] if "row_idx" in u.columns else ["subject_id"],
                      "u", res.factors.k, fmt)
     return {name: paths[name] for name in sinks.OUTPUT_NAMES}

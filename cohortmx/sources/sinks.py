@@ -99,13 +99,15 @@ def _fs_rename(spark, src: str, dst: str) -> None:
         raise OSError(f"could not move {src} to {dst}")
 
 
-def write_small(named: dict, out_dir: str, suffix: str = "", fmt: str | None = "%.18e") -> dict[str, str]:
+def write_small(named: dict, out_dir: str, suffix: str = "", fmt: str | None = "%.18e",
+                single_files: bool = True) -> dict[str, str]:
     """K1/K4/K5 in one job: every small result (``name -> (long table, ncols)``)
-    as its own headerless CSV file under ``out_dir/<name><suffix>``.
+    as a headerless CSV: ``out_dir/<name><suffix>.csv`` (``single_files``,
+    the task's file names) or a folder ``out_dir/<name><suffix>``.
 
     All rows are bounded by d^2, so they go through one task in ``(name, i)``
-    order; ``partitionBy(name)`` gives one folder per result, then each
-    folder is moved to its exact name.
+    order; ``partitionBy(name)`` gives one part file per result, which is
+    then moved to its name (metadata only).
     """
     spark = next(iter(named.values()))[0].sparkSession
     parts = []
@@ -116,41 +118,23 @@ def write_small(named: dict, out_dir: str, suffix: str = "", fmt: str | None = "
     allrows = parts[0]
     for p in parts[1:]:
         allrows = allrows.unionByName(p)
-    tmp = out_dir.rstrip("/") + f"/_staging{suffix}"
+    base = out_dir.rstrip("/")
+    tmp = f"{base}/_staging{suffix}"
     (allrows.repartition(1).sortWithinPartitions("name", "i").select("name", "value")
      .write.mode("overwrite").partitionBy("name").text(tmp))
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    fs = jvm.org.apache.hadoop.fs.Path(tmp).getFileSystem(conf)
     paths = {}
     for name in named:
-        paths[name] = out_dir.rstrip("/") + f"/{name}{suffix}"
-        _fs_rename(spark, f"{tmp}/name={name}", paths[name])
-    jvm = spark.sparkContext._jvm
-    tpath = jvm.org.apache.hadoop.fs.Path(tmp)
-    tpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(tpath, True)
+        if single_files:
+            src = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{tmp}/name={name}/part-*"))
+            if len(src) != 1:
+                raise OSError(f"expected one part file for {name}, found {len(src)}")
+            paths[name] = f"{base}/{name}{suffix}.csv"
+            _fs_rename(spark, src[0].getPath().toString(), paths[name])
+        else:
+            paths[name] = f"{base}/{name}{suffix}"
+            _fs_rename(spark, f"{tmp}/name={name}", paths[name])
+    fs.delete(jvm.org.apache.hadoop.fs.Path(tmp), True)
     return paths
-
-
-def write_subject_files(meas: DataFrame, path: str, width: int, id_digits: int = 6) -> int:
-    """The flat input layout itself: one ``path/subNNNNNN.txt`` per subject.
-
-    Written with :func:`write_matrix_dir` (one file per subject) into a
-    staging folder, then each part file is renamed (metadata only).
-    Returns the number of files.  Used to build test and bench inputs.
-    """
-    spark = meas.sparkSession
-    staging = path.rstrip("/") + "/_staging"
-    write_matrix_dir(meas, staging, width, id_digits, one_file_per_subject=True)
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(staging)
-    fs = root.getFileSystem(conf)
-    n = 0
-    for st in fs.globStatus(jvm.org.apache.hadoop.fs.Path(staging + "/sub=*/part-*")):
-        sub = st.getPath().getParent().getName().split("=", 1)[1]
-        target = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/sub{sub}.txt")
-        if fs.exists(target):
-            fs.delete(target, False)
-        if not fs.rename(st.getPath(), target):
-            raise OSError(f"could not move {st.getPath()} to {target}")
-        n += 1
-    fs.delete(root, True)
-    return n

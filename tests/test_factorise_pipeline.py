@@ -33,14 +33,16 @@ def test_pipeline_matches_numpy(spark, main_dir, k):
     res = pipeline.run(spark, d, out, k=k)
     want = _numpy_task(mats, 3, k)
     for name in ("Fn", "Fv", "Ftrain", "Ftest", "Ctrain", "Ctest", "CUG"):
-        got = sinks.read_matrix(spark, os.path.join(out, name), WIDTH).collect()
+        got = sinks.read_matrix(spark, os.path.join(out, name + ".csv"), WIDTH).collect()
         assert np.allclose(to_dense(got, col="value"), want[name], atol=1e-10), name
     for name in ("CUGCtest", "CtrainCtest"):
-        val = float(spark.read.text(os.path.join(out, name)).first()[0])
+        val = float(spark.read.text(os.path.join(out, name + ".csv")).first()[0])
         assert val == pytest.approx(want[name], abs=1e-10)
     assert np.allclose(res.factors.s, want["s"], atol=1e-10)
     # U: written in (subject, row) order; U G reconstructs the rank-k stack
-    U = np.array([[float(v) for v in r] for r in spark.read.csv(os.path.join(out, "U")).collect()])
+    U = np.array([[float(v) for v in r] for r in spark.read.csv(os.path.join(out, "U.csv")).collect()])
+    names = sorted(f for f in os.listdir(out) if not f.startswith("."))  # local FS adds .crc files
+    assert names == sorted(n + ".csv" for n in sinks.OUTPUT_NAMES)
     assert U.shape == (150, res.factors.k)
     assert np.allclose(U @ res.factors.g, want["UG"], atol=1e-9)
     assert np.allclose(U.T @ U, np.eye(res.factors.k), atol=1e-9)
