@@ -29,7 +29,7 @@ from ..operators.correlate import corr_from_moments, fisher_z
 from ..operators.covariance import zscored_stack_cov
 from ..operators.factorise import Factors, factor_gram
 from ..operators.moments import array_width, moments
-from ..operators.normalise import apply_zscore, zscore_params
+from ..operators.normalise import BROADCAST_LIMIT, apply_zscore, zscore_params
 from ..operators.summarise import (attach_split, entry_stats, split_by_rank, split_by_threshold,
                                    subject_dim)
 from ..session import materialize
@@ -89,17 +89,28 @@ def compute(meas: DataFrame, d: int | None = None, split: str = "rank", n_train:
              .unionByName(tag(by_split.where(F.col("split") == "test"), "Ftest", "mean"))
              .unionByName(tag(cov.where(F.col("split") == "train"), "Ctrain"))
              .unionByName(tag(cov.where(F.col("split") == "test"), "Ctest"))
-             .unionByName(tag(gram, "gram")))
+             .unionByName(tag(gram, "gram"))
+             # the subject count rides along: it sizes the z-score join below
+             .unionByName(m.where((F.col("i") == 0) & (F.col("j") == 0))
+                          .agg(F.count(F.lit(1)).cast("double").alias("value"))
+                          .select(F.lit("subjects").alias("name"), F.lit(0).alias("i"), F.lit(0).alias("j"),
+                                  "value")))
     mats = {n: np.full((d, d), np.nan) for n in ("Fn", "Fv", "Ftrain", "Ftest", "Ctrain", "Ctest", "gram")}
+    n_subjects = 0
     for r in small.collect():
-        mats[r["name"]][r["i"], r["j"]] = r["value"]
+        if r["name"] == "subjects":
+            n_subjects = int(r["value"])
+        else:
+            mats[r["name"]][r["i"], r["j"]] = r["value"]
 
     f = factor_gram(spark, np.nan_to_num(mats["gram"]), k)
     ctrain_np, ctest_np = mats["Ctrain"], mats["Ctest"]
     cug_np = f.cov_ug(ctrain_np)
 
     train_rows = attach_split(meas, splits).where(F.col("split") == "train").drop("split")
-    z_train = apply_zscore(train_rows, zscore_params(m, "subject_id", ddof_z), "subject_id", out="x", d=d)
+    small_params = n_subjects * (24 * d + 64) <= BROADCAST_LIMIT
+    z_train = apply_zscore(train_rows, zscore_params(m, "subject_id", ddof_z), "subject_id", out="x", d=d,
+                           broadcast=small_params)
     u = f.u_rows(z_train)
 
     dist = {"CUG_Ctest": float(np.linalg.norm(cug_np - ctest_np)),
