@@ -107,10 +107,12 @@ def compute(meas: DataFrame, d: int | None = None, split: str = "rank", n_train:
     ctrain_np, ctest_np = mats["Ctrain"], mats["Ctest"]
     cug_np = f.cov_ug(ctrain_np)
 
-    train_rows = attach_split(meas, splits).where(F.col("split") == "train").drop("split")
+    # one row-level join: parameters of train subjects only, so the inner
+    # join both keeps the train rows and z-scores them
+    train_params = zscore_params(m, "subject_id", ddof_z).join(
+        splits.where(F.col("split") == "train").select("subject_id"), "subject_id")
     small_params = n_subjects * (24 * d + 64) <= BROADCAST_LIMIT
-    z_train = apply_zscore(train_rows, zscore_params(m, "subject_id", ddof_z), "subject_id", out="x", d=d,
-                           broadcast=small_params)
+    z_train = apply_zscore(meas, train_params, "subject_id", out="x", d=d, broadcast=small_params)
     u = f.u_rows(z_train)
 
     dist = {"CUG_Ctest": float(np.linalg.norm(cug_np - ctest_np)),

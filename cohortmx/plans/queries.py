@@ -203,9 +203,10 @@ def q_g_matrix(spark, sf):
 
 
 def _train_z_rows(spark, sf, m, splits):
-    li = _li(spark, sf)
-    train = attach_split(li, splits).where(F.col("split") == "train").drop("split")
-    return apply_zscore(train, zscore_params(m, "subject_id"), "subject_id", out="x", d=D)
+    # parameters of train subjects only: one join keeps and z-scores the rows
+    params = zscore_params(m, "subject_id").join(
+        splits.where(F.col("split") == "train").select("subject_id"), "subject_id")
+    return apply_zscore(_li(spark, sf), params, "subject_id", out="x", d=D)
 
 
 def q_u_rows(spark, sf):
