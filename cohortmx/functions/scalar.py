@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -71,7 +69,3 @@ def sql_fixed(expr: str, decimals: int) -> str:
     scale = f"{10 ** decimals}.0"
     v = f"(round(({expr}) * {scale}) / {scale})"
     return f"(CASE WHEN {v} = 0 THEN 0.0 ELSE {v} END)"
-
-
-def is_finite(v: float) -> bool:
-    return not (math.isnan(v) or math.isinf(v))

@@ -122,8 +122,3 @@ def _row_map(rows: DataFrame, x: str, mat: np.ndarray, out: str, keep: Sequence[
     src = rows.select(*keep, *[F.col(x)[c].alias(xcols[c]) for c in range(d)])
     mapped = src.mapInPandas(fn, schema=schema)
     return mapped.select(*keep, F.array(*[F.col(c) for c in ocols]).alias(out))
-
-
-def closed_form_cov_ug(spark: SparkSession, f: Factors, c_train: DataFrame) -> DataFrame:
-    """``cov(UG) = P C_train P`` as a long table."""
-    return from_numpy(spark, f.cov_ug(to_numpy(c_train, f.d)))

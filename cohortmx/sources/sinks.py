@@ -24,7 +24,7 @@ def _fmt(c, fmt: str | None):
     return F.format_string(fmt, c) if fmt else c.cast("string")
 
 
-def write_matrix(m: DataFrame, path: str, d: int, fmt: str | None = "%.18e", rows: int | None = None) -> None:
+def write_matrix(m: DataFrame, path: str, d: int, fmt: str | None = "%.18e") -> None:
     """K1: long ``(i, j, value)`` -> dense CSV, one file, row ``i`` per line."""
     dense = dense_rows(m, d)
     cols = [_fmt(F.col(f"c{j}"), fmt).alias(f"c{j}") for j in range(d)]

@@ -11,7 +11,6 @@ train/test means are ordinary batch aggregates over that table at any time.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.correlate import corr_from_moments, fisher_z

@@ -3,9 +3,8 @@ import tempfile
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
-from conftest import MAIN_IDS, WIDTH, np_fisher, np_zscore, to_dense
+from conftest import WIDTH, np_fisher, np_zscore, to_dense
 from cohortmx.operators.factorise import factor_gram
 from cohortmx.plans import pipeline
 from cohortmx.sources import sinks
@@ -116,7 +115,6 @@ def test_singular_values_agree_with_rowmatrix(spark, main_dir):
 
     from cohortmx.operators.moments import moments
     from cohortmx.operators.normalise import zscore
-    from cohortmx.operators.summarise import split_by_rank, subject_dim
     from cohortmx.operators.covariance import zscored_stack_cov
     from cohortmx.operators import matrix as mx
     from cohortmx.sources.text import read_matrix_dir

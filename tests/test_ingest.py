@@ -2,7 +2,6 @@ import os
 import tempfile
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from conftest import MAIN_IDS, N_ROWS, WIDTH, make_matrix, write_subject
 from cohortmx.sources.text import read_delimited, read_matrix_dir
