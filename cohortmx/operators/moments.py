@@ -68,23 +68,26 @@ def array_width(df: DataFrame, x: str = "x") -> int:
 
 
 def moments(df: DataFrame, key, x: str = "x", d: int | None = None, method: str = "auto",
-            salts: int | None = None) -> DataFrame:
+            cluster: bool | int = False) -> DataFrame:
     """Long moments table (see module doc) of ``x`` grouped by ``key``.
 
     ``x`` must hold complete observations (no NULL entries): the sources
     drop or reject incomplete rows before this step.
 
-    ``salts`` (chunk form only): first hash-partition the rows by ``(key,
-    salt)`` with ``salts`` salt values, so each key forms at most ``salts``
-    long runs even when the input layout scatters every key over every
-    partition; a hot key is spread over ``salts`` tasks.  Leave it unset
-    when rows of a key already sit together (one file per subject).
+    ``cluster`` (for the chunk form): first range-partition the rows by
+    ``(key, hash of the row)`` into ``cluster`` partitions (``True``: the
+    session's shuffle partition count).  Spark samples the data to balance
+    the partitions, so small keys stay whole and a hot key is split over as
+    many partitions as its size needs; the run table then has at most
+    keys + partitions rows.  Use it when the input scatters every key over
+    every partition; leave it off when rows of a key already sit together
+    (one file per subject).
     """
     keys = _keys(key)
     d = d or array_width(df, x)
-    if salts:
-        salt = F.pmod(F.xxhash64(F.col(x)), F.lit(int(salts)))
-        df = df.repartition(*[F.col(k) for k in keys], salt)
+    if cluster:
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) if cluster is True else int(cluster)
+        df = df.repartitionByRange(n, *[F.col(k) for k in keys], F.xxhash64(F.col(x)))
     if method == "auto":
         method = "wide" if d <= WIDE_MAX_D else "chunks"
     if method == "wide":

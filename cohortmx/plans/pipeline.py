@@ -53,14 +53,14 @@ class Results:
 
 def compute(meas: DataFrame, d: int | None = None, split: str = "rank", n_train: int | None = None,
             cut=None, k: int | None = None, ddof_var: int = 0, ddof_z: int = 0,
-            undefined: str = "nan", method: str = "auto", salts: int | None = None) -> Results:
+            undefined: str = "nan", method: str = "auto", cluster: bool | int = False) -> Results:
     """All results as DataFrames (U lazily, as a row-level plan).
 
-    ``salts``: see :func:`moments` (scattered layouts with many subjects).
+    ``cluster``: see :func:`moments` (scattered layouts with many subjects).
     """
     spark = meas.sparkSession
     d = d or array_width(meas)
-    m = materialize(moments(meas, "subject_id", d=d, method=method, salts=salts))
+    m = materialize(moments(meas, "subject_id", d=d, method=method, cluster=cluster))
     # upper triangle only: F is symmetric, mirror the d x d results
     fz = fisher_z(corr_from_moments(m, "subject_id", full=False), undefined=undefined)
 

@@ -90,10 +90,10 @@ def test_entry_stats_match_numpy(spark, main_dir):
         assert np.allclose(to_dense(st, col="var"), F_all.var(axis=0, ddof=ddof), atol=1e-12)
 
 
-def test_salted_chunks_same_result(spark, main_dir):
+def test_clustered_chunks_same_result(spark, main_dir):
     d, mats = main_dir
     rows = read_matrix_dir(spark, d).rows
-    m = moments(rows, "subject_id", d=WIDTH, method="chunks", salts=4)
+    m = moments(rows.repartition(5), "subject_id", d=WIDTH, method="chunks", cluster=3)
     got = corr_from_moments(m, "subject_id").collect()
     for sid, mat in mats.items():
         assert np.allclose(to_dense(got, sid), np.corrcoef(mat, rowvar=False), atol=1e-12)

@@ -5,7 +5,7 @@ import numpy as np
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from cohortmx import corr_matrix, zscored_stack_cov
+from cohortmx import corr_from_moments, zscored_stack_cov
 from cohortmx.operators.moments import moments
 from conftest import np_zscore
 
@@ -35,9 +35,10 @@ def test_forms_agree_with_numpy(spark, data):
     d, mats, parts = data
     rows = [(k, i, [float(v) for v in r]) for k, m in mats.items() for i, r in enumerate(m)]
     df = spark.createDataFrame(rows, "subject_id long, row_idx int, x array<double>").repartition(parts)
-    for method in ("wide", "pairs", "chunks"):
+    for method, cluster in (("wide", False), ("pairs", False), ("chunks", False), ("chunks", 3)):
+        m_ = moments(df, "subject_id", d=d, method=method, cluster=cluster)
         got = {(r["subject_id"], r["i"], r["j"]): r["r"]
-               for r in corr_matrix(df, "subject_id", d=d, method=method).collect()}
+               for r in corr_from_moments(m_, "subject_id").collect()}
         for k, m in mats.items():
             sd = m.std(axis=0)
             with np.errstate(invalid="ignore", divide="ignore"):
