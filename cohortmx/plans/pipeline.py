@@ -44,6 +44,8 @@ class Results:
     distances: dict[str, float] = field(default_factory=dict)
     moments: DataFrame | None = None
     splits: DataFrame | None = None
+    arrays: dict[str, np.ndarray] = field(default_factory=dict)  # the small results, on the driver
+    z_train: DataFrame | None = None  # z-scored train rows, input of U
 
     def report(self) -> DataFrame:
         """K7: the two closeness values as ``(pair, distance)`` rows."""
@@ -125,7 +127,11 @@ def compute(meas: DataFrame, d: int | None = None, split: str = "rank", n_train:
         "CUGCtest": spark.createDataFrame([(dist["CUG_Ctest"],)], "value double"),
         "CtrainCtest": spark.createDataFrame([(dist["Ctrain_Ctest"],)], "value double"),
     })
-    return Results(d=d, tables=t, factors=f, distances=dist, moments=m, splits=splits)
+    arrays = {name: mats[name] for name in ("Fn", "Fv", "Ftrain", "Ftest", "Ctrain", "Ctest")}
+    arrays.update({"G": f.g, "CUG": cug_np, "CUGCtest": np.array([[dist["CUG_Ctest"]]]),
+                   "CtrainCtest": np.array([[dist["Ctrain_Ctest"]]])})
+    return Results(d=d, tables=t, factors=f, distances=dist, moments=m, splits=splits, arrays=arrays,
+                   z_train=z_train)
 
 
 def write(res: Results, out_dir: str, suffix: str = "", fmt: str | None = "%.18e",
@@ -137,20 +143,29 @@ def write(res: Results, out_dir: str, suffix: str = "", fmt: str | None = "%.18e
     distributed sort into the folder ``U<suffix>.csv/`` (part files in row
     order), never through a single task.
     """
-    small = {}
-    for name in sinks.OUTPUT_NAMES:
-        if name == "U":
-            continue
-        df = res.tables[name]
-        if name in ("CUGCtest", "CtrainCtest"):
-            small[name] = (df.select(F.lit(0).alias("i"), F.lit(0).alias("j"), "value"), 1)
-        else:
-            small[name] = (df, res.d)
-    paths = sinks.write_small(small, out_dir, suffix, fmt, single_files)
+    names = [n for n in sinks.OUTPUT_NAMES if n != "U"]
+    if all(n in res.arrays for n in names):
+        paths = sinks.write_arrays(res.tables["U"].sparkSession, {n: res.arrays[n] for n in names},
+                                   out_dir, suffix, fmt, single_files)
+    else:
+        small = {}
+        for name in names:
+            df = res.tables[name]
+            if name in ("CUGCtest", "CtrainCtest"):
+                small[name] = (df.select(F.lit(0).alias("i"), F.lit(0).alias("j"), "value"), 1)
+            else:
+                small[name] = (df, res.d)
+        paths = sinks.write_small(small, out_dir, suffix, fmt, single_files)
     u = res.tables["U"]
     paths["U"] = os.path.join(out_dir, "U" + suffix + (".csv" if single_files else ""))
-    sinks.write_rows(u, paths["U"], ["subject_id", "row_idx"] if "row_idx" in u.columns else ["subject_id"],
-                     "u", res.factors.k, fmt)
+    order = ["subject_id", "row_idx"] if "row_idx" in u.columns else ["subject_id"]
+    if res.z_train is not None:
+        # sort the z-scored rows, then map: the Arrow map keeps row order, so
+        # the range sort samples JVM rows only and the map runs once
+        u = res.factors.u_rows(res.z_train.orderBy(*order))
+        sinks.write_rows(u, paths["U"], order, "u", res.factors.k, fmt, presorted=True)
+    else:
+        sinks.write_rows(u, paths["U"], order, "u", res.factors.k, fmt)
     return {name: paths[name] for name in sinks.OUTPUT_NAMES}
 
 

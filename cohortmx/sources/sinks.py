@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,15 +35,16 @@ def write_matrix(m: DataFrame, path: str, d: int, fmt: str | None = "%.18e") ->
 
 
 def write_rows(df: DataFrame, path: str, order_by: Sequence[str], array_col: str, width: int,
-               fmt: str | None = "%.18e") -> None:
+               fmt: str | None = "%.18e", presorted: bool = False) -> None:
     """K2: tall results in key order, one CSV line per row, no header.
 
     The sort is a range-partitioned distributed sort; part files are
-    numbered in key order.
+    numbered in key order.  ``presorted``: ``df`` is already globally sorted
+    by a narrow plan above an ``orderBy`` (order-preserving maps only).
     """
     cols = [_fmt(F.col(array_col)[k], fmt).alias(f"c{k}") for k in range(width)]
-    (df.orderBy(*order_by).select(*cols).write.mode("overwrite")
-     .option("header", "false").csv(path))
+    src = df if presorted else df.orderBy(*order_by)
+    src.select(*cols).write.mode("overwrite").option("header", "false").csv(path)
 
 
 def write_scalar(value: DataFrame, path: str, fmt: str | None = "%.18e") -> None:
@@ -99,34 +102,23 @@ def _fs_rename(spark, src: str, dst: str) -> None:
         raise OSError(f"could not move {src} to {dst}")
 
 
-def write_small(named: dict, out_dir: str, suffix: str = "", fmt: str | None = "%.18e",
-                single_files: bool = True) -> dict[str, str]:
-    """K1/K4/K5 in one job: every small result (``name -> (long table, ncols)``)
-    as a headerless CSV: ``out_dir/<name><suffix>.csv`` (``single_files``,
-    the task's file names) or a folder ``out_dir/<name><suffix>``.
+def _write_named_lines(spark, lines: DataFrame, names, out_dir: str, suffix: str,
+                       single_files: bool) -> dict[str, str]:
+    """``(name, i, value)`` lines -> one file (or folder) per name, in one job.
 
-    All rows are bounded by d^2, so they go through one task in ``(name, i)``
-    order; ``partitionBy(name)`` gives one part file per result, which is
-    then moved to its name (metadata only).
+    The lines of all small results are bounded by d^2, so they go through one
+    task in ``(name, i)`` order; ``partitionBy(name)`` gives one part file
+    per result, which is then moved to its name (metadata only).
     """
-    spark = next(iter(named.values()))[0].sparkSession
-    parts = []
-    for name, (m, ncols) in named.items():
-        dense = dense_rows(m, ncols)
-        line = F.concat_ws(",", *[_fmt(F.col(f"c{j}"), fmt) for j in range(ncols)])
-        parts.append(dense.select(F.lit(name).alias("name"), "i", line.alias("value")))
-    allrows = parts[0]
-    for p in parts[1:]:
-        allrows = allrows.unionByName(p)
     base = out_dir.rstrip("/")
     tmp = f"{base}/_staging{suffix}"
-    (allrows.repartition(1).sortWithinPartitions("name", "i").select("name", "value")
+    (lines.repartition(1).sortWithinPartitions("name", "i").select("name", "value")
      .write.mode("overwrite").partitionBy("name").text(tmp))
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     fs = jvm.org.apache.hadoop.fs.Path(tmp).getFileSystem(conf)
     paths = {}
-    for name in named:
+    for name in names:
         if single_files:
             src = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{tmp}/name={name}/part-*"))
             if len(src) != 1:
@@ -140,6 +132,37 @@ def write_small(named: dict, out_dir: str, suffix: str = "", fmt: str | None = "
     return paths
 
 
+def write_small(named: dict, out_dir: str, suffix: str = "", fmt: str | None = "%.18e",
+                single_files: bool = True) -> dict[str, str]:
+    """K1/K4/K5 in one job: every small result (``name -> (long table, ncols)``)
+    as a headerless CSV: ``out_dir/<name><suffix>.csv`` (``single_files``,
+    the task's file names) or a folder ``out_dir/<name><suffix>``."""
+    spark = next(iter(named.values()))[0].sparkSession
+    parts = []
+    for name, (m, ncols) in named.items():
+        dense = dense_rows(m, ncols)
+        line = F.concat_ws(",", *[_fmt(F.col(f"c{j}"), fmt) for j in range(ncols)])
+        parts.append(dense.select(F.lit(name).alias("name"), "i", line.alias("value")))
+    allrows = parts[0]
+    for p in parts[1:]:
+        allrows = allrows.unionByName(p)
+    return _write_named_lines(spark, allrows, list(named), out_dir, suffix, single_files)
+
+
+def write_arrays(spark, arrays: dict, out_dir: str, suffix: str = "", fmt: str | None = "%.18e",
+                 single_files: bool = True) -> dict[str, str]:
+    """As :func:`write_small` for results already on the driver as small
+    numpy arrays (d x d matrices, scalars): the lines are formatted there
+    (``fmt % v``, which writes ``nan``/``inf`` as numpy's ``savetxt`` does)
+    and written by one job, with no pivot."""
+    rows = []
+    for name, a in arrays.items():
+        for i, row in enumerate(np.atleast_2d(np.asarray(a, dtype=float))):
+            rows.append((name, i, ",".join((fmt % v) if fmt else repr(float(v)) for v in row)))
+    lines = spark.createDataFrame(rows, "name string, i int, value string")
+    return _write_named_lines(spark, lines, list(arrays), out_dir, suffix, single_files)
+
+
 def write_subject_files(meas: DataFrame, path: str, width: int, id_digits: int = 6) -> int:
     """The flat input layout itself: one ``path/subNNNNNN.txt`` per subject.
 
