@@ -82,21 +82,24 @@ def compute(meas: DataFrame, d: int | None = None, split: str = "rank", n_train:
     cov = zscored_stack_cov(m, "subject_id", splits, ddof_z=ddof_z)
     gram = zscored_stack_cov(m, "subject_id", splits, ddof_z=ddof_z, gram=True).where(F.col("split") == "train")
 
-    # every d x d result in one small collect (7 d^2 rows, bounded by d)
-    def tag(df, name, col="value"):
-        return df.select(F.lit(name).alias("name"), "i", "j", F.col(col).cast("double").alias("value"))
-
-    small = (tag(stats, "Fn", "mean").unionByName(tag(stats, "Fv", "var"))
-             .unionByName(tag(by_split.where(F.col("split") == "train"), "Ftrain", "mean"))
-             .unionByName(tag(by_split.where(F.col("split") == "test"), "Ftest", "mean"))
-             .unionByName(tag(cov.where(F.col("split") == "train"), "Ctrain"))
-             .unionByName(tag(cov.where(F.col("split") == "test"), "Ctest"))
-             .unionByName(tag(gram, "gram"))
+    # every d x d result in one small collect (7 d^2 rows + 1, bounded by d);
+    # one branch per source table, the result name computed per row
+    def tag(df, name, value):
+        return df.select(name.alias("name"), "i", "j", value.cast("double").alias("value"))
+
+    train = F.col("split") == "train"
+    small = (tag(stats.select("i", "j", F.explode(F.array(
+                 F.struct(F.lit("Fn").alias("n"), F.col("mean").alias("v")),
+                 F.struct(F.lit("Fv").alias("n"), F.col("var").alias("v")))).alias("s")),
+                 F.col("s.n"), F.col("s.v"))
+             .unionByName(tag(by_split, F.when(train, "Ftrain").otherwise("Ftest"), F.col("mean")))
+             .unionByName(tag(cov, F.when(train, "Ctrain").otherwise("Ctest"), F.col("value")))
+             .unionByName(tag(gram, F.lit("gram"), F.col("value")))
              # the subject count rides along: it sizes the z-score join below
              .unionByName(m.where((F.col("i") == 0) & (F.col("j") == 0))
-                          .agg(F.count(F.lit(1)).cast("double").alias("value"))
-                          .select(F.lit("subjects").alias("name"), F.lit(0).alias("i"), F.lit(0).alias("j"),
-                                  "value")))
+                          .agg(F.count(F.lit(1)).alias("value"))
+                          .select(F.lit(0).alias("i"), F.lit(0).alias("j"), "value")
+                          .transform(lambda df: tag(df, F.lit("subjects"), F.col("value")))))
     mats = {n: np.full((d, d), np.nan) for n in ("Fn", "Fv", "Ftrain", "Ftest", "Ctrain", "Ctest", "gram")}
     n_subjects = 0
     for r in small.collect():
