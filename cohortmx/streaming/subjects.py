@@ -15,7 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.correlate import corr_from_moments, fisher_z
 from ..operators.moments import moments
-from ..operators.summarise import entry_stats
+from ..operators.summarise import (attach_split, entry_stats, split_by_rank, split_by_threshold,
+                                   subject_dim)
 from ..sources.text import parse_lines, split_lines, whole_files
 
 
@@ -45,3 +46,13 @@ def fisher_table(spark: SparkSession, table_path: str) -> DataFrame:
 def running_stats(spark: SparkSession, table_path: str, ddof: int = 0) -> DataFrame:
     """Fn / Fv over all subjects received so far (full d x d grid)."""
     return entry_stats(fisher_table(spark, table_path), ddof=ddof, upper=True)
+
+
+def running_split_stats(spark: SparkSession, table_path: str, n_train: int | None = None,
+                        cut=None, ddof: int = 0) -> DataFrame:
+    """Ftrain / Ftest over the subjects received so far: the rank split
+    (first ``n_train`` ids, default half) or, with ``cut``, the id threshold."""
+    f = fisher_table(spark, table_path)
+    subjects = subject_dim(f)
+    splits = split_by_threshold(subjects, cut) if cut is not None else split_by_rank(subjects, n_train=n_train)
+    return entry_stats(attach_split(f, splits), by="split", ddof=ddof, upper=True)

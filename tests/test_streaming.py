@@ -5,7 +5,7 @@ import tempfile
 import numpy as np
 
 from conftest import MAIN_IDS, WIDTH, np_fisher, to_dense
-from cohortmx.streaming.subjects import fisher_stream, fisher_table, running_stats
+from cohortmx.streaming.subjects import fisher_stream, fisher_table, running_split_stats, running_stats
 
 
 def test_stream_maps_each_file_and_stats_match(spark, main_dir):
@@ -27,3 +27,7 @@ def test_stream_maps_each_file_and_stats_match(spark, main_dir):
     st = running_stats(spark, table).collect()
     assert np.allclose(to_dense(st, col="mean"), F_all.mean(0), atol=1e-12)
     assert np.allclose(to_dense(st, col="var"), F_all.var(0), atol=1e-12)
+    sp = running_split_stats(spark, table).collect()
+    for split, ids in (("train", MAIN_IDS[:3]), ("test", MAIN_IDS[3:])):
+        want = np.mean([np_fisher(mats[s])[1] for s in ids], axis=0)
+        assert np.allclose(to_dense([r for r in sp if r["split"] == split], col="mean"), want, atol=1e-12)
