@@ -127,3 +127,15 @@ def test_singular_values_agree_with_rowmatrix(spark, main_dir):
     z = zscore(rows, "subject_id", d=WIDTH)
     svd = RowMatrix(z.select("x").rdd.map(lambda r: r["x"])).computeSVD(WIDTH, computeU=False)
     assert np.allclose(np.array(svd.s.toArray()), f.s, rtol=1e-10)
+
+
+def test_cli_writes_the_eleven_files(spark, main_dir, capsys):
+    d, mats = main_dir
+    out = tempfile.mkdtemp(prefix="cohortmx-cli-")
+    pipeline.main([d, out, "--k", "2", "--suffix", "p5"])
+    names = sorted(f for f in os.listdir(out) if not f.startswith("."))
+    assert names == sorted(n + "p5.csv" for n in sinks.OUTPUT_NAMES)
+    printed = dict(line.split(": ") for line in capsys.readouterr().out.strip().splitlines())
+    want = _numpy_task(mats, 3, 2)
+    assert float(printed["CUG_Ctest"]) == pytest.approx(want["CUGCtest"], abs=1e-10)
+    assert float(printed["Ctrain_Ctest"]) == pytest.approx(want["CtrainCtest"], abs=1e-10)
