@@ -18,6 +18,7 @@ def components(edges: DataFrame) -> DataFrame:
     so a node with very many edges isn't gathered in a task.
     """
     links = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    before = None
     while True:
         # large star: neighbours above a node link to the smallest around it
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -28,9 +29,11 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(down, "a")
         after = written(small.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
                         .union(down.select("a", F.col("m").alias("b"))).distinct())
-        same = after.count() == links.count() and after.join(links, ["a", "b"], "left_anti").isEmpty()
+        # the set of links, by number and a sum of hashes (of 2**40 each, so that it can't overflow)
+        state = after.agg(F.count(F.lit(1)), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 40)).cast("decimal(38,0)"))).collect()[0]
         links = after
-        if same:
+        if state == before:
             break
+        before = state
     return (links.select(F.col("a").alias("node"), F.col("b").alias("component"))
             .union(links.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct())

@@ -14,7 +14,7 @@ Bands of the signature are joined to find candidates, whose exact weighted
 Jaccard similarity decides (0.8 or more).  Equal texts are one class before
 that.  Within a bucket nobody meets everybody: each member is compared with
 the bucket's first one, and only members that this leaves open go on (see
-``near_links``).
+``near_classes``).
 """
 
 from __future__ import annotations
@@ -34,7 +34,8 @@ from cohortmx.llm.components import components
 K_WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 25, 5        # a pair at 0.8 shares no band with a probability of (1 - 0.8**5)**25 = 5e-5
-SMALL_BUCKET = 12          # up to so many open members are compared with each other at once
+MAYBE = 0.65               # share of equal coordinates below which no pair at 0.8 is expected (4 standard deviations)
+FEW, BLOCK = 8, 64         # members of a bucket that are paired by a join; block size beyond
 
 
 def weighted_units(hashes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -91,7 +92,7 @@ def band_hashes(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def band_table(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, k_words: int = K_WORDS) -> DataFrame:
-    """doc_id, two 64-bit hashes of the text, and its band hashes (null: no words)."""
+    """doc_id, two 64-bit hashes of the text, its band hashes and signature (null: no words)."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -100,18 +101,21 @@ def band_table(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, k_words: i
                 hashes, ends = word_hashes(texts)
                 found, doc, _ = shingles(hashes, ends, k_words)
                 keys, doc = weighted_units(found, doc)
-                bits = band_hashes(signatures(keys, doc, len(b), bands * rows), bands, rows)
+                sig = signatures(keys, doc, len(b), bands * rows)
                 has = np.bincount(doc, minlength=len(b)) > 0
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate([[0], np.cumsum(has * bands)]), pa.int32()), pa.array(bits[has].reshape(-1)))
-                lists = pa.ListArray.from_buffers(lists.type, len(b), [pa.py_buffer(np.packbits(has, bitorder="little").tobytes()), lists.buffers()[1]], children=[lists.values])
+
+                def lists(values: np.ndarray) -> pa.Array:
+                    ends = pa.array(np.concatenate([[0], np.cumsum(has * values.shape[1])]).astype(np.int32), mask=np.append(~has, False))
+                    return pa.ListArray.from_arrays(ends, pa.array(values[has].reshape(-1)))
+
                 digests = [xxhash.xxh3_128_intdigest(t or "") for t in texts.to_pylist()]
                 h1 = np.array([d & (2**64 - 1) for d in digests], np.uint64).view(np.int64)
                 h2 = np.array([d >> 64 for d in digests], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(h1), pa.array(h2), lists], ["doc_id", "h1", "h2", "bands"])
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(h1), pa.array(h2), lists(band_hashes(sig, bands, rows)), lists(sig.view(np.int32))],
+                                                 ["doc_id", "h1", "h2", "bands", "sig"])
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-            .mapInArrow(sign, "doc_id long, h1 long, h2 long, bands array<long>"))
+            .mapInArrow(sign, "doc_id long, h1 long, h2 long, bands array<long>, sig array<int>"))
 
 
 def similarities(pairs: DataFrame, docs: DataFrame, k_words: int = K_WORDS) -> DataFrame:
@@ -143,43 +147,75 @@ def similarities(pairs: DataFrame, docs: DataFrame, k_words: int = K_WORDS) -> D
     return with_b.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long, sim double")
 
 
-def near_links(members: DataFrame, docs: DataFrame, threshold: float = THRESHOLD, k_words: int = K_WORDS) -> DataFrame:
-    """Links (a, b) of similarity >= threshold that connect all members that
-    are connected by any such link within a bucket.
+def near_classes(members: DataFrame, signed: DataFrame, docs: DataFrame, threshold: float = THRESHOLD, k_words: int = K_WORDS) -> DataFrame:
+    """(node, component) of the documents that links of similarity >=
+    threshold within buckets connect.
 
-    ``members``: bucket, doc_id (one per distinct text).  In each round every
-    member is compared with its bucket's smallest one, the hub.  Two members
-    linked to the hub are connected already.  1 - similarity is a metric, so a
-    linked member can only be similar to an unlinked one if their distances to
-    the hub differ by 1 - threshold at most; the unlinked ones and those linked
-    ones stay open for the next round, without the hub.  Buckets with few open
-    members end by comparing these with each other.
+    ``members``: bucket, doc_id (one per distinct text); ``signed``: doc_id,
+    sig.  First every member is compared with its bucket's smallest one, the
+    hub, which connects nearly all that belong together.  Then, in buckets
+    whose other members are still in several components, those outside the
+    hub's component are compared with everybody in another component than
+    theirs: by signature first, in blocks of BLOCK by BLOCK, and exactly where
+    the signatures agree in MAYBE of their coordinates.  So no link between
+    components is missed, and members that the hub connects already don't meet.
     """
-    links: DataFrame | None = None
-    open_ = members
-    while True:
-        sizes = open_.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("hub")).where("n > 1")
-        # a small bucket (not in the first round, where most members link to the hub) ends here
-        hubs = open_.join(sizes, "bucket").where("doc_id <> hub")
-        star = written(hubs.select("bucket", F.col("hub").alias("a"), F.col("doc_id").alias("b")))
-        pairs = star.select("a", "b").distinct()
-        scored = written(similarities(written(pairs), docs, k_words))
-        good = scored.where(F.col("sim") >= threshold).select("a", "b")
-        links = good if links is None else links.union(good)
-        of = star.join(scored, ["a", "b"]).select("bucket", F.col("b").alias("doc_id"), (1 - F.col("sim")).alias("d"))
-        near = 1 - threshold
-        least = (of.where(F.col("d") > near).groupBy("bucket").agg(F.min("d").alias("least")))
-        rest = written(of.join(least, "bucket").where((F.col("d") > near) | (F.col("d") >= F.col("least") - near - 1e-9)).select("bucket", "doc_id"))
-        n_rest = rest.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        small = rest.join(n_rest.where(F.col("n") <= SMALL_BUCKET).select("bucket"), "bucket")
-        each = (small.select("bucket", F.col("doc_id").alias("a")).join(small.select("bucket", F.col("doc_id").alias("b")), "bucket")
-                .where("a < b").select("a", "b").distinct())
-        open_pairs = written(each.join(scored.select("a", "b"), ["a", "b"], "left_anti"))
-        if not open_pairs.isEmpty():
-            links = links.union(written(similarities(open_pairs, docs, k_words)).where(F.col("sim") >= threshold).select("a", "b"))
-        open_ = written(rest.join(n_rest.where(F.col("n") > SMALL_BUCKET).select("bucket"), "bucket"))
-        if open_.isEmpty():
-            return links
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("hub"))
+    star = written(members.join(sizes.where("n > 1"), "bucket").where("doc_id <> hub").select("bucket", "hub", "doc_id", "n"))
+    pairs = written(star.select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct())
+    links = written(similarities(pairs, docs, k_words).where(F.col("sim") >= threshold).select("a", "b"))
+    found = written(components(links))
+    names = found.select(F.col("node").alias("doc_id"), "component")
+    of = (star.where("n > 2").join(names, "doc_id", "left").withColumn("own", F.coalesce("component", "doc_id")).drop("component")
+          .join(names.select(F.col("doc_id").alias("hub"), F.col("component").alias("main")), "hub", "left")
+          .select("bucket", "doc_id", "own", (F.col("own") != F.coalesce("main", "hub")).alias("outside")))
+    mixed = of.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("outside").cast("long")).alias("n_outside"),
+                                     F.min("own").alias("low"), F.max("own").alias("high")).where("low < high")
+    open_ = written(of.join(mixed.select("bucket", "n", "n_outside"), "bucket"))
+    close = written(_close_by_signature(open_, signed).join(pairs, ["a", "b"], "left_anti"))
+    if close.isEmpty():
+        return found
+    more = similarities(close, docs, k_words).where(F.col("sim") >= threshold).select("a", "b")
+    return written(components(links.union(more)))
+
+
+def _close_by_signature(open_: DataFrame, signed: DataFrame) -> DataFrame:
+    """Distinct pairs (a < b) of a member outside the hub's component and one
+    of another component in its bucket, whose signatures agree enough."""
+    sigs = only_ids(signed.select("doc_id", "sig"), open_)
+    few = F.col("n") <= FEW
+    one = open_.where(few).select("bucket", F.col("doc_id").alias("a"), F.col("own").alias("own_a"), F.col("outside").alias("out_a"))
+    other = open_.where(few).select("bucket", F.col("doc_id").alias("b"), F.col("own").alias("own_b"), F.col("outside").alias("out_b"))
+    near = (one.join(other, "bucket").where("a < b and own_a <> own_b and (out_a or out_b)").select("a", "b").distinct()
+            .join(sigs.select(F.col("doc_id").alias("a"), F.col("sig").alias("sig_a")), "a")
+            .join(sigs.select(F.col("doc_id").alias("b"), F.col("sig").alias("sig_b")), "b"))
+    agree = F.size(F.filter(F.zip_with("sig_a", "sig_b", lambda x, y: x == y), lambda x: x)) / F.size("sig_a")
+    near = near.where(agree >= MAYBE).select("a", "b")
+
+    # larger buckets: every member meets every block of outside members, in blocks of members
+    wide = open_.where(~few).withColumn("rows", F.ceil(F.col("n_outside") / BLOCK).cast("int")).withColumn("cols", F.ceil(F.col("n") / BLOCK).cast("int"))
+    def place(salt: int) -> F.Column:
+        return F.xxhash64("doc_id", F.lit(salt))
+
+    base = ["bucket", "doc_id", "own"]
+    left = (wide.where("outside").select(*base, F.pmod(place(1), F.col("rows")).cast("int").alias("row"), F.explode(F.sequence(F.lit(0), F.col("cols") - 1)).alias("col"), F.lit(True).alias("asks")))
+    right = (wide.select(*base, F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("row"), F.pmod(place(2), F.col("cols")).cast("int").alias("col"), F.lit(False).alias("asks")))
+    blocks = left.unionByName(right).join(sigs, "doc_id")
+
+    def compare(group: pa.Table) -> pa.Table:
+        asks = group.column("asks").to_numpy()
+        ids, own = group.column("doc_id").to_numpy(), group.column("own").to_numpy()
+        sig = np.array(group.column("sig").to_pylist(), np.int64)
+        x, y = np.flatnonzero(asks), np.flatnonzero(~asks)
+        out = []
+        for i in x:
+            ok = y[(own[y] != own[i]) & ((sig[y] == sig[i]).mean(axis=1) >= MAYBE)] if len(y) else y
+            out.append(np.stack([np.minimum(ids[ok], ids[i]), np.maximum(ids[ok], ids[i])]))
+        both = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
+        return pa.table({"a": both[0], "b": both[1]})
+
+    far = blocks.groupBy("bucket", "row", "col").applyInArrow(compare, "a long, b long")
+    return near.union(far).distinct()
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
@@ -201,12 +237,12 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     lone = (F.col("h1") == _signed(empty & (2**64 - 1))) & (F.col("h2") == _signed(empty >> 64))
     named = signed.where(F.col("doc_id").isNotNull())
     texts = written(named.where(~lone).groupBy("h1", "h2").agg(F.min("doc_id").alias("text_id")))
-    firsts = only_ids(named.where(F.col("bands").isNotNull()).select("doc_id", "bands"), texts.select(F.col("text_id").alias("doc_id")))
-    rows_of = firsts.dropDuplicates(["doc_id", "bands"]).select(F.explode("bands").alias("bucket"), "doc_id")
+    firsts = written(only_ids(named.where(F.col("bands").isNotNull()).select("doc_id", "bands", "sig"), texts.select(F.col("text_id").alias("doc_id")))
+                     .dropDuplicates(["doc_id", "bands"]))
+    rows_of = firsts.select(F.explode("bands").alias("bucket"), "doc_id")
     shared = rows_of.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    members = written(rows_of.join(shared, "bucket"))
-    links = written(near_links(members, docs, threshold, k_words))
-    found = components(links)
+    members = written(rows_of.join(shared, "bucket").distinct())
+    found = near_classes(members, firsts, docs, threshold, k_words)
     classes = (texts.join(found, texts["text_id"] == found["node"], "left")
                .select("h1", "h2", "text_id", F.coalesce("component", "text_id").alias("class_id")))
     per_row = named.groupBy("doc_id", "h1", "h2").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -2,7 +2,9 @@
 
 A document is contaminated by a benchmark item if a window of the document as
 many words long as the item has a weighted-shingle similarity of 0.8 or more
-to it (five-word shingles; weight: count times rarity among the items).
+to it (five-word shingles; weight: count times rarity among the items).  An
+item of fewer than five words is no passage: it only contaminates a document
+that is the same few words.
 
 Every window that shares at least one shingle with an item gets a 64-bit
 SimHash; windows that share none have similarity 0, so nothing is lost by
