@@ -1,11 +1,13 @@
 """Near-duplicate classes by DartMinHash.
 
-A document is a weighted set: its five-word shingles, each with the number of
-times it occurs.  Every unit of weight of every shingle is a region into which
-darts are thrown as a Poisson process over rank: dart s of a unit has the
-rank of dart s-1 plus an exponential step drawn from a hash of (shingle, unit,
-s), and a coordinate drawn likewise, so two documents get the same darts on
-the weight that they share.  Darts up to a rank of (k ln k + 2k) / weight are
+A document is a weighted set: its five-word shingles, each of weight 1 + ln(n)
+if it occurs n times (so that one phrase said hundreds of times doesn't make
+documents alike).  Every unit of weight of every shingle is a region into
+which darts are thrown as a Poisson process over rank: dart s of a unit has
+the rank of dart s-1 plus an exponential step drawn from a hash of (shingle,
+unit, s), and a coordinate and a height within the unit drawn likewise (of a
+part of a unit, only darts below its height count), so two documents get the
+same darts on the weight that they share.  Darts up to a rank of (k ln k + 2k) / weight are
 thrown, more only if a coordinate stays empty; the earliest dart of each
 coordinate is the signature.  Two signatures agree in a coordinate with a
 probability of the weighted Jaccard similarity.
@@ -38,38 +40,48 @@ MAYBE = 0.65               # share of equal coordinates below which no pair at 0
 FEW, BLOCK = 8, 64         # members of a bucket that are paired by a join; block size beyond
 
 
-def weighted_units(hashes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A key for each unit of weight: the shingle's hash mixed with its count
-    so far in the document.  Returns (key, document), by document."""
+def weight_of(n: np.ndarray) -> np.ndarray:
+    """The weight of a shingle that occurs ``n`` times (0: none)."""
+    return np.where(n > 0, 1 + np.log(np.maximum(n, 1)), 0.0)
+
+
+def weighted_units(hashes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The units of weight of each document's shingles: a key (the shingle's
+    hash mixed with the unit's number), the document, and how much of the unit
+    there is (1, but for the last unit of a weight)."""
     order = np.lexsort((hashes, doc))
     h, d = hashes[order], doc[order]
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
     run = np.flatnonzero(new)
-    nth = np.arange(len(h)) - np.repeat(run, np.diff(np.append(run, len(h))))
-    return mix64(h + nth.astype(np.uint64) * GOLDEN), d
+    weight = weight_of(np.diff(np.append(run, len(h))))
+    units = np.ceil(weight).astype(np.int64)
+    nth = np.arange(units.sum()) - np.repeat(np.cumsum(units) - units, units)
+    share = np.minimum(np.repeat(weight, units) - nth, 1.0)
+    return mix64(np.repeat(h[run], units) + nth.astype(np.uint64) * GOLDEN), np.repeat(d[run], units), share
 
 
-def signatures(keys: np.ndarray, doc: np.ndarray, n_docs: int, k: int) -> np.ndarray:
+def signatures(keys: np.ndarray, doc: np.ndarray, share: np.ndarray, n_docs: int, k: int) -> np.ndarray:
     """(n_docs, k) ranks of the earliest darts as float32 bits (0: no weight)."""
     sig = np.zeros((n_docs, k), np.uint32)
-    weight = np.bincount(doc, minlength=n_docs)
-    reach = np.where(weight > 0, (k * math.log(k) + 2 * k) / np.maximum(weight, 1), 0.0)
+    weight = np.bincount(doc, share, n_docs)
+    reach = np.where(weight > 0, (k * math.log(k) + 2 * k) / np.maximum(weight, 1.0), 0.0)
     todo = weight > 0
     while todo.any():
         at = np.flatnonzero(todo[doc])
         row = (np.cumsum(todo) - 1)[doc[at]]
-        key, limit = keys[at], reach[doc[at]]
+        key, limit, height = keys[at], reach[doc[at]], share[at]
         rank, s, cells = np.zeros(len(at)), 0, []
         while len(key):
             s += 1
             draw = mix64(key + np.uint64(s * int(GOLDEN) % 2**64))
             rank = rank - np.log(((draw >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53))
             hit = rank < limit
-            key, rank, limit, row, draw = key[hit], rank[hit], limit[hit], row[hit], draw[hit]
-            coord = (mix64(draw ^ key) % np.uint64(k)).astype(np.int64)
-            cell = (row * k + coord).astype(np.uint64)
-            cells.append((cell << np.uint64(32)) | rank.astype(np.float32).view(np.uint32).astype(np.uint64))
+            key, rank, limit, row, draw, height = key[hit], rank[hit], limit[hit], row[hit], draw[hit], height[hit]
+            coord = mix64(draw ^ key)
+            cell = (row * k + (coord % np.uint64(k)).astype(np.int64)).astype(np.uint64)
+            dart = (cell << np.uint64(32)) | rank.astype(np.float32).view(np.uint32).astype(np.uint64)
+            cells.append(dart[(height >= 1) | ((mix64(coord) >> np.uint64(11)).astype(np.float64) / float(1 << 53) < height)])
         thrown = np.sort(np.concatenate(cells))
         cell = (thrown >> np.uint64(32)).astype(np.int64)
         first = np.ones(len(cell), bool)
@@ -100,8 +112,8 @@ def band_table(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, k_words: i
                 texts = b.column("text")
                 hashes, ends = word_hashes(texts)
                 found, doc, _ = shingles(hashes, ends, k_words)
-                keys, doc = weighted_units(found, doc)
-                sig = signatures(keys, doc, len(b), bands * rows)
+                keys, doc, share = weighted_units(found, doc)
+                sig = signatures(keys, doc, share, len(b), bands * rows)
                 has = np.bincount(doc, minlength=len(b)) > 0
 
                 def lists(values: np.ndarray) -> pa.Array:
@@ -138,8 +150,8 @@ def similarities(pairs: DataFrame, docs: DataFrame, k_words: int = K_WORDS) -> D
                 run = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (pair[1:] != pair[:-1])])) if len(h) else np.zeros(0, int)
                 in_b = np.add.reduceat(side, run) if len(run) else run
                 in_a = np.diff(np.append(run, len(h))) - in_b
-                least = np.bincount(pair[run], np.minimum(in_a, in_b), len(b)) if len(run) else np.zeros(len(b))
-                most = np.bincount(pair[run], np.maximum(in_a, in_b), len(b)) if len(run) else np.zeros(len(b))
+                least = np.bincount(pair[run], weight_of(np.minimum(in_a, in_b)), len(b)) if len(run) else np.zeros(len(b))
+                most = np.bincount(pair[run], weight_of(np.maximum(in_a, in_b)), len(b)) if len(run) else np.zeros(len(b))
                 yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(least / np.maximum(most, 1))], ["a", "b", "sim"])
 
     with_a = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
@@ -153,35 +165,46 @@ def near_classes(members: DataFrame, signed: DataFrame, docs: DataFrame, thresho
 
     ``members``: bucket, doc_id (one per distinct text); ``signed``: doc_id,
     sig.  First every member is compared with its bucket's smallest one, the
-    hub, which connects nearly all that belong together.  Then, in buckets
-    whose other members are still in several components, those outside the
-    hub's component are compared with everybody in another component than
-    theirs: by signature first, in blocks of BLOCK by BLOCK, and exactly where
-    the signatures agree in MAYBE of their coordinates.  So no link between
-    components is missed, and members that the hub connects already don't meet.
+    hub, which connects most that belong together.  Then, in buckets whose
+    other members are still in several components, those outside the hub's
+    component are compared with everybody in another component than theirs: by
+    signature, in blocks of BLOCK by BLOCK, and exactly where the signatures
+    agree in MAYBE of their coordinates.  That is done twice: first each only
+    with the one most like it of each block, which joins most of the rest, then
+    with all that are still apart.  So no link between components is missed,
+    and members that are connected already don't meet.
     """
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("hub"))
     star = written(members.join(sizes.where("n > 1"), "bucket").where("doc_id <> hub").select("bucket", "hub", "doc_id", "n"))
     pairs = written(star.select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct())
     links = written(similarities(pairs, docs, k_words).where(F.col("sim") >= threshold).select("a", "b"))
     found = written(components(links))
-    names = found.select(F.col("node").alias("doc_id"), "component")
-    of = (star.where("n > 2").join(names, "doc_id", "left").withColumn("own", F.coalesce("component", "doc_id")).drop("component")
-          .join(names.select(F.col("doc_id").alias("hub"), F.col("component").alias("main")), "hub", "left")
-          .select("bucket", "doc_id", "own", (F.col("own") != F.coalesce("main", "hub")).alias("outside")))
-    mixed = of.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("outside").cast("long")).alias("n_outside"),
-                                     F.min("own").alias("low"), F.max("own").alias("high")).where("low < high")
-    open_ = written(of.join(mixed.select("bucket", "n", "n_outside"), "bucket"))
-    close = written(_close_by_signature(open_, signed).join(pairs, ["a", "b"], "left_anti"))
-    if close.isEmpty():
-        return found
-    more = similarities(close, docs, k_words).where(F.col("sim") >= threshold).select("a", "b")
-    return written(components(links.union(more)))
-
-
-def _close_by_signature(open_: DataFrame, signed: DataFrame) -> DataFrame:
+    done = pairs
+    for best_only in (True, False):
+        names = found.select(F.col("node").alias("doc_id"), "component")
+        of = (star.where("n > 2").join(names, "doc_id", "left").withColumn("own", F.coalesce("component", "doc_id")).drop("component")
+              .join(names.select(F.col("doc_id").alias("hub"), F.col("component").alias("main")), "hub", "left")
+              .select("bucket", "doc_id", "own", (F.col("own") != F.coalesce("main", "hub")).alias("outside")))
+        mixed = of.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("outside").cast("long")).alias("n_outside"),
+                                         F.min("own").alias("low"), F.max("own").alias("high")).where("low < high")
+        open_ = written(of.join(mixed.select("bucket", "n", "n_outside"), "bucket"))
+        if best_only:
+            open_ = open_.where(F.col("n") > FEW)
+        if open_.isEmpty():
+            continue
+        close = written(_close_by_signature(open_, signed, best_only).join(done, ["a", "b"], "left_anti"))
+        if close.isEmpty():
+            continue
+        done = done.union(close)
+        links = links.union(written(similarities(close, docs, k_words).where(F.col("sim") >= threshold).select("a", "b")))
+        found = written(components(links))
+    return found
+
+
+def _close_by_signature(open_: DataFrame, signed: DataFrame, best_only: bool) -> DataFrame:
     """Distinct pairs (a < b) of a member outside the hub's component and one
-    of another component in its bucket, whose signatures agree enough."""
+    of another component in its bucket, whose signatures agree enough (or of
+    those in a block the one that agrees most)."""
     sigs = only_ids(signed.select("doc_id", "sig"), open_)
     few = F.col("n") <= FEW
     one = open_.where(few).select("bucket", F.col("doc_id").alias("a"), F.col("own").alias("own_a"), F.col("outside").alias("out_a"))
@@ -209,7 +232,10 @@ def _close_by_signature(open_: DataFrame, signed: DataFrame) -> DataFrame:
         x, y = np.flatnonzero(asks), np.flatnonzero(~asks)
         out = []
         for i in x:
-            ok = y[(own[y] != own[i]) & ((sig[y] == sig[i]).mean(axis=1) >= MAYBE)] if len(y) else y
+            agree = np.where(own[y] != own[i], (sig[y] == sig[i]).mean(axis=1), 0.0) if len(y) else np.zeros(0)
+            ok = y[agree >= MAYBE]
+            if best_only and len(ok):
+                ok = y[[int(agree.argmax())]]
             out.append(np.stack([np.minimum(ids[ok], ids[i]), np.maximum(ids[ok], ids[i])]))
         both = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
         return pa.table({"a": both[0], "b": both[1]})
