@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortmx.llm.common import GOLDEN, mix64, only_ids, shingles, text_slices, word_hashes, written
+from cohortmx.llm.common import GOLDEN, SLICE_BYTES, mix64, only_ids, shingles, text_slices, word_hashes, written
 from cohortmx.llm.components import components
 
 K_WORDS = 5
@@ -108,7 +108,7 @@ def band_table(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, k_words: i
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for b in text_slices(whole):
+            for b in text_slices(whole, limit=SLICE_BYTES // 2):
                 texts = b.column("text")
                 hashes, ends = word_hashes(texts)
                 found, doc, _ = shingles(hashes, ends, k_words)
