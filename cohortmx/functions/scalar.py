@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 NAN = float("nan")
+EXACT = 1e-12
 
 
 def pair_list(d: int, diagonal: bool = True) -> list[tuple[int, int]]:
@@ -14,13 +15,16 @@ def pair_list(d: int, diagonal: bool = True) -> list[tuple[int, int]]:
 
 
 def clamp_corr(r: Column) -> Column:
-    """NULL -> NaN; values pushed past +-1 by rounding go back to +-1.
+    """NULL -> NaN; values past +-1, or within EXACT of it, are +-1.
+
+    Columns that are equal or negated give exactly +-1 then in every physical
+    form of the moments, whatever the order in which they were summed.
 
     NULL and NaN are tested first: ``least(r, 1)`` would turn both into 1.
     """
     return (F.when(r.isNull() | F.isnan(r), F.lit(NAN))
-            .when(r > 1.0, F.lit(1.0))
-            .when(r < -1.0, F.lit(-1.0))
+            .when(r > 1.0 - EXACT, F.lit(1.0))
+            .when(r < -1.0 + EXACT, F.lit(-1.0))
             .otherwise(r))
 
 
@@ -32,7 +36,8 @@ def safe_corr(c_ab: Column, c_aa: Column, c_bb: Column, n: Column,
     variance can be a tiny non-zero number, so the variance is not tested).
     One-row groups give NaN as well.
     """
-    r = F.try_divide(c_ab, F.sqrt(c_aa * c_bb))
+    # one square root at a time: the product could leave the range of a double
+    r = F.try_divide(F.try_divide(c_ab, F.sqrt(c_aa)), F.sqrt(c_bb))
     return (F.when((n < 2) | const_a | const_b, F.lit(NAN))
             .otherwise(clamp_corr(r)))
 

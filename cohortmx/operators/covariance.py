@@ -16,8 +16,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .correlate import corr_from_moments
+from ..functions import scalar
 from .moments import _keys, mirror, moments
+from .summarise import attach_split
 
 NAN = float("nan")
 
@@ -36,13 +37,17 @@ def cov_matrix(df: DataFrame, by, x: str = "x", d: int | None = None, ddof: int
 
 
 def zscored_contributions(m: DataFrame, key, ddof_z: int = 0) -> DataFrame:
-    """Per subject and (i, j): ``n`` and the z-scored cross-product sum."""
-    keys = _keys(key)
-    r = corr_from_moments(m, keys, keep_n=True)
-    nn = F.col("n").cast("double") - F.lit(float(ddof_z))
-    # NaN r (constant column, one row): z is 0, so it contributes 0
-    w = F.when(F.isnan("r") | (nn <= 0), F.lit(0.0)).otherwise(nn * F.col("r"))
-    return r.select(*keys, "i", "j", "n", w.alias("w"))
+    """Per subject and i <= j: ``n`` and the z-scored cross-product sum.
+
+    A constant column or a subject of fewer than two rows z-scores to 0 and
+    contributes 0; an undefined r of any other cause (NaN values) stays NaN.
+    """
+    c = F.col
+    nn = c("n").cast("double") - F.lit(float(ddof_z))
+    flat = c("const_i") | c("const_j") | (c("n") < 2) | (nn <= 0)
+    r = F.when(c("i") == c("j"), F.when(F.isnan("c_ii"), F.lit(NAN)).otherwise(F.lit(1.0))).otherwise(
+        scalar.safe_corr(c("c_ij"), c("c_ii"), c("c_jj"), c("n"), c("const_i"), c("const_j")))
+    return m.select(*_keys(key), "i", "j", "n", F.when(flat, F.lit(0.0)).otherwise(nn * r).alias("w"))
 
 
 def zscored_stack_cov(m: DataFrame, key, splits: DataFrame | None = None, ddof_z: int = 0,
@@ -56,7 +61,7 @@ def zscored_stack_cov(m: DataFrame, key, splits: DataFrame | None = None, ddof_z
     keys = _keys(key)
     contrib = zscored_contributions(m, keys, ddof_z)
     if splits is not None:
-        contrib = contrib.join(splits.select(*keys, "split"), keys)
+        contrib = attach_split(contrib, splits, keys[0])
     else:
         contrib = contrib.withColumn("split", F.lit("all"))
     agg = contrib.groupBy("split", "i", "j").agg(F.sum("w").alias("s"), F.sum("n").alias("N"))
@@ -64,4 +69,4 @@ def zscored_stack_cov(m: DataFrame, key, splits: DataFrame | None = None, ddof_z
         value = F.col("s")
     else:
         value = F.col("s") / (F.col("N").cast("double") - F.lit(float(ddof)))
-    return agg.select("split", "i", "j", value.alias("value"))
+    return mirror(agg.select("split", "i", "j", value.alias("value")), ["split"], ["value"])

@@ -72,7 +72,8 @@ def moments(df: DataFrame, key, x: str = "x", d: int | None = None, method: str
     """Long moments table (see module doc) of ``x`` grouped by ``key``.
 
     ``x`` must hold complete observations (no NULL entries): the sources
-    drop or reject incomplete rows before this step.
+    drop or reject incomplete rows before this step.  A row of another
+    length than ``d`` raises.
 
     ``cluster`` (for the chunk form): first range-partition the rows by
     ``(key, hash of the row)`` into ``cluster`` partitions (``True``: the
@@ -85,6 +86,8 @@ def moments(df: DataFrame, key, x: str = "x", d: int | None = None, method: str
     """
     keys = _keys(key)
     d = d or array_width(df, x)
+    df = df.withColumn(x, F.when(F.size(x) == d, F.col(x)).otherwise(
+        F.raise_error(F.lit(f"a row of {x} does not hold {d} values"))))
     if cluster:
         n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) if cluster is True else int(cluster)
         df = df.repartitionByRange(n, *[F.col(k) for k in keys], F.xxhash64(F.col(x)))

@@ -11,9 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .moments import _keys, mirror
 
 
+SPLIT_ROWS = 1_000_000   # of the split table: about 40 MB
+
+
 def entry_stats(table: DataFrame, by=(), value: str = "f", ddof: int = 0, skip_undefined: bool = False,
                 upper: bool = False) -> DataFrame:
     """A2-A5: ``by..., i, j, mean, var, n`` of ``value`` over all subjects.
@@ -50,6 +54,8 @@ def rank_subjects(subjects: DataFrame, key: str = "subject_id", partitions: int
     ordered = (subjects.repartitionByRange(p, key).sortWithinPartitions(key)
                .withColumn("_pid", F.spark_partition_id())
                .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33)))
+    # numbered once: a second range exchange could sample other bounds
+    ordered = materialize(ordered)
     counts = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.orderBy("_pid")
     offsets = counts.select(
@@ -81,9 +87,10 @@ def split_by_threshold(subjects: DataFrame, cut, key: str = "subject_id") -> Dat
 def attach_split(table: DataFrame, splits: DataFrame, key: str = "subject_id") -> DataFrame:
     """Label every row of ``table`` with its subject's split.
 
-    Inner equi-join on the subject id.  The split table has one row per
-    subject; AQE turns this into a broadcast join at run time when the
-    materialised subject table is under the adaptive broadcast threshold and
-    keeps the shuffle join otherwise.
+    Inner equi-join on the subject id: the split table (one row per subject)
+    is broadcast up to SPLIT_ROWS counted rows, beyond that both sides are
+    shuffled; the subjects x d^2 side is never broadcast.
     """
-    return table.join(splits.select(key, "split"), key)
+    own = splits.select(key, "split")
+    small = own.limit(SPLIT_ROWS + 1).count() <= SPLIT_ROWS
+    return table.join(F.broadcast(own) if small else own.hint("merge"), key)

@@ -45,6 +45,7 @@ class Results:
     moments: DataFrame | None = None
     splits: DataFrame | None = None
     arrays: dict[str, np.ndarray] = field(default_factory=dict)  # the small results, on the driver
+    rejects: dict[str, int] = field(default_factory=dict)  # rows left out, by reason
     z_train: DataFrame | None = None  # z-scored train rows, input of U
 
     def report(self) -> DataFrame:
@@ -108,7 +109,9 @@ def compute(meas: DataFrame, d: int | None = None, split: str = "rank", n_train:
         else:
             mats[r["name"]][r["i"], r["j"]] = r["value"]
 
-    f = factor_gram(spark, np.nan_to_num(mats["gram"]), k)
+    if not np.isfinite(mats["gram"]).all():
+        raise ValueError("the train split has no subject, or its values have NaN or infinity")
+    f = factor_gram(spark, mats["gram"], k)
     ctrain_np, ctest_np = mats["Ctrain"], mats["Ctest"]
     cug_np = f.cov_ug(ctrain_np)
 
@@ -173,17 +176,23 @@ def write(res: Results, out_dir: str, suffix: str = "", fmt: str | None = "%.18e
 
 
 def run(spark: SparkSession, input_dir: str, out_dir: str, glob: str = "sub*.txt", width: int | None = None,
-        suffix: str = "", read_opts: dict | None = None, **kw) -> Results:
+        suffix: str = "", read_opts: dict | None = None, on_reject: str = "fail", **kw) -> Results:
     """Read a ``subNNNNNN.txt`` directory, compute, write the eleven files.
 
     ``read_opts`` go to :func:`read_matrix_dir` (e.g. ids from
     ``sub=NNNNNN`` folders: ``id_from="path", id_regex=r"sub=(\\d+)",
-    recursive=True``).
+    recursive=True``).  A row that does not parse ends the run
+    (``on_reject="fail"``), or is left out and counted by reason in
+    ``Results.rejects`` (``"count"``: one more read of the text).
     """
+    if on_reject not in ("fail", "count"):
+        raise ValueError("on_reject must be 'fail' or 'count'")
     from ..sources.text import read_matrix_dir
 
-    src = read_matrix_dir(spark, input_dir, glob=glob, width=width, **(read_opts or {}))
+    src = read_matrix_dir(spark, input_dir, glob=glob, width=width, strict=on_reject == "fail", **(read_opts or {}))
     res = compute(src.rows, d=src.width, **kw)
+    if on_reject == "count":
+        res.rejects = {r["reason"]: r["count"] for r in src.rejects.groupBy("reason").count().collect()}
     write(res, out_dir, suffix)
     return res
 
@@ -210,10 +219,13 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--ddof-var", type=int, default=0)
     ap.add_argument("--ddof-z", type=int, default=0)
     ap.add_argument("--suffix", default="")
+    ap.add_argument("--on-reject", choices=["fail", "count"], default="fail")
     a = ap.parse_args(argv)
     spark = builder("cohortmx-pipeline").getOrCreate()
     res = run(spark, a.input_dir, a.out_dir, glob=a.glob, width=a.width, suffix=a.suffix, split=a.split,
-              n_train=a.n_train, cut=a.cut, k=a.k, ddof_var=a.ddof_var, ddof_z=a.ddof_z)
+              n_train=a.n_train, cut=a.cut, k=a.k, ddof_var=a.ddof_var, ddof_z=a.ddof_z, on_reject=a.on_reject)
+    for reason, n in res.rejects.items():
+        print(f"rejected, {reason}: {n}")
     for pair, value in res.distances.items():
         print(f"{pair}: {value:.17g}")
 

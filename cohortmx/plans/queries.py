@@ -131,7 +131,7 @@ def q_cov_train_test(spark, sf):
 
 def _train_test(spark, sf):
     m, splits = _prepared(spark, sf)
-    c = zscored_stack_cov(m, "subject_id", splits)
+    c = materialize(zscored_stack_cov(m, "subject_id", splits))   # 2 d^2 rows, read four times or less
     tr = c.where(F.col("split") == "train").drop("split")
     te = c.where(F.col("split") == "test").drop("split")
     return tr, te
@@ -177,7 +177,7 @@ def q_cov_ug_full_rank(spark, sf):
 
 def _closeness(spark, sf, k):
     m, splits, f = _factors(spark, sf, k)
-    c = zscored_stack_cov(m, "subject_id", splits)
+    c = materialize(zscored_stack_cov(m, "subject_id", splits))
     tr = c.where(F.col("split") == "train").drop("split")
     te = c.where(F.col("split") == "test").drop("split")
     cug = mx.from_numpy(spark, f.cov_ug(mx.to_numpy(tr, D)))

@@ -52,6 +52,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
+    elif not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     else:
         # Only reached in local runs without cluster configuration (tests).
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="cohortmx-ckpt-"))

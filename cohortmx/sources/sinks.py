@@ -72,7 +72,7 @@ def write_matrix_dir(meas: DataFrame, path: str, width: int, id_digits: int = 6,
     """The inverse of ``read_matrix_dir``: rows as space-separated text under
     ``path/sub=NNNNNN/``, line order = ``row_idx`` within each file.
 
-    By default rows are written where they are (no shuffle): a subject
+    Ids are padded to ``id_digits``, longer ones written whole.  By default rows are written where they are (no shuffle): a subject
     spread over several tasks gets several files in its folder, each
     numbered from 0.  ``one_file_per_subject`` reproduces the one-file
     layout with a hash shuffle by subject (each subject's rows then go
@@ -83,7 +83,8 @@ def write_matrix_dir(meas: DataFrame, path: str, width: int, id_digits: int = 6,
         meas = meas.repartition(F.col("subject_id"))
     line = F.concat_ws(" ", *[F.col("x")[k].cast("string") for k in range(width)])
     order = ["sub", "row_idx"] if "row_idx" in meas.columns else ["sub"]
-    out = meas.select(F.lpad(F.col("subject_id").cast("string"), id_digits, "0").alias("sub"),
+    out = meas.select(F.lpad(F.col("subject_id").cast("string"),
+                             F.greatest(F.length(F.col("subject_id").cast("string")), F.lit(id_digits)), F.lit("0")).alias("sub"),
                       *([F.col("row_idx")] if "row_idx" in meas.columns else []), line.alias("value"))
     (out.sortWithinPartitions(*order).select("sub", "value").write.mode("overwrite")
      .partitionBy("sub").text(path))

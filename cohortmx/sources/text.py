@@ -49,29 +49,33 @@ def _lines(spark: SparkSession, path: str, glob: str, recursive: bool) -> DataFr
     return split_lines(whole_files(reader.text(path, wholetext=True)))
 
 
-def read_matrix_dir(spark: SparkSession, path: str, glob: str = "sub*.txt", id_regex: str = r"(\d{6})",
+def read_matrix_dir(spark: SparkSession, path: str, glob: str = "sub*.txt", id_regex: str = r"(\d{6,})",
                     width: int | None = None, id_from: str = "file_name", recursive: bool = False,
-                    id_slice: tuple[int, int] | None = None) -> MatrixDir:
+                    id_slice: tuple[int, int] | None = None, strict: bool = False) -> MatrixDir:
     """Read every matching file below ``path``.
 
     ``id_regex``'s first group, matched against the file name (P5), is the
-    subject id; ``id_from="path"`` matches the whole path instead.
-    ``id_slice=(3, 9)`` takes the id from fixed positions of the file name
-    instead (P6, Python slice convention).  ``width`` (regions per row)
+    subject id (by default the whole first run of six digits or more);
+    ``id_from="path"`` matches the whole path instead.  ``id_slice=(3, 9)``
+    takes the id from fixed positions of the file name instead (P6, Python
+    slice convention); a name whose digits go on after the slice has no id.
+    ``strict`` raises on the first row that does not parse, in the same pass,
+    instead of leaving it to ``rejects``.  ``width`` (regions per row)
     defaults to the token count of the first line read.
     """
-    return parse_lines(_lines(spark, path, glob, recursive), path, glob, width, id_regex, id_from, id_slice)
+    return parse_lines(_lines(spark, path, glob, recursive), path, glob, width, id_regex, id_from, id_slice, strict)
 
 
 def parse_lines(lines: DataFrame, path: str = "", glob: str = "", width: int | None = None,
-                id_regex: str = r"(\d{6})", id_from: str = "file_name",
-                id_slice: tuple[int, int] | None = None) -> MatrixDir:
+                id_regex: str = r"(\d{6,})", id_from: str = "file_name",
+                id_slice: tuple[int, int] | None = None, strict: bool = False) -> MatrixDir:
     """P3-P6 on :func:`split_lines` output; ``width`` is required for a
     streaming input (no first row to look at)."""
     source = F.col("file_name") if id_from == "file_name" else F.col("file_path")
     if id_slice is not None:
         start, stop = id_slice
-        sid = F.substring(F.col("file_name"), start + 1, stop - start)
+        goes_on = F.substring(F.col("file_name"), stop + 1, 1).rlike(r"\d")
+        sid = F.when(goes_on, F.lit("")).otherwise(F.substring(F.col("file_name"), start + 1, stop - start))
     else:
         sid = F.regexp_extract(source, id_regex, 1)
     # Trim, split on any run of whitespace; P4: cast the whole array
@@ -92,21 +96,27 @@ def parse_lines(lines: DataFrame, path: str = "", glob: str = "", width: int | N
               .when(F.length(F.trim("line")) == 0, F.lit("empty line"))
               .when(F.size("x") != width, F.lit("wrong number of values"))
               .otherwise(F.lit("not a number")))
-    rows = parsed.where(ok).select("subject_id", "row_idx", "x")
+    if strict:
+        where = F.concat(F.col("file_name"), F.lit(", row "), F.col("row_idx"), F.lit(": "), reason)
+        rows = parsed.select("subject_id", "row_idx", F.when(ok, F.col("x")).otherwise(F.raise_error(where)).alias("x"))
+    else:
+        rows = parsed.where(ok).select("subject_id", "row_idx", "x")
     rejects = parsed.where(~ok).select("subject_id", "file_name", "row_idx", "line", reason.alias("reason"))
     return MatrixDir(rows=rows, rejects=rejects, width=width)
 
 
 def read_delimited(spark: SparkSession, path: str, width: int, sep: str = " ", glob: str = "sub*.txt",
-                   id_regex: str = r"(\d{6})") -> DataFrame:
+                   id_regex: str = r"(\d{6,})") -> DataFrame:
     """S3 when row order is not needed: a splittable CSV scan (large files
     split across tasks), ``row_idx`` left NULL.  Only for statistics that
-    ignore order (all but U's row identity)."""
+    ignore order (all but U's row identity).  Raises on a line that does not
+    hold ``width`` numbers and on a file name without an id."""
     schema = T.StructType([T.StructField(f"c{k}", T.DoubleType(), True) for k in range(width)])
     df = (spark.read.option("pathGlobFilter", glob).option("sep", sep).option("ignoreLeadingWhiteSpace", "true")
-          .option("ignoreTrailingWhiteSpace", "true").option("mode", "DROPMALFORMED").schema(schema).csv(path))
+          .option("ignoreTrailingWhiteSpace", "true").option("mode", "FAILFAST").schema(schema).csv(path))
     sid = F.regexp_extract(F.col("_metadata.file_name"), id_regex, 1)
-    return df.select(F.when(sid != "", sid).try_cast("long").alias("subject_id"),
+    x = F.array(*[F.col(f"c{k}") for k in range(width)])
+    return df.select(F.when(sid != "", sid.cast("long")).otherwise(F.raise_error(F.lit("no subject id in name"))).alias("subject_id"),
                      F.lit(None).cast("int").alias("row_idx"),
-                     F.array(*[F.col(f"c{k}") for k in range(width)]).alias("x")).where(
-        F.col("subject_id").isNotNull() & F.forall("x", lambda v: v.isNotNull()))
+                     F.when(F.forall(x, lambda v: v.isNotNull()), x)
+                     .otherwise(F.raise_error(F.lit(f"a line does not hold {width} numbers"))).alias("x"))

@@ -23,7 +23,7 @@ def main():
     from cohortmx.plans.queries import QUERIES
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
+    spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "8")
              .config("spark.ui.showConsoleProgress", "false").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     out = ["# Physical plans of the headline queries", "",
