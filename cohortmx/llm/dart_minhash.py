@@ -37,7 +37,8 @@ K_WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 25, 5        # a pair at 0.8 shares no band with a probability of (1 - 0.8**5)**25 = 5e-5
 MAYBE = 0.65               # share of equal coordinates below which no pair at 0.8 is expected (4 standard deviations)
-FEW, BLOCK = 8, 64         # members of a bucket that are paired by a join; block size beyond
+FEW, BLOCK = 8, 64         # members of a bucket that are paired by a join; members of a block's side beyond
+BLOCK_SHINGLES = 1 << 18   # shingles of a block's side (2 MB)
 
 
 def weight_of(n: np.ndarray) -> np.ndarray:
@@ -159,6 +160,21 @@ def similarities(pairs: DataFrame, docs: DataFrame, k_words: int = K_WORDS) -> D
     return with_b.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long, sim double")
 
 
+def shingle_lists(docs: DataFrame, k_words: int = K_WORDS) -> DataFrame:
+    """doc_id, the sorted hashes of all its shingles (one that occurs n times is there n times)."""
+
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in text_slices(whole):
+                found, doc, _ = shingles(*word_hashes(b.column("text")), k_words)
+                order = np.lexsort((found, doc))
+                ends = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(b)))]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(found[order].view(np.int64)))],
+                                                 ["doc_id", "shingles"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lists, "doc_id long, shingles array<long>")
+
+
 def near_classes(members: DataFrame, signed: DataFrame, docs: DataFrame, threshold: float = THRESHOLD, k_words: int = K_WORDS) -> DataFrame:
     """(node, component) of the documents that links of similarity >=
     threshold within buckets connect.
@@ -167,81 +183,108 @@ def near_classes(members: DataFrame, signed: DataFrame, docs: DataFrame, thresho
     sig.  First every member is compared with its bucket's smallest one, the
     hub, which connects most that belong together.  Then, in buckets whose
     other members are still in several components, those outside the hub's
-    component are compared with everybody in another component than theirs: by
-    signature, in blocks of BLOCK by BLOCK, and exactly where the signatures
-    agree in MAYBE of their coordinates.  That is done twice: first each only
-    with the one most like it of each block, which joins most of the rest, then
-    with all that are still apart.  So no link between components is missed,
-    and members that are connected already don't meet.
+    component are compared with everybody in another component than theirs: in
+    buckets of at most FEW by signature, and exactly where the signatures agree
+    in MAYBE of their coordinates; in larger ones exactly, in blocks (see
+    ``_links_in_blocks``).  So no link between components is missed, and
+    members that are connected already don't meet.
     """
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("hub"))
     star = written(members.join(sizes.where("n > 1"), "bucket").where("doc_id <> hub").select("bucket", "hub", "doc_id", "n"))
     pairs = written(star.select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct())
     links = written(similarities(pairs, docs, k_words).where(F.col("sim") >= threshold).select("a", "b"))
     found = written(components(links))
-    done = pairs
-    for best_only in (True, False):
-        names = found.select(F.col("node").alias("doc_id"), "component")
-        of = (star.where("n > 2").join(names, "doc_id", "left").withColumn("own", F.coalesce("component", "doc_id")).drop("component")
-              .join(names.select(F.col("doc_id").alias("hub"), F.col("component").alias("main")), "hub", "left")
-              .select("bucket", "doc_id", "own", (F.col("own") != F.coalesce("main", "hub")).alias("outside")))
-        mixed = of.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("outside").cast("long")).alias("n_outside"),
-                                         F.min("own").alias("low"), F.max("own").alias("high")).where("low < high")
-        open_ = written(of.join(mixed.select("bucket", "n", "n_outside"), "bucket"))
-        if best_only:
-            open_ = open_.where(F.col("n") > FEW)
-        if open_.isEmpty():
-            continue
-        close = written(_close_by_signature(open_, signed, best_only).join(done, ["a", "b"], "left_anti"))
-        if close.isEmpty():
-            continue
-        done = done.union(close)
-        links = links.union(written(similarities(close, docs, k_words).where(F.col("sim") >= threshold).select("a", "b")))
-        found = written(components(links))
-    return found
-
-
-def _close_by_signature(open_: DataFrame, signed: DataFrame, best_only: bool) -> DataFrame:
+    names = found.select(F.col("node").alias("doc_id"), "component")
+    of = (star.where("n > 2").join(names, "doc_id", "left").withColumn("own", F.coalesce("component", "doc_id")).drop("component")
+          .join(names.select(F.col("doc_id").alias("hub"), F.col("component").alias("main")), "hub", "left")
+          .select("bucket", "doc_id", "own", (F.col("own") != F.coalesce("main", "hub")).alias("outside")))
+    mixed = of.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("own").alias("low"), F.max("own").alias("high")).where("low < high")
+    open_ = written(of.join(mixed.select("bucket", "n"), "bucket"))
+    if open_.isEmpty():
+        return found
+    close = written(_close_by_signature(open_.where(F.col("n") <= FEW), signed).join(pairs, ["a", "b"], "left_anti"))
+    more = written(similarities(close, docs, k_words).where(F.col("sim") >= threshold).select("a", "b"))
+    wide = written(_links_in_blocks(open_.where(F.col("n") > FEW), docs, threshold, k_words))
+    return written(components(links.union(more).union(wide)))
+
+
+def _close_by_signature(open_: DataFrame, signed: DataFrame) -> DataFrame:
     """Distinct pairs (a < b) of a member outside the hub's component and one
-    of another component in its bucket, whose signatures agree enough (or of
-    those in a block the one that agrees most)."""
+    of another component in its bucket, whose signatures agree enough."""
     sigs = only_ids(signed.select("doc_id", "sig"), open_)
-    few = F.col("n") <= FEW
-    one = open_.where(few).select("bucket", F.col("doc_id").alias("a"), F.col("own").alias("own_a"), F.col("outside").alias("out_a"))
-    other = open_.where(few).select("bucket", F.col("doc_id").alias("b"), F.col("own").alias("own_b"), F.col("outside").alias("out_b"))
+    one = open_.select("bucket", F.col("doc_id").alias("a"), F.col("own").alias("own_a"), F.col("outside").alias("out_a"))
+    other = open_.select("bucket", F.col("doc_id").alias("b"), F.col("own").alias("own_b"), F.col("outside").alias("out_b"))
     near = (one.join(other, "bucket").where("a < b and own_a <> own_b and (out_a or out_b)").select("a", "b").distinct()
             .join(sigs.select(F.col("doc_id").alias("a"), F.col("sig").alias("sig_a")), "a")
             .join(sigs.select(F.col("doc_id").alias("b"), F.col("sig").alias("sig_b")), "b"))
     agree = F.size(F.filter(F.zip_with("sig_a", "sig_b", lambda x, y: x == y), lambda x: x)) / F.size("sig_a")
-    near = near.where(agree >= MAYBE).select("a", "b")
+    return near.where(agree >= MAYBE).select("a", "b").distinct()
+
+
+def _links_in_blocks(open_: DataFrame, docs: DataFrame, threshold: float, k_words: int) -> DataFrame:
+    """Links (a < b) that connect, bucket by bucket, what members outside the
+    hub's component and members of other components connect.
+
+    Every outside member meets every member, in blocks that hold about BLOCK
+    members and BLOCK_SHINGLES shingles on either side (a longer document is
+    alone there).  A block compares by the exact weighted similarity and
+    returns only links between what it hasn't connected yet: at most one less
+    than it has members, whatever its pairs.
+    """
+    lists = written(shingle_lists(only_ids(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), open_), k_words).distinct())
+    wide = open_.join(lists.select("doc_id", F.size("shingles").cast("long").alias("size")), "doc_id")
+
+    def parts(number: F.Column, size: F.Column) -> F.Column:
+        return F.greatest(F.ceil(number / BLOCK), F.ceil(size / BLOCK_SHINGLES)).cast("int")
+
+    out = F.col("outside").cast("long")
+    shape = (wide.groupBy("bucket").agg(parts(F.sum(out), F.sum(out * F.col("size"))).alias("rows"), parts(F.count(F.lit(1)), F.sum("size")).alias("cols"))
+             .where("rows > 0"))
+    wide = wide.drop("size", "n").join(shape, "bucket")
 
-    # larger buckets: every member meets every block of outside members, in blocks of members
-    wide = open_.where(~few).withColumn("rows", F.ceil(F.col("n_outside") / BLOCK).cast("int")).withColumn("cols", F.ceil(F.col("n") / BLOCK).cast("int"))
-    def place(salt: int) -> F.Column:
-        return F.xxhash64("doc_id", F.lit(salt))
+    def place(salt: int, among: str) -> F.Column:
+        return F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.col(among)).cast("int")
 
     base = ["bucket", "doc_id", "own"]
-    left = (wide.where("outside").select(*base, F.pmod(place(1), F.col("rows")).cast("int").alias("row"), F.explode(F.sequence(F.lit(0), F.col("cols") - 1)).alias("col"), F.lit(True).alias("asks")))
-    right = (wide.select(*base, F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("row"), F.pmod(place(2), F.col("cols")).cast("int").alias("col"), F.lit(False).alias("asks")))
-    blocks = left.unionByName(right).join(sigs, "doc_id")
-
-    def compare(group: pa.Table) -> pa.Table:
-        asks = group.column("asks").to_numpy()
-        ids, own = group.column("doc_id").to_numpy(), group.column("own").to_numpy()
-        sig = np.array(group.column("sig").to_pylist(), np.int64)
-        x, y = np.flatnonzero(asks), np.flatnonzero(~asks)
-        out = []
-        for i in x:
-            agree = np.where(own[y] != own[i], (sig[y] == sig[i]).mean(axis=1), 0.0) if len(y) else np.zeros(0)
-            ok = y[agree >= MAYBE]
-            if best_only and len(ok):
-                ok = y[[int(agree.argmax())]]
-            out.append(np.stack([np.minimum(ids[ok], ids[i]), np.maximum(ids[ok], ids[i])]))
-        both = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
-        return pa.table({"a": both[0], "b": both[1]})
-
-    far = blocks.groupBy("bucket", "row", "col").applyInArrow(compare, "a long, b long")
-    return near.union(far).distinct()
+    left = wide.where("outside").select(*base, place(1, "rows").alias("row"), F.explode(F.sequence(F.lit(0), F.col("cols") - 1)).alias("col"), F.lit(True).alias("asks"))
+    right = wide.select(*base, F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("row"), place(2, "cols").alias("col"), F.lit(False).alias("asks"))
+    blocks = left.unionByName(right).join(lists, "doc_id")
+
+    def link(group: pa.Table) -> pa.Table:
+        asks, ids = group.column("asks").to_numpy(), group.column("doc_id").to_numpy()
+        part = np.unique(group.column("own").to_numpy(), return_inverse=True)[1]
+        shingled = group.column("shingles").combine_chunks()
+        hashes = shingled.flatten().to_numpy().view(np.uint64)
+        doc = np.repeat(np.arange(len(ids)), shingled.value_lengths().to_numpy())
+        # the nth of a shingle is an element of its own, which adds to the weight what it adds to 1 + ln(n)
+        new = np.ones(len(hashes), bool)
+        new[1:] = (hashes[1:] != hashes[:-1]) | (doc[1:] != doc[:-1])
+        nth = np.arange(len(hashes)) - np.flatnonzero(new)[np.cumsum(new) - 1] + 1
+        weight = weight_of(nth) - weight_of(nth - 1)
+        element = np.unique(mix64(hashes + nth.astype(np.uint64) * GOLDEN), return_inverse=True)[1]
+        total = np.bincount(doc, weight, len(ids))
+        starts = np.searchsorted(doc, np.arange(len(ids) + 1))
+        y = np.flatnonzero(~asks)
+        of_y = ~asks[doc]
+        to, of, adds = (np.cumsum(~asks) - 1)[doc[of_y]], element[of_y], weight[of_y]
+        found, mark = [], np.zeros(len(element) + 1, bool)
+        for i in np.flatnonzero(asks):
+            apart = part[y] != part[i]
+            if not (apart & (np.minimum(total[y], total[i]) >= threshold * np.maximum(total[y], total[i]))).any():
+                continue
+            own = element[starts[i]:starts[i + 1]]
+            mark[own] = True
+            at = mark[of]
+            mark[own] = False
+            shared = np.bincount(to[at], adds[at], len(y))
+            for j in y[apart & (shared >= threshold * (total[y] + total[i] - shared))]:
+                if part[i] != part[j]:
+                    found.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+                    part[part == part[j]] = part[i]
+        both = np.array(found, np.int64).reshape(-1, 2)
+        return pa.table({"a": both[:, 0], "b": both[:, 1]})
+
+    return blocks.groupBy("bucket", "row", "col").applyInArrow(link, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
