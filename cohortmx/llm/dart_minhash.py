@@ -37,7 +37,7 @@ K_WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 25, 5        # a pair at 0.8 shares no band with a probability of (1 - 0.8**5)**25 = 5e-5
 MAYBE = 0.65               # share of equal coordinates below which no pair at 0.8 is expected (4 standard deviations)
-FEW, BLOCK = 8, 64         # members of a bucket that are paired by a join; members of a block's side beyond
+FEW, BLOCK = 8, 128        # members of a bucket that are paired by a join; members of a block's side beyond
 BLOCK_SHINGLES = 1 << 18   # shingles of a block's side (2 MB)
 
 
@@ -232,23 +232,23 @@ def _links_in_blocks(open_: DataFrame, docs: DataFrame, threshold: float, k_word
     than it has members, whatever its pairs.
     """
     lists = written(shingle_lists(only_ids(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), open_), k_words).distinct())
-    wide = open_.join(lists.select("doc_id", F.size("shingles").cast("long").alias("size")), "doc_id")
+    sized = open_.join(lists.select("doc_id", F.size("shingles").cast("long").alias("size")), "doc_id")
 
     def parts(number: F.Column, size: F.Column) -> F.Column:
         return F.greatest(F.ceil(number / BLOCK), F.ceil(size / BLOCK_SHINGLES)).cast("int")
 
     out = F.col("outside").cast("long")
-    shape = (wide.groupBy("bucket").agg(parts(F.sum(out), F.sum(out * F.col("size"))).alias("rows"), parts(F.count(F.lit(1)), F.sum("size")).alias("cols"))
+    shape = (sized.groupBy("bucket").agg(parts(F.sum(out), F.sum(out * F.col("size"))).alias("rows"), parts(F.count(F.lit(1)), F.sum("size")).alias("cols"))
              .where("rows > 0"))
-    wide = wide.drop("size", "n").join(shape, "bucket")
+    wide = open_.drop("n").join(shape, "bucket").join(lists, "doc_id")      # lists meet members by document, never by bucket
 
     def place(salt: int, among: str) -> F.Column:
         return F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.col(among)).cast("int")
 
-    base = ["bucket", "doc_id", "own"]
+    base = ["bucket", "doc_id", "own", "shingles"]
     left = wide.where("outside").select(*base, place(1, "rows").alias("row"), F.explode(F.sequence(F.lit(0), F.col("cols") - 1)).alias("col"), F.lit(True).alias("asks"))
     right = wide.select(*base, F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("row"), place(2, "cols").alias("col"), F.lit(False).alias("asks"))
-    blocks = left.unionByName(right).join(lists, "doc_id")
+    blocks = left.unionByName(right)
 
     def link(group: pa.Table) -> pa.Table:
         asks, ids = group.column("asks").to_numpy(), group.column("doc_id").to_numpy()
