@@ -223,6 +223,30 @@ def q_ug_truncated(spark, sf):
                      *[fixed(F.col("ug")[k], R9).alias(f"ug{k}") for k in range(D)])
 
 
+def q_g_gram(spark, sf):
+    """The transpose of G times G is the train Gram matrix."""
+    g = materialize(_factors(spark, sf)[2].g_matrix())
+    return mx.multiply(mx.transpose(g), g).select("i", "j", fixed(F.col("value"), R6).alias("value"))
+
+
+def q_u_orthonormal(spark, sf):
+    """The transpose of U times U, summed over all train rows."""
+    m, splits, f = _factors(spark, sf)
+    u = f.u_rows(_train_z_rows(spark, sf, m, splits))
+    sums = u.agg(*[F.sum(F.col("u")[i] * F.col("u")[j]).alias(f"p{i}_{j}") for i in range(D) for j in range(D)])
+    cells = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"p{i}_{j}").alias("value"))
+                      for i in range(D) for j in range(D)])
+    return sums.select(F.inline(cells)).select("i", "j", _r9("value"))
+
+
+def q_ug_full_rank_rows(spark, sf):
+    """At full rank the rows of U times G are the z-scored train rows."""
+    m, splits, f = _factors(spark, sf)
+    u = f.u_rows(_train_z_rows(spark, sf, m, splits))
+    entry = [sum((F.col("u")[k] * F.lit(float(f.g[k, j])) for k in range(D)), F.lit(0.0)) for j in range(D)]
+    return u.select("subject_id", "l_orderkey", "l_linenumber", *[fixed(entry[j], R6).alias(f"z{j}") for j in range(D)])
+
+
 def _fresh(spark, name):
     import uuid
 
@@ -271,6 +295,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "g_matrix": q_g_matrix,
     "u_rows": q_u_rows,
     "ug_truncated": q_ug_truncated,
+    "g_gram": q_g_gram,
+    "u_orthonormal": q_u_orthonormal,
+    "ug_full_rank_rows": q_ug_full_rank_rows,
     "ingest_text_roundtrip": q_ingest_text_roundtrip,
     "csv_sink_roundtrip": q_csv_sink_roundtrip,
 }
@@ -379,6 +406,14 @@ p AS (
 """ + f"SELECT subject_id, i, j, {_f9('CASE WHEN i = j THEN 1.0 ELSE corr(a, b) END')} AS r FROM p GROUP BY subject_id, i, j",
     # full rank: UG = X_train, so C_UG equals C_train up to rounding
     "cov_ug_full_rank": _with(_M, _RANK, _Z, _ZP, _COV) + f"SELECT i, j, {_f9('value')} AS value FROM tr",
+    # what only the right factors give: the train Gram matrix, orthonormal columns, the rows themselves
+    "g_gram": _with(_M, _RANK, _Z, _ZP)
+    + f"SELECT i, j, {_f6('sum(a * b)')} AS value FROM zp WHERE split = 'train' GROUP BY i, j",
+    "u_orthonormal": _with(_M, _RANK, _Z, _ZP)
+    + "SELECT i, j, CASE WHEN i = j THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS value FROM zp WHERE split = 'train' GROUP BY i, j",
+    "ug_full_rank_rows": _with(_M, _RANK, _Z)
+    + f"SELECT subject_id, l_orderkey, l_linenumber, {', '.join(_f6(f'z{k}') + f' AS z{k}' for k in range(D))} "
+      "FROM z JOIN sp USING (subject_id) WHERE split = 'train'",
     "ingest_text_roundtrip": _with(_M) + "SELECT subject_id, x0, x1, x2, x3 FROM m",
     "csv_sink_roundtrip": _with(_M, _PAIRS, _CORR, _FISHER)
     + f"SELECT i, j, {_f9('avg(f)')} AS f_mean FROM fz GROUP BY i, j",
