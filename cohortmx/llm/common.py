@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from cohortmx.session import scratch_path
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 BROADCAST_ROWS = 2_000_000   # ids: 16 MB
 
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)   # fixed values: splitmix64

@@ -244,7 +244,7 @@ def _logistic(x: np.ndarray, n: np.ndarray, t: np.ndarray, ridge: float = 1.0) -
 def measure(lexicon: Lexicon):
     @F.arrow_udf("struct<largest: double, density: double>")
     def measured(texts: pa.Array) -> pa.Array:
-        rows = [lexicon.features(t) for t in texts.to_pylist()]
+        rows = [lexicon.features(t) for part in text_slices(pa.RecordBatch.from_arrays([texts], ["text"])) for t in part.column("text").to_pylist()]
         return pa.StructArray.from_arrays([pa.array([r[j] for r in rows], pa.float64()) for j in (0, 1)], ["largest", "density"])
     return measured
 
@@ -276,7 +276,8 @@ def drop_toxic(docs: DataFrame, lexicon: Lexicon, flag_at: float = FLAG_AT) -> D
 
     @F.arrow_udf("boolean")
     def is_clean(texts: pa.Array) -> pa.Array:
-        return pa.array([shared.value.score(t)[0] < flag_at for t in texts.to_pylist()], pa.bool_())
+        parts = text_slices(pa.RecordBatch.from_arrays([texts], ["text"]))
+        return pa.array([shared.value.score(t)[0] < flag_at for part in parts for t in part.column("text").to_pylist()], pa.bool_())
 
     return docs.where(is_clean(F.col("text")))
 
