@@ -2,7 +2,9 @@
 
 Work on texts runs in Arrow batches inside Spark tasks.  A batch is cut into
 slices of bounded text size first (``text_slices``), so that a run of very
-long documents doesn't have to fit in memory at once.
+long documents doesn't have to fit in memory at once.  The Arrow batches
+themselves are bounded by bytes (``small_batches``): Spark's 64 MB are held
+several times over by each Python worker and by the JVM that feeds it.
 """
 
 from __future__ import annotations
@@ -19,13 +21,20 @@ from pyspark.sql import functions as F
 from cohortmx.session import scratch_path
 
 SLICE_BYTES = 1 << 20
+BATCH_BYTES = 4 << 20        # of an Arrow batch between the JVM and Python
 BROADCAST_ROWS = 2_000_000   # ids: 16 MB
 
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)   # fixed values: splitmix64
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the session's Arrow batches to BATCH_BYTES (results don't depend on it)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
@@ -37,6 +46,7 @@ def written(df: DataFrame) -> DataFrame:
     """``df`` as a table in the shared scratch folder: lineage ends there,
     and every later step reads the same rows."""
     spark = df.sparkSession
+    small_batches(spark)
     path = f"{scratch_path(spark, 'llm')}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.parquet(path)
