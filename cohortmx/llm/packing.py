@@ -65,6 +65,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, toke
                 if with_ids:
                     cols, names = [*cols, pa.array(ids, pa.list_(pa.int32()))], [*names, "ids"]
                 yield pa.RecordBatch.from_arrays(cols, names)
+        encode.forget()
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, schema)

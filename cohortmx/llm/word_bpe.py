@@ -2,22 +2,22 @@
 
 The tokenizer drops white space and never joins what white space parts, so a
 text's ids are the ids of its space-separated chunks in a row.  Chunks repeat,
-so each worker keeps the ids of those it has met (up to CACHE_CHUNKS, then it
-starts anew).  Only plain Latin chunks take the short way through the
-vocabulary's merge model; every other chunk goes through the whole tokenizer.
+so a task keeps the ids of those it has met (up to CACHE_CHUNKS, then it
+starts anew) and forgets them at its end, as workers outlive tasks.  Only
+plain Latin chunks take the short way through the vocabulary's merge model;
+every other chunk goes through the whole tokenizer.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Callable
 
 import numpy as np
 
-CACHE_CHUNKS = 600_000
+CACHE_CHUNKS = 300_000
 MAX_FAST = 200          # characters of a chunk that takes the short way
-_ENCODERS: dict[str, Callable[[str], bytes]] = {}
+_ENCODERS: dict[str, Encoder] = {}
 
 # fixed values: the split pattern in the tokenizer file, for chunks whose
 # letters are Latin (so that \w less digits and _ is a letter)
@@ -68,13 +68,22 @@ class _Chunks(dict):
         return ids
 
 
-def encoder(path: str) -> Callable[[str], bytes]:
+class Encoder:
     """text -> its ids as little-endian unsigned 32-bit integers."""
-    if path not in _ENCODERS:
-        chunks = _Chunks(path)
 
-        def encode(text: str) -> bytes:
-            return b"".join(map(chunks.__getitem__, text.replace("\n", " ").split(" ")))
+    def __init__(self, path: str):
+        self.chunks = _Chunks(path)
+
+    def __call__(self, text: str) -> bytes:
+        return b"".join(map(self.chunks.__getitem__, text.replace("\n", " ").split(" ")))
 
-        _ENCODERS[path] = encode
+    def forget(self) -> None:
+        self.chunks.clear()
+        self.chunks.parts.clear()
+
+
+def encoder(path: str) -> Encoder:
+    """The worker's encoder of a tokenizer file, loaded once."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
