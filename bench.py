@@ -20,7 +20,6 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import SparkSession  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
 
 from cohortmx.operators.correlate import corr_from_moments  # noqa: E402
 from cohortmx.operators.moments import moments  # noqa: E402
@@ -28,7 +27,7 @@ from cohortmx.plans import pipeline  # noqa: E402
 from cohortmx.plans.queries import QUERIES  # noqa: E402
 from cohortmx.session import scratch_path  # noqa: E402
 from cohortmx.sources import sinks  # noqa: E402
-from cohortmx.sources.tables import lineitem_measurement, read_table  # noqa: E402
+from cohortmx.sources.tables import lineitem_measurement, lineitem_wide_measurement  # noqa: E402
 
 REPEATS = 3
 
@@ -43,20 +42,9 @@ HEADLINE = [
 ]
 
 
-def lineitem_d15(spark, sf):
-    """15 regions from lineitem: its numeric columns plus derived measures
-    (the scale of the reference's 15-region task, per row)."""
-    li = read_table(spark, sf, "lineitem")
-    p, q, d, t = (F.col(c) for c in ("l_extendedprice", "l_quantity", "l_discount", "l_tax"))
-    cols = [q, p, d, t, F.col("l_linenumber"), F.col("l_partkey"), F.col("l_orderkey"),
-            F.unix_seconds(F.col("l_shipdate").cast("timestamp")), p * (1 - d), p * (1 - d) * (1 + t),
-            p / q, F.log1p(p), F.sqrt(q), d * t, q * d]
-    return li.select(F.col("l_suppkey").alias("subject_id"), F.array(*[c.cast("double") for c in cols]).alias("x"))
-
-
 def corr15(method):
     def q(spark, sf):
-        return corr_from_moments(moments(lineitem_d15(spark, sf), "subject_id", d=15, method=method), "subject_id")
+        return corr_from_moments(moments(lineitem_wide_measurement(spark, sf), "subject_id", d=15, method=method), "subject_id")
     return q
 
 

@@ -52,6 +52,8 @@ from ..functions.scalar import pair_list
 #  d=15 wide 20 s, pairs 28 s, chunks 8.6 s.)
 WIDE_MAX_D = 8
 
+RUN_BYTES = 8 << 20   # of finished runs that a Python worker holds before it hands them on
+
 MOMENT_COLS = ["i", "j", "n", "mean_i", "mean_j", "c_ij", "c_ii", "c_jj", "const_i", "const_j"]
 
 
@@ -168,6 +170,7 @@ def _run_schema(keys: list[str], key_types: dict) -> T.StructType:
 def _run_moments_fn(keys: list[str], d: int):
     iu = np.triu_indices(d)
     xcols = [f"_x{k}" for k in range(d)]
+    held = max(1, RUN_BYTES // (8 * (len(iu[0]) + 3 * d)))   # runs per output frame
 
     def emit(state):
         k, n, mean, m2, mn, mx = state
@@ -209,9 +212,9 @@ def _run_moments_fn(keys: list[str], d: int):
                 if carry is not None:
                     out.append(emit(carry))
                 carry = (key_s, n, mean, m2, mn, mx)
-            if len(out) >= 256:
-                yield pd.DataFrame(out, columns=[*keys, "n", "mean", "m2", "mn", "mx"])
-                out = []
+                if len(out) >= held:
+                    yield pd.DataFrame(out, columns=[*keys, "n", "mean", "m2", "mn", "mx"])
+                    out = []
         if carry is not None:
             out.append(emit(carry))
         if out:

@@ -12,7 +12,9 @@ z-scored data), 6 for sums and raw-unit statistics.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,12 +30,15 @@ from ..operators.summarise import (attach_split, entry_stats, split_by_rank, spl
 from ..session import materialize, scratch_path
 from ..sources import sinks
 from ..sources.text import read_matrix_dir
-from ..sources.tables import embeddings_measurement, lineitem_measurement
+from ..sources.tables import embeddings_measurement, lineitem_measurement, lineitem_wide_measurement
+from . import pipeline
 
 D = 4          # lineitem regions
 D_EMB = 64     # embedding regions
 CUT = 39       # threshold split: subject_id <= CUT is train (as the reference's fixed id cut)
+D_WIDE = 17    # 15 lineitem measures, one of them again and negated
 K_LOW = 2      # rank of the truncated factorisation
+WRITTEN = ("Fn", "Fv", "Ftrain", "Ftest", "Ctrain", "Ctest", "CtrainCtest")   # result files that SQL can state
 R9, R6 = 9, 6
 
 # ------------------------------------------------------------------ shared
@@ -176,14 +181,14 @@ def q_cov_ug_full_rank(spark, sf):
 
 
 def _closeness(spark, sf, k):
+    # 2 d^2 rows in one collect; the distances are d x d algebra, as in pipeline.compute
     m, splits, f = _factors(spark, sf, k)
-    c = materialize(zscored_stack_cov(m, "subject_id", splits))
-    tr = c.where(F.col("split") == "train").drop("split")
-    te = c.where(F.col("split") == "test").drop("split")
-    cug = mx.from_numpy(spark, f.cov_ug(mx.to_numpy(tr, D)))
-    a = mx.distance(cug, te).select(F.lit("CUG_Ctest").alias("pair"), "value")
-    b = mx.distance(tr, te).select(F.lit("Ctrain_Ctest").alias("pair"), "value")
-    return a.unionByName(b)
+    c = {"train": np.zeros((D, D)), "test": np.zeros((D, D))}
+    for r in zscored_stack_cov(m, "subject_id", splits).collect():
+        c[r["split"]][r["i"], r["j"]] = r["value"]
+    return spark.createDataFrame(
+        [("CUG_Ctest", float(np.linalg.norm(f.cov_ug(c["train"]) - c["test"]))),
+         ("Ctrain_Ctest", float(np.linalg.norm(c["train"] - c["test"])))], "pair string, value double")
 
 
 def q_ug_closeness(spark, sf):
@@ -247,6 +252,33 @@ def q_ug_full_rank_rows(spark, sf):
     return u.select("subject_id", "l_orderkey", "l_linenumber", *[fixed(entry[j], R6).alias(f"z{j}") for j in range(D)])
 
 
+def _wide_corr(spark, sf):
+    m = moments(lineitem_wide_measurement(spark, sf, mirrored=True), "subject_id", d=D_WIDE)
+    return corr_from_moments(m, "subject_id")
+
+
+def q_subject_corr_d15(spark, sf):
+    """A1 at 15 regions and two more, equal to the first and its negation."""
+    return _wide_corr(spark, sf).select("subject_id", "i", "j", fixed(F.col("r"), R6).alias("r"))
+
+
+def q_fisher_z_d15(spark, sf):
+    """M1/F3 there: r = 1 gives 0, r = -1 minus infinity (marked; f is 0 there)."""
+    f = fisher_z(_wide_corr(spark, sf))
+    low = F.col("f") == F.lit(float("-inf"))
+    return f.select("subject_id", "i", "j", low.alias("is_minus_inf"),
+                    F.when(low, F.lit(0.0)).otherwise(fixed(F.col("f"), R6)).alias("f"))
+
+
+def q_pipeline_csv_roundtrip(spark, sf):
+    """K1/K4/K5: the whole pipeline on the table, written as CSV files and read back."""
+    res = pipeline.compute(_li(spark, sf), d=D)
+    paths = pipeline.write(res, _fresh(spark, "results"))
+    parts = [sinks.read_matrix(spark, paths[n], 1 if n == "CtrainCtest" else D)
+             .select(F.lit(n).alias("name"), "i", "j", _r9("value")) for n in WRITTEN]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _fresh(spark, name):
     import uuid
 
@@ -300,6 +332,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ug_full_rank_rows": q_ug_full_rank_rows,
     "ingest_text_roundtrip": q_ingest_text_roundtrip,
     "csv_sink_roundtrip": q_csv_sink_roundtrip,
+    "subject_corr_d15": q_subject_corr_d15,
+    "fisher_z_d15": q_fisher_z_d15,
+    "pipeline_csv_roundtrip": q_pipeline_csv_roundtrip,
 }
 
 # ------------------------------------------------------------------ oracles
@@ -353,6 +388,23 @@ tr AS (SELECT i, j, value FROM cv WHERE split = 'train'),
 te AS (SELECT i, j, value FROM cv WHERE split = 'test')"""
 
 
+_WIDE = """w AS (
+  SELECT l_suppkey AS subject_id, [l_quantity, l_extendedprice, l_discount, l_tax, l_linenumber, l_partkey, l_orderkey,
+         floor(epoch(l_shipdate)), l_extendedprice * (1 - l_discount), l_extendedprice * (1 - l_discount) * (1 + l_tax),
+         l_extendedprice / l_quantity, ln(1 + l_extendedprice), sqrt(l_quantity), l_discount * l_tax,
+         l_quantity * l_discount, l_quantity, -l_quantity]::DOUBLE[] AS x FROM lineitem)"""
+
+_WIDE_CORR = """p AS (
+  SELECT subject_id, CAST(t1.i AS INTEGER) AS i, CAST(t2.j AS INTEGER) AS j, x[t1.i + 1] AS a, x[t2.j + 1] AS b
+  FROM w, range(17) AS t1(i), range(17) AS t2(j)),
+c AS (SELECT subject_id, i, j, CASE WHEN i = j THEN 1.0 ELSE corr(a, b) END AS r FROM p GROUP BY subject_id, i, j)"""
+
+# NULL stands for minus infinity
+_WIDE_FISHER = """fz AS (
+  SELECT subject_id, i, j,
+         CASE WHEN i = j OR r > 1 - 1e-12 THEN 0.0 WHEN r < -1 + 1e-12 THEN NULL ELSE atanh(r) END AS f FROM c)"""
+
+
 def _with(*parts: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
 
@@ -414,6 +466,16 @@ p AS (
     "ug_full_rank_rows": _with(_M, _RANK, _Z)
     + f"SELECT subject_id, l_orderkey, l_linenumber, {', '.join(_f6(f'z{k}') + f' AS z{k}' for k in range(D))} "
       "FROM z JOIN sp USING (subject_id) WHERE split = 'train'",
+    "subject_corr_d15": _with(_WIDE, _WIDE_CORR) + f"SELECT subject_id, i, j, {_f6('r')} AS r FROM c",
+    "fisher_z_d15": _with(_WIDE, _WIDE_CORR, _WIDE_FISHER)
+    + f"SELECT subject_id, i, j, f IS NULL AS is_minus_inf, CASE WHEN f IS NULL THEN 0.0 ELSE {_f6('f')} END AS f FROM fz",
+    "pipeline_csv_roundtrip": _with(_M, _PAIRS, _CORR, _FISHER, _RANK, _Z, _ZP, _COV)
+    + f"SELECT 'Fn' AS name, i, j, {_f9('avg(f)')} AS value FROM fz GROUP BY i, j "
+      f"UNION ALL SELECT 'Fv', i, j, {_f9('var_pop(f)')} FROM fz GROUP BY i, j "
+      f"UNION ALL SELECT CASE split WHEN 'train' THEN 'Ftrain' ELSE 'Ftest' END, i, j, {_f9('avg(f)')} "
+      "FROM fz JOIN sp USING (subject_id) GROUP BY split, i, j "
+      f"UNION ALL SELECT CASE split WHEN 'train' THEN 'Ctrain' ELSE 'Ctest' END, i, j, {_f9('value')} FROM cv "
+      f"UNION ALL SELECT 'CtrainCtest', 0::INTEGER, 0::INTEGER, {_f9(_DIST)} FROM tr JOIN te USING (i, j)",
     "ingest_text_roundtrip": _with(_M) + "SELECT subject_id, x0, x1, x2, x3 FROM m",
     "csv_sink_roundtrip": _with(_M, _PAIRS, _CORR, _FISHER)
     + f"SELECT i, j, {_f9('avg(f)')} AS f_mean FROM fz GROUP BY i, j",

@@ -50,6 +50,19 @@ def lineitem_measurement(spark: SparkSession, sf_dir: str, row_cols: Sequence[st
     return measurement_from_columns(li, "l_suppkey", LINEITEM_MEASURES, row_cols)
 
 
+def lineitem_wide_measurement(spark: SparkSession, sf_dir: str, mirrored: bool = False) -> DataFrame:
+    """Subject = supplier, 15 regions: lineitem's numeric columns and measures
+    derived from them.  ``mirrored`` adds two: the first one again, and negated."""
+    li = read_table(spark, sf_dir, "lineitem")
+    p, q, d, t = (F.col(c) for c in ("l_extendedprice", "l_quantity", "l_discount", "l_tax"))
+    cols = [q, p, d, t, F.col("l_linenumber"), F.col("l_partkey"), F.col("l_orderkey"),
+            F.unix_seconds(F.col("l_shipdate").cast("timestamp")), p * (1 - d), p * (1 - d) * (1 + t),
+            p / q, F.log1p(p), F.sqrt(q), d * t, q * d]
+    if mirrored:
+        cols += [q, -q]
+    return li.select(F.col("l_suppkey").cast("long").alias("subject_id"), F.array(*[c.cast("double") for c in cols]).alias("x"))
+
+
 def embeddings_measurement(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Subject = label, row = vec_id, regions = the 64 embedding floats."""
     emb = read_table(spark, sf_dir, "embeddings")
