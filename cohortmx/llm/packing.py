@@ -35,12 +35,14 @@ def default_tokenizer() -> str:
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, tokenizer: str | None = None,
-           with_ids: bool = False) -> DataFrame:
+           with_ids: bool = False, keep_chunks: bool = True) -> DataFrame:
     """Each document's ids and ``end_id``, cut into pieces of ``capacity``
     where longer: doc_id, piece, start, length, ids_crc32 (and ids).
 
     A null or empty text is the end id alone.  Repeated rows are packed each;
     a null doc_id stays null.  Other columns of ``docs`` are ignored.
+    ``keep_chunks``: workers keep the chunks they have met for later tasks,
+    which is faster and takes up to some 150 MB a worker.
     """
     path = tokenizer or default_tokenizer()
     step = 4 * capacity
@@ -65,7 +67,8 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, toke
                 if with_ids:
                     cols, names = [*cols, pa.array(ids, pa.list_(pa.int32()))], [*names, "ids"]
                 yield pa.RecordBatch.from_arrays(cols, names)
-        encode.forget()
+        if not keep_chunks:
+            encode.forget()
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, schema)
@@ -178,5 +181,6 @@ def sequences(packed: DataFrame) -> DataFrame:
             .select("sequence_id", F.flatten("parts.ids").alias("ids"), F.col("parts.doc_id").alias("doc_ids")))
 
 
-def best_fit_pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, tokenizer: str | None = None) -> DataFrame:
-    return pack(pieces(docs, capacity, end_id, tokenizer), capacity)
+def best_fit_pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, tokenizer: str | None = None,
+                  keep_chunks: bool = True) -> DataFrame:
+    return pack(pieces(docs, capacity, end_id, tokenizer, keep_chunks=keep_chunks), capacity)

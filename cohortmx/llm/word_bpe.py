@@ -2,8 +2,8 @@
 
 The tokenizer drops white space and never joins what white space parts, so a
 text's ids are the ids of its space-separated chunks in a row.  Chunks repeat,
-so a task keeps the ids of those it has met (up to CACHE_CHUNKS, then it
-starts anew) and forgets them at its end, as workers outlive tasks.  Only
+so a worker keeps the ids of those it has met (up to CACHE_CHUNKS, then it
+starts anew), until told to forget them.  Only
 plain Latin chunks take the short way through the vocabulary's merge model;
 every other chunk goes through the whole tokenizer.
 """
@@ -15,7 +15,7 @@ import unicodedata
 
 import numpy as np
 
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 600_000
 MAX_FAST = 200          # characters of a chunk that takes the short way
 _ENCODERS: dict[str, Encoder] = {}
 

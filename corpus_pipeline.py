@@ -44,8 +44,8 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every document with its sequence and offset."""
-    return packing.best_fit_pack(docs)
+    """Every piece of every document with its sequence and offset (workers also serve the other stages, so none keeps its chunks)."""
+    return packing.best_fit_pack(docs, keep_chunks=False)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
