@@ -14,7 +14,10 @@ index lists the items under every block value up to 2 bits away.  A pair at
 similarity 0.8 differs in about 10 bits.  The exact similarity decides.
 
 The benchmark is taken in blocks of BLOCK_ITEMS items, each an index of
-bounded size that is broadcast; all documents meet every block.
+bounded size that is broadcast; all documents meet every block.  Rarity is
+counted once over all items, so results don't depend on the blocks: shingles
+of a single item weigh as much as unknown ones, and those of two items or
+more (12 bytes each) are broadcast beside the blocks.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,33 +82,58 @@ class MultiIndex:
         return q[ok], self.items[i[ok]], apart[ok]
 
 
+class Rarity:
+    """Weights of shingles by all items: log(1 + items / items with the
+    shingle), in units of 2**-16 so that sums are exact."""
+
+    def __init__(self, items: int, known: np.ndarray, df: np.ndarray):
+        """``known``: the shingles that two items or more have, ``df``: how many."""
+        order = np.argsort(known)
+        self.known = known[order]
+        self.rarity = np.rint(65536 * np.log1p(items / df[order])).astype(np.int32)
+        self.unknown = int(np.rint(65536 * np.log1p(items)))
+
+    def weight(self, h: np.ndarray) -> np.ndarray:
+        if not len(self.known):
+            return np.full(len(h), self.unknown, np.int64)
+        at = np.minimum(np.searchsorted(self.known, h), len(self.known) - 1)
+        return np.where(self.known[at] == h, self.rarity[at], self.unknown).astype(np.int64)
+
+
+def _rarity(items: DataFrame, n: int, k_words: int) -> Rarity:
+    """Rarity over the ``n`` rows of ``items``."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in text_slices(whole):
+                h, item, _ = shingles(*word_hashes(b.column("text")), k_words)
+                own = np.unique(np.stack([h, item.astype(np.uint64)]), axis=1)
+                known, df = np.unique(own[0], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(known.view(np.int64)), pa.array(df.astype(np.int64))], ["shingle", "df"])
+
+    counted = (items.select("text").mapInArrow(count, "shingle long, df long").groupBy("shingle").agg(F.sum("df").alias("df"))
+               .where("df > 1").toArrow())
+    return Rarity(n, counted["shingle"].to_numpy().view(np.uint64), counted["df"].to_numpy())
+
+
 class ItemIndex:
-    """Shingles, weights and SimHash multi-indexes (one for each window size) of a block of items."""
+    """Shingles and SimHash multi-indexes (one for each window size) of a block of items."""
 
-    def __init__(self, ids: list[int], texts: list[str], k_words: int = K_WORDS):
+    def __init__(self, ids: list[int], texts: list[str], rarity: Rarity, k_words: int = K_WORDS):
         hashes, ends = word_hashes(pa.array(texts, pa.string()))
         h, item, _ = shingles(hashes, ends, k_words)
         self.ids, self.k, self.words = np.array(ids, np.int64), k_words, np.diff(ends, prepend=0)
         self.spans = np.maximum(self.words - k_words + 1, 1)
-        # rarity: log(1 + items / items with the shingle), in units of 2**-16 so that sums are exact
-        pairs = np.unique(np.stack([h, item.astype(np.uint64)]), axis=1)
-        self.known, df = np.unique(pairs[0], return_counts=True)
-        self.rarity = np.rint(65536 * np.log1p(len(ids) / df)).astype(np.int64)
-        self.unknown = int(np.rint(65536 * np.log1p(len(ids))))
         order = np.argsort(h, kind="stable")
         self.h, self.item = h[order], item[order]
         self.bloom = np.zeros(1 << 22, bool)
         self.bloom[(h & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
         at = np.searchsorted(item, np.arange(len(ids) + 1))
         self.own = [np.unique(h[at[i]:at[i + 1]], return_counts=True) for i in range(len(ids))]
-        prints = self.simhash(h, at[:-1], self.spans)
+        prints = self.simhash(h, at[:-1], self.spans, rarity)
         self.by_span = {int(m): MultiIndex(np.flatnonzero(self.spans == m), prints[self.spans == m]) for m in np.unique(self.spans)}
 
-    def weight(self, h: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.known, h), len(self.known) - 1)
-        return np.where(self.known[at] == h, self.rarity[at], self.unknown)
-
-    def simhash(self, h: np.ndarray, first: np.ndarray, span: np.ndarray) -> np.ndarray:
+    def simhash(self, h: np.ndarray, first: np.ndarray, span: np.ndarray, rarity: Rarity) -> np.ndarray:
         """Fingerprints of the runs of ``span`` shingles from ``first`` on: the
         sign of the weighted sum of each bit, from running sums over the
         shingles that any run covers."""
@@ -114,20 +143,20 @@ class ItemIndex:
         inside = np.cumsum(cover)[:-1] > 0
         part = h[inside]
         sums = np.zeros((len(part) + 1, BITS), np.int64)
-        np.cumsum(_bits(part) * self.weight(part)[:, None], axis=0, out=sums[1:])
+        np.cumsum(_bits(part) * rarity.weight(part)[:, None], axis=0, out=sums[1:])
         at = (np.cumsum(inside) - inside)[first]
         return np.concatenate([np.packbits(sums[at[a:a + 20_000] + span[a:a + 20_000]] > sums[at[a:a + 20_000]], axis=1).view("<u8").reshape(-1)
                                for a in range(0, len(at), 20_000)]).astype(np.uint64)
 
-    def similarity(self, window: np.ndarray, i: int) -> float:
+    def similarity(self, window: np.ndarray, i: int, rarity: Rarity) -> float:
         h, n = np.unique(window, return_counts=True)
         own, m = self.own[i]
         at = np.minimum(np.searchsorted(own, h), len(own) - 1)
-        weight = self.weight(h)
+        weight = rarity.weight(h)
         shared = int((np.where(own[at] == h, np.minimum(n, m[at]), 0) * weight).sum())
-        return shared / (int((n * weight).sum()) + int((m * self.weight(own)).sum()) - shared)
+        return shared / (int((n * weight).sum()) + int((m * rarity.weight(own)).sum()) - shared)
 
-    def hits(self, texts: pa.Array, threshold: float) -> list[tuple[int, int, int, int, int, float]]:
+    def hits(self, texts: pa.Array, threshold: float, rarity: Rarity) -> list[tuple[int, int, int, int, int, float]]:
         """(text number, item id, first word, words, distance, similarity): for
         each text and item the most similar window (of ties the first)."""
         hashes, ends = word_hashes(texts)
@@ -147,7 +176,7 @@ class ItemIndex:
         first = np.maximum(seed - span + 1, low)
         n = np.minimum(seed, low + count[doc[seed]] - span) - first + 1
         span, first = np.unique(np.stack([np.repeat(span, n), _ranges(first, n)]), axis=1)
-        prints = self.simhash(h, first, span)
+        prints = self.simhash(h, first, span, rarity)
         whole = span == count[doc[first]]
         best: dict[tuple[int, int], tuple[float, int, int, int]] = {}
         for m, index in self.by_span.items():
@@ -158,24 +187,27 @@ class ItemIndex:
             for q, i, apart in zip(*index.near(prints[asked])):
                 w = asked[q]
                 d = int(doc[first[w]])
-                sim = self.similarity(h[first[w]:first[w] + span[w]], i)
+                sim = self.similarity(h[first[w]:first[w] + span[w]], i, rarity)
                 found = (sim, -int(pos[first[w]]), -int(apart), int(min(self.words[i], length[d])))
                 if sim >= threshold and found > best.get((d, int(i)), (0.0,)):
                     best[d, int(i)] = found
         return [(d, int(self.ids[i]), -at, words, -apart, sim) for (d, i), (sim, at, apart, words) in sorted(best.items())]
 
 
-def _indexes(benchmark: DataFrame, k_words: int, block_items: int) -> Iterator[ItemIndex]:
-    """An index for each block of the items that have an id and a word."""
+def _indexes(benchmark: DataFrame, k_words: int, block_items: int) -> Iterator[tuple[Broadcast, Broadcast]]:
+    """An index for each block of the items that have an id and a word, and the rarity by all of them."""
+    sc = benchmark.sparkSession.sparkContext
     items = written(benchmark.where(F.col("item_id").isNotNull() & F.col("text").rlike(r"[\p{L}\p{N}_]"))
                     .select(F.col("item_id").cast("long").alias("item_id"), "text"))
     n = items.count()
     blocks = -(-n // block_items)
+    rarity = _rarity(items, n, k_words) if n else None
+    shared = sc.broadcast(rarity)
     for i in range(blocks):
         block = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == i) if blocks > 1 else items
         rows = sorted(block.collect(), key=lambda r: (r["item_id"], r["text"]))
         if rows:
-            yield ItemIndex([r["item_id"] for r in rows], [r["text"] for r in rows], k_words)
+            yield sc.broadcast(ItemIndex([r["item_id"] for r in rows], [r["text"] for r in rows], rarity, k_words)), shared
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, k_words: int = K_WORDS,
@@ -190,37 +222,35 @@ def contamination(docs: DataFrame, benchmark: DataFrame, threshold: float = THRE
     schema = "doc_id long, item_id long, first_word long, n_words long, hamming long, similarity double"
     spark = docs.sparkSession
 
-    def pass_over(shared):
+    def pass_over(index, rarity):
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for whole in batches:
                 for b in text_slices(whole):
-                    hits = shared.value.hits(b.column("text"), threshold)
+                    hits = index.value.hits(b.column("text"), threshold, rarity.value)
                     ids = b.column("doc_id").take(pa.array([x[0] for x in hits], pa.int64()))
                     rest = [pa.array([x[j] for x in hits], pa.float64() if j == 5 else pa.int64()) for j in range(1, 6)]
                     yield pa.RecordBatch.from_arrays([ids, *rest], ["doc_id", "item_id", "first_word", "n_words", "hamming", "similarity"])
         return scan
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = [texts.mapInArrow(pass_over(spark.sparkContext.broadcast(x)), schema) for x in _indexes(benchmark, k_words, block_items)]
+    found = [texts.mapInArrow(pass_over(*x), schema) for x in _indexes(benchmark, k_words, block_items)]
     return reduce(DataFrame.union, found) if found else spark.createDataFrame([], schema)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, k_words: int = K_WORDS,
                       block_items: int = BLOCK_ITEMS) -> DataFrame:
     """``docs`` without the rows that any item contaminates, all columns as they are."""
-    spark = docs.sparkSession
-
-    def clean(shared):
+    def clean(index, rarity):
         @F.arrow_udf("boolean")
         def is_clean(texts: pa.Array) -> pa.Array:
             out = []
             for part in text_slices(pa.RecordBatch.from_arrays([texts], ["text"])):
                 ok = np.ones(len(part), bool)
-                ok[[x[0] for x in shared.value.hits(part.column("text"), threshold)]] = False
+                ok[[x[0] for x in index.value.hits(part.column("text"), threshold, rarity.value)]] = False
                 out.append(ok)
             return pa.array(np.concatenate(out) if out else np.zeros(0, bool))
         return is_clean
 
-    for index in _indexes(benchmark, k_words, block_items):
-        docs = docs.where(clean(spark.sparkContext.broadcast(index))(F.col("text")))
+    for x in _indexes(benchmark, k_words, block_items):
+        docs = docs.where(clean(*x)(F.col("text")))
     return docs

@@ -174,6 +174,30 @@ def test_leaks_match_brute_force(spark, make_docs, block, monkeypatch):
     assert {r.doc_id for r in kept.collect()} == {d for d, _ in rows} - {d for d, _ in got}
 
 
+def blocked_case():
+    """Items with a common opening, and documents that mix passages of several
+    items, so that weights count: similarities on both sides of 0.8."""
+    opening = prose(600, 14)
+    items = [(i, (opening + " " if i % 3 else "") + prose(620 + i, 17 + 2 * i)) for i in range(6)]
+    rows = []
+    for i, text in items:
+        w, other = text.split(), items[(i + 1) % 6][1].split()
+        rows += [(100 * i + k, prose(i, 3) + " " + " ".join(w[:len(w) - k] + other[:k]) + " " + prose(40 + i, 3)) for k in range(1, 7)]
+    return rows, items
+
+
+@pytest.mark.parametrize("block", [20_000, 2])
+def test_leaks_do_not_depend_on_blocks(spark, make_docs, block):
+    rows, items = blocked_case()
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontaminate.contamination(make_docs(rows), table, block_items=block).collect()}
+    want = brute_hits(rows, items)
+    assert set(got) == set(want) and all(got[k] == pytest.approx(want[k], abs=1e-4) for k in want)
+    assert min(want.values()) < 0.85 and len(want) < len(rows)
+    kept = decontaminate.drop_contaminated(make_docs(rows), table, block_items=block)
+    assert {r.doc_id for r in kept.collect()} == {d for d, _ in rows} - {d for d, _ in want}
+
+
 def test_multi_index_finds_all_within_radius():
     rng = np.random.default_rng(4)
     prints = rng.integers(0, 2**63, 300, dtype=np.uint64)
