@@ -1,8 +1,8 @@
 """Secret scan: patterns, and a linear-chain conditional random field over tokens.
 
 Three patterns give the base spans.  The field tags every token of the text as
-secret begin (B), inside (I) or outside (O); its spans that touch no base span
-are added.  A token is a run of letters, digits and ``_ - + /``, or any other
+secret begin (B), inside (I) or outside (O); its spans of MIN_LENGTH code points
+or more are added, as far as no base span covers them.  A token is a run of letters, digits and ``_ - + /``, or any other
 single character that isn't white space.  Its attributes are its shape and
 length, how often its characters change kind, the shapes of its neighbours,
 keywords, quotes and assignment signs before and after it, and features of the
@@ -33,7 +33,7 @@ SAMPLE_DOCS = 20_000       # documents that windows are taken from at most
 WINDOWS = 3_000            # windows that are learned from at most
 REACH = 12                 # tokens on each side of a window's middle
 SPANS_PER_DOC = 3          # of the base spans of a sampled document, those that give windows
-MIN_LENGTH = 16            # code points of an added span
+MIN_LENGTH = 6             # code points of a span of the field, as of base assignments
 
 # fixed values: the base patterns, kinds in this order
 KINDS = ("assign", "access", "hex", "crf")
@@ -301,6 +301,16 @@ def learn(docs: DataFrame, rows: int = SAMPLE_DOCS, windows: int = WINDOWS) -> F
     return fit(found[0] + found[1]) if found[0] else None
 
 
+def _uncovered(start: int, end: int, spans: list[tuple[int, int, str]]) -> Iterator[tuple[int, int]]:
+    """The parts of start..end that no span (by start) covers."""
+    for a, b, _ in spans:
+        if start < min(a, end):
+            yield start, min(a, end)
+        start = max(start, b)
+    if start < end:
+        yield start, end
+
+
 def find(texts: list[str], field: Field | None) -> list[list[tuple[int, int, str]]]:
     """All spans of each text, base and added ones, by start, then kind."""
     spans = [base_spans(t) for t in texts]
@@ -308,6 +318,7 @@ def find(texts: list[str], field: Field | None) -> list[list[tuple[int, int, str
         return spans
     tok = tokens(texts)
     tags = field.decode(tok.attributes, tok.doc)
+    added: list[list[tuple[int, int, str]]] = [[] for _ in texts]
     at = np.flatnonzero(tags != OUT)
     if len(at):
         new = np.ones(len(at), bool)
@@ -316,9 +327,9 @@ def find(texts: list[str], field: Field | None) -> list[list[tuple[int, int, str
         tails = np.append(heads[1:], len(at)) - 1
         for a, b in zip(at[heads], at[tails]):
             d, start, end = int(tok.doc[a]), int(tok.start[a]), int(tok.end[b])
-            if end - start >= MIN_LENGTH and not any(x < end and start < y for x, y, _ in spans[d]):
-                spans[d].append((start, end, "crf"))
-    return [sorted(s, key=lambda x: (x[0], KINDS.index(x[2]))) for s in spans]
+            if end - start >= MIN_LENGTH:
+                added[d] += [(x, y, "crf") for x, y in _uncovered(start, end, spans[d])]
+    return [sorted(s + more, key=lambda x: (x[0], KINDS.index(x[2]))) for s, more in zip(spans, added)]
 
 
 def _joined(spans: list[tuple[int, int, str]]) -> str:
@@ -330,6 +341,8 @@ def scan(docs: DataFrame, field: Field | None) -> DataFrame:
 
     A null text counts as empty: no spans, the SHA-256 of the empty string.
     Repeated rows are scanned each, a null doc_id stays null; other columns are ignored.
+    A span of the field under MIN_LENGTH code points is not reported; of one that
+    overlaps base spans, n_crf and spans have the parts that these leave, however short.
     """
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
@@ -360,7 +373,7 @@ def redact(docs: DataFrame, field: Field | None, mark: str = "[SECRET]") -> Data
                 if spans:
                     pieces, at = [], 0
                     for a, b, _ in spans:
-                        if a >= at:
+                        if a > at or not pieces:
                             pieces += [text[at:a], mark]
                         at = max(at, b)
                     text = "".join([*pieces, text[at:]])

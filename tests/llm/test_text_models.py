@@ -127,6 +127,21 @@ def test_crf_learns_and_redacts(make_docs, odd, odd_rows, nothing):
     assert secret_crf.learn(nothing) is None and secret_crf.scan(nothing, None).count() == 0
 
 
+def test_crf_adds_short_spans_and_remainders(make_docs):
+    """A field that tags tokens with digits as secrets."""
+    tables = [np.zeros((n, 3)) for n in secret_crf.SIZES.values()]
+    tables[0][:, 0] = 5
+    for shape in (2, 3, 7, 8, 9):
+        tables[0][shape * 8:shape * 8 + 8] = [-5, 5, 0]
+    field = secret_crf.Field(tables, np.zeros((3, 3)))
+    key, short = "ZqK" + "0a" * 12 + "XyZ7", "pwd: hunter2 "
+    text = short + key + " a1b2 " + "0b" * 12 + " end"
+    spans = [(text[a:b], k) for a, b, k in secret_crf.find([text], field)[0]]
+    assert spans == [("hunter2", "crf"), ("ZqK", "crf"), ("0a" * 12, "hex"), ("XyZ7", "crf"), ("0b" * 12, "hex")]
+    assert secret_crf.redact(make_docs([(1, text), (2, key)]), field).orderBy("doc_id").collect()[0].text == "pwd: [SECRET] [SECRET] a1b2 [SECRET] end"
+    assert list(secret_crf._uncovered(0, 9, [(1, 3, "hex"), (2, 4, "hex"), (6, 12, "hex")])) == [(0, 1), (4, 6)]
+
+
 def test_winnowing_matches_brute_force(spark, make_docs, odd, odd_rows, nothing):
     out = winnowing.fingerprints(odd).collect()
     assert len(out) == len(odd_rows)
