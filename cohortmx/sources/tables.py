@@ -21,22 +21,45 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def measurement_from_columns(df: DataFrame, subject: str, columns: Sequence[str],
-                             row_cols: Sequence[str] = ()) -> DataFrame:
-    """Numeric columns -> ``x`` array; rows with a NULL measure are dropped
-    (they have no complete observation)."""
-    cond = F.col(subject).isNotNull()
+def null_reason(subject: str, columns: Sequence[str] = (), array_col: str | None = None) -> F.Column:
+    """Why a row is no complete observation; NULL for one that is."""
+    reason = F.when(F.col(subject).isNull(), F.lit("no subject id"))
     for c in columns:
-        cond = cond & F.col(c).isNotNull()
+        reason = reason.when(F.col(c).isNull(), F.lit(f"no value in {c}"))
+    if array_col is not None:
+        reason = (reason.when(F.col(array_col).isNull(), F.lit(f"no value in {array_col}"))
+                  .when(F.exists(array_col, lambda v: v.isNull()), F.lit(f"a NULL within {array_col}")))
+    return reason
+
+
+def null_rejects(df: DataFrame, subject: str, columns: Sequence[str] = (), array_col: str | None = None) -> DataFrame:
+    """``reason, count`` of the rows that ``strict=False`` leaves out."""
+    reason = null_reason(subject, columns, array_col)
+    return df.where(reason.isNotNull()).groupBy(reason.alias("reason")).count()
+
+
+def _complete(df: DataFrame, reason: F.Column, strict: bool) -> DataFrame:
+    if not strict:
+        return df.where(reason.isNull())
+    return df.where(F.when(reason.isNull(), F.lit(True)).otherwise(F.raise_error(reason).cast("boolean")))
+
+
+def measurement_from_columns(df: DataFrame, subject: str, columns: Sequence[str],
+                             row_cols: Sequence[str] = (), strict: bool = True) -> DataFrame:
+    """Numeric columns -> ``x`` array.  A NULL subject or measure raises, or
+    (``strict=False``) its row is left out: :func:`null_rejects` counts these."""
     x = F.array(*[F.col(c).cast("double") for c in columns])
-    return df.where(cond).select(F.col(subject).cast("long").alias("subject_id"),
-                                 *[F.col(c) for c in row_cols], x.alias("x"))
+    return _complete(df, null_reason(subject, columns), strict).select(
+        F.col(subject).cast("long").alias("subject_id"), *[F.col(c) for c in row_cols], x.alias("x"))
 
 
-def measurement_from_array(df: DataFrame, subject: str, array_col: str, row_cols: Sequence[str] = ()) -> DataFrame:
-    """An array column (e.g. ``array<float>``) cast to ``array<double>``."""
-    return df.select(F.col(subject).cast("long").alias("subject_id"), *[F.col(c) for c in row_cols],
-                     F.col(array_col).cast(T.ArrayType(T.DoubleType())).alias("x")).where(F.col("x").isNotNull())
+def measurement_from_array(df: DataFrame, subject: str, array_col: str, row_cols: Sequence[str] = (),
+                           strict: bool = True) -> DataFrame:
+    """An array column (e.g. ``array<float>``) cast to ``array<double>``; NULL
+    subjects, arrays and values within arrays as in :func:`measurement_from_columns`."""
+    return _complete(df, null_reason(subject, array_col=array_col), strict).select(
+        F.col(subject).cast("long").alias("subject_id"), *[F.col(c) for c in row_cols],
+        F.col(array_col).cast(T.ArrayType(T.DoubleType())).alias("x"))
 
 
 def lineitem_measurement(spark: SparkSession, sf_dir: str, row_cols: Sequence[str] = ("l_orderkey", "l_linenumber")) -> DataFrame:

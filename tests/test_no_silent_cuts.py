@@ -13,6 +13,7 @@ from cohortmx.operators.moments import moments
 from cohortmx.operators.summarise import rank_subjects
 from cohortmx.plans import pipeline
 from cohortmx.sources.sinks import write_matrix_dir
+from cohortmx.sources.tables import measurement_from_array, measurement_from_columns, null_rejects
 from cohortmx.sources.text import read_delimited, read_matrix_dir
 
 from conftest import make_matrix, write_subject
@@ -105,3 +106,18 @@ def test_ranks_without_exchange_reuse(spark):
         assert ranks.where("subject_id <> (rank - 1) * 7").isEmpty()
     finally:
         spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_null_measures_are_refused_or_counted(spark):
+    rows = [(1, 1.0, 2.0, [1.0, 2.0]), (1, None, 5.0, None), (1, 2.0, None, [1.0, None]), (None, 3.0, 3.0, [3.0, 3.0]), (2, 4.0, 4.0, [4.0, 4.0])]
+    df = spark.createDataFrame(rows, "s int, a double, b double, e array<double>")
+    for made in (measurement_from_columns(df, "s", ["a", "b"]), measurement_from_array(df, "s", "e")):
+        for action in (made.collect, made.select("subject_id").collect, made.count):
+            with pytest.raises(Exception, match="no value in|a NULL within|no subject id"):
+                action()
+    for made in (measurement_from_columns(df, "s", ["a", "b"], strict=False), measurement_from_array(df, "s", "e", strict=False)):
+        assert sorted((r.subject_id, list(r.x)) for r in made.collect()) == [(1, [1.0, 2.0]), (2, [4.0, 4.0])]
+    assert {r.reason: r["count"] for r in null_rejects(df, "s", ["a", "b"]).collect()} == {"no subject id": 1, "no value in a": 1, "no value in b": 1}
+    assert {r.reason: r["count"] for r in null_rejects(df, "s", array_col="e").collect()} == {"no subject id": 1, "no value in e": 1, "a NULL within e": 1}
+    whole = df.where("s is not null and a is not null and b is not null")
+    assert measurement_from_columns(whole, "s", ["a", "b"]).count() == 2
