@@ -20,16 +20,29 @@ from ..operators.summarise import (attach_split, entry_stats, split_by_rank, spl
 from ..sources.text import parse_lines, split_lines, whole_files
 
 
+def _rejects_path(table_path: str) -> str:
+    return f"{table_path.rstrip('/')}-rejects"
+
+
 def fisher_stream(spark: SparkSession, input_dir: str, table_path: str, checkpoint_path: str, width: int,
-                  glob: str = "sub*.txt", available_now: bool = True, method: str = "auto") -> StreamingQuery:
-    """Start the stream; ``available_now`` processes what is there and stops."""
+                  glob: str = "sub*.txt", available_now: bool = True, method: str = "auto",
+                  strict: bool = True) -> StreamingQuery:
+    """Start the stream; ``available_now`` processes what is there and stops.
+
+    A row that does not parse, or a file without an id, ends the stream
+    (``strict``) and its micro-batch writes nothing; with ``strict=False`` it
+    is left out and written, with a reason, under ``<table>-rejects/epoch=<id>``
+    (:func:`stream_rejects`).
+    """
     src = (spark.readStream.format("text").option("wholetext", "true")
            .option("pathGlobFilter", glob).load(input_dir))
     lines = split_lines(whole_files(src))
 
     def batch(df: DataFrame, epoch_id: int) -> None:
-        rows = parse_lines(df, width=width).rows
-        m = moments(rows, "subject_id", d=width, method=method)
+        src = parse_lines(df, width=width, strict=strict)
+        if not strict:
+            src.rejects.write.mode("overwrite").parquet(f"{_rejects_path(table_path)}/epoch={epoch_id}")
+        m = moments(src.rows, "subject_id", d=width, method=method)
         fz = fisher_z(corr_from_moments(m, "subject_id", keep_n=True, full=False))
         fz.write.mode("overwrite").parquet(f"{table_path.rstrip('/')}/epoch={epoch_id}")
 
@@ -43,6 +56,12 @@ def fisher_table(spark: SparkSession, table_path: str) -> DataFrame:
     return spark.read.parquet(table_path).drop("epoch")
 
 
+def stream_rejects(spark: SparkSession, table_path: str) -> DataFrame:
+    """The rows left out so far by a stream with ``strict=False``:
+    subject_id, file_name, row_idx, line, reason."""
+    return spark.read.parquet(_rejects_path(table_path)).drop("epoch")
+
+
 def running_stats(spark: SparkSession, table_path: str, ddof: int = 0) -> DataFrame:
     """Fn / Fv over all subjects received so far (full d x d grid)."""
     return entry_stats(fisher_table(spark, table_path), ddof=ddof, upper=True)
