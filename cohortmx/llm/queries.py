@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortmx.llm import (dart_minhash, decontaminate, jump_shards, language_id, packing, quality_rules, secret_crf,
-                          token_counts, toxicity, winnowing)
+from cohortmx.llm import (chat_format, dart_minhash, decontaminate, jump_shards, language_id, merkle, packing, quality_rules,
+                          secret_crf, token_counts, toxicity, winnowing)
 from cohortmx.llm.common import documents, table
+from cohortmx.llm.oracles import ORACLE  # noqa: F401
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +65,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs.select("doc_id", "text"), learned).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(documents(spark, sf_dir))
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.conversation_digests(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -81,7 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jump_shards": op8_jump_shards,
     "op9_decontamination": op9_decontamination,
     "op10_language_id": op10_language_id,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_chat_format": op13_chat_format,
     "pipeline": pipeline,
 }
-
-ORACLE: dict[str, str] = {}
