@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from cohortmx.llm import heap_kmeans
 from cohortmx.llm.merkle import FAN_OUT, LOWER, TAMPER_EVERY, UPPER
 
 SHIFT = 4    # FAN_OUT is 1 << SHIFT
@@ -71,4 +72,29 @@ c AS (
 SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(learned) AS BIGINT) AS loss_chars, sha256(learned) AS loss_sha256, formatted_chars FROM c"""
 
 
-ORACLE: dict[str, str] = {"op12_merkle_manifest": merkle_sql(), "op13_chat_format": chat_sql()}
+def kmeans_sql() -> str:
+    dim, k, rounds = heap_kmeans.DIM, heap_kmeans.CLUSTERS, heap_kmeans.ROUNDS
+    parts = [f"""v AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, vec_id, list_transform(embedding, lambda e: CAST(floor({heap_kmeans.SCALE} * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = {dim})""",
+             f"""c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, x) - 1 AS c, x FROM (
+    SELECT sha256('{heap_kmeans.SEED}:' || vec_id::VARCHAR) AS h, x FROM v WHERE vec_id IS NOT NULL ORDER BY h, x LIMIT {k}))"""]
+    for r in range(rounds + 1):
+        parts.append(f"""a{r} AS MATERIALIZED (
+  SELECT id, min([d, c])[2] AS c, min([d, c])[1] AS d FROM (
+    SELECT v.id, c.c, CAST(list_sum(list_transform(range(1, {dim + 1}), lambda i: (v.x[i] - c.x[i]) * (v.x[i] - c.x[i]))) AS BIGINT) AS d
+    FROM v, c{r} c) GROUP BY id)""")
+        if r < rounds:
+            parts.append(f"""c{r + 1} AS MATERIALIZED (
+  SELECT c.c, coalesce(m.x, c.x) AS x FROM c{r} c LEFT JOIN (
+    SELECT c, list(m ORDER BY i) AS x FROM (
+      SELECT a.c, i, CAST(floor(CAST(sum(v.x[i]) AS DOUBLE) / count(*)) AS BIGINT) AS m
+      FROM v JOIN a{r} a USING (id), range(1, {dim + 1}) t(i) GROUP BY a.c, i) GROUP BY c) m ON m.c = c.c)""")
+    return ("WITH " + ",\n".join(parts) + f"""
+SELECT v.vec_id, CAST(a.c AS INTEGER) AS cluster, a.d AS distance, CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(a.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN v USING (id) JOIN c{rounds} c ON c.c = a.c""")
+
+
+ORACLE: dict[str, str] = {"op11_heap_kmeans": kmeans_sql(), "op12_merkle_manifest": merkle_sql(), "op13_chat_format": chat_sql()}

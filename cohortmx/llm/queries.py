@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortmx.llm import (chat_format, dart_minhash, decontaminate, jump_shards, language_id, merkle, packing, quality_rules,
-                          secret_crf, token_counts, toxicity, winnowing)
+from cohortmx.llm import (chat_format, dart_minhash, decontaminate, heap_kmeans, jump_shards, language_id, merkle, packing,
+                          quality_rules, secret_crf, token_counts, toxicity, winnowing)
 from cohortmx.llm.common import documents, table
 from cohortmx.llm.oracles import ORACLE  # noqa: F401
 
@@ -65,6 +65,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs.select("doc_id", "text"), learned).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_heap_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return heap_kmeans.cluster(table(spark, sf_dir, "embeddings"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(documents(spark, sf_dir))
 
@@ -90,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jump_shards": op8_jump_shards,
     "op9_decontamination": op9_decontamination,
     "op10_language_id": op10_language_id,
+    "op11_heap_kmeans": op11_heap_kmeans,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_chat_format": op13_chat_format,
     "pipeline": pipeline,
