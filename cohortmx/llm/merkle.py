@@ -10,9 +10,9 @@ above.  ``climb`` is one ``WITH RECURSIVE`` query that starts at the leaves
 and ascends by that link until it finds none.  At each node every leaf folds
 its own (perhaps tampered) hash into the run, and the run's other digests are
 appended to its siblings.  The leaves of a run share all that lies above it, so
-a row of the recursion holds the up to 16 leaves of a run side by side, each
-with its own hash, and their siblings above once: an iteration writes about 100
-bytes a leaf and level, where a row for each leaf would write half a kilobyte.
+a row of the recursion holds the up to 16 leaves of a run side by side (ids,
+and their hashes in a row) and the siblings above once: that is 70 bytes a leaf
+and 30 more a level, where a row for each leaf would take half a kilobyte a level.
 
 Digests are kept as 32 bytes and hashed as lower-case hex text.
 """
@@ -96,7 +96,7 @@ def _runs(nodes: DataFrame, level: int, leaves: bool = False) -> DataFrame:
     # a lone leaf is its tree's root as it is
     return runs.select("tree", F.lit(level).alias("level"), "run", "digests", F.when(F.col("_n") == 1, F.col("digests")).otherwise(digest_of(F.col("digests"))).alias("digest"),
                        F.floor((F.col("_n") + (FAN_OUT - 1)) / FAN_OUT).cast("long").alias("n"),
-                       *([F.transform("_e", lambda e: F.struct(e["doc_id"], e["tampered"])).alias("leaves")] if leaves else []))
+                       *([F.col("_e.doc_id").alias("ids"), F.col("_e.tampered").alias("tampered")] if leaves else []))
 
 
 def _levels(runs: DataFrame) -> list[DataFrame]:
@@ -130,24 +130,26 @@ def build(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         top = written(_runs(roots.select(F.lit(TOP).cast("long").alias("tree"), F.col("tree").alias("at"), F.lit(n).cast("long").alias("n"), "digest"), 0))
         levels += [top, *_levels(top)]
     else:
-        levels.append(bottom.drop("leaves").where("false"))
+        levels.append(bottom.drop("ids", "tampered").where("false"))
     return _linked(bottom, n > 1), reduce(DataFrame.unionByName, [_linked(r, n > 1) for r in levels])
 
 
-CLIMB = """
-WITH RECURSIVE climb (leaves, own, above, subroot, digest, up_tree, up_level, up_run, up_pos) AS (
-  SELECT transform(leaves, (x, i) -> struct(x.doc_id AS doc_id,
-           CASE WHEN x.tampered IS NULL THEN digest WHEN length(digests) = 32 AND digest = digests THEN x.tampered
-                ELSE unhex(sha2(lower(hex(concat(substring(digests, 1, 32 * i), x.tampered, substring(digests, 32 * i + 33)))), 256)) END AS folded)),
+# every leaf of a run (number i, its hash {mine}) folded into the run's digests at {at}
+_FOLD = ("unhex(array_join(transform(sequence(0, size(ids) - 1), i -> sha2(lower(hex(concat("
+         "substring({run}, 1, 32 * {at}), {mine}, substring({run}, 32 * {at} + 33)))), 256)), ''))")
+
+CLIMB = f"""
+WITH RECURSIVE climb (ids, folded, own, above, subroot, digest, up_tree, up_level, up_run, up_pos) AS (
+  SELECT ids, CASE WHEN digest = digests THEN coalesce(tampered[0], digests)
+                   ELSE {_FOLD.format(run="digests", at="i", mine="coalesce(tampered[i], substring(digests, 32 * i + 1, 32))")} END,
          digests, CAST('' AS BINARY), CASE WHEN is_root THEN digest END, digest, up_tree, up_level, up_run, up_pos
-  FROM {bottom}
+  FROM {{bottom}}
   UNION ALL
-  SELECT transform(c.leaves, x -> struct(x.doc_id AS doc_id,
-           unhex(sha2(lower(hex(concat(substring(n.digests, 1, 32 * c.up_pos), x.folded, substring(n.digests, 32 * c.up_pos + 33)))), 256)) AS folded)),
+  SELECT c.ids, {_FOLD.format(run="n.digests", at="c.up_pos", mine="substring(c.folded, 32 * i + 1, 32)")},
          c.own, concat(c.above, substring(n.digests, 1, 32 * c.up_pos), substring(n.digests, 32 * c.up_pos + 33)),
          coalesce(c.subroot, CASE WHEN n.is_root THEN n.digest END), n.digest, n.up_tree, n.up_level, n.up_run, n.up_pos
-  FROM climb c JOIN {nodes} n ON c.up_tree = n.tree AND c.up_level = n.level AND c.up_run = n.run)
-SELECT subroot, digest AS root, own, above, posexplode(leaves) AS (i, x) FROM climb WHERE up_tree IS NULL
+  FROM climb c JOIN {{nodes}} n ON c.up_tree = n.tree AND c.up_level = n.level AND c.up_run = n.run)
+SELECT subroot, digest AS root, own, above, folded, posexplode(ids) AS (i, doc_id) FROM climb WHERE up_tree IS NULL
 """
 
 
@@ -159,9 +161,9 @@ def climb(bottom: DataFrame, nodes: DataFrame) -> DataFrame:
     spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
     ends = spark.sql(CLIMB, bottom=bottom, nodes=nodes)
     at = F.col("i") * 32
-    return ends.select(F.col("x.doc_id").alias("doc_id"), F.substring(F.col("own"), at + 1, F.lit(32)).alias("leaf"), "subroot", "root",
+    return ends.select("doc_id", F.substring(F.col("own"), at + 1, F.lit(32)).alias("leaf"), "subroot", "root",
                        F.concat(F.substring(F.col("own"), F.lit(1), at), F.substring(F.col("own"), at + 33, F.lit(1 << 20)), F.col("above")).alias("siblings"),
-                       F.col("x.folded").alias("folded_root"))
+                       F.substring(F.col("folded"), at + 1, F.lit(32)).alias("folded_root"))
 
 
 def manifest(docs: DataFrame) -> DataFrame:
