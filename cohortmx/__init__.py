@@ -9,7 +9,7 @@ from .operators.correlate import corr_from_moments, corr_matrix, fisher_z
 from .operators.covariance import cov_from_moments, cov_matrix, zscored_stack_cov
 from .operators.factorise import Factors, factor_gram, factorise
 from .operators.matrix import distance, frobenius, multiply, subtract, subtract_union, transpose
-from .operators.moments import moments
+from .operators.moments import moments, pairwise_moments
 from .operators.normalise import apply_zscore, column_stats, zscore, zscore_params
 from .operators.summarise import (attach_split, entry_stats, rank_subjects, split_by_rank,
                                   split_by_threshold, subject_dim)
@@ -17,7 +17,7 @@ from .operators.summarise import (attach_split, entry_stats, rank_subjects, spli
 __all__ = [
     "Factors", "apply_zscore", "attach_split", "column_stats", "corr_from_moments", "corr_matrix",
     "cov_from_moments", "cov_matrix", "distance", "entry_stats", "factor_gram", "factorise",
-    "fisher_z", "frobenius", "moments", "multiply", "rank_subjects", "split_by_rank",
+    "fisher_z", "frobenius", "moments", "multiply", "pairwise_moments", "rank_subjects", "split_by_rank",
     "split_by_threshold", "subject_dim", "subtract", "subtract_union", "transpose", "zscore",
     "zscore_params", "zscored_stack_cov",
 ]

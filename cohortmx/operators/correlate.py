@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalar
-from .moments import _keys, mirror, moments
+from .moments import _keys, mirror, moments, pairwise_moments
 
 NAN = float("nan")
 
@@ -29,9 +29,14 @@ def corr_from_moments(m: DataFrame, key, keep_n: bool = False, full: bool = True
     return mirror(up, keys, ["r", *extra]) if full else up
 
 
-def corr_matrix(df: DataFrame, key, x: str = "x", d: int | None = None, method: str = "auto") -> DataFrame:
-    """A1: Pearson correlation of the columns of ``x`` within each ``key`` group."""
-    return corr_from_moments(moments(df, key, x, d, method), key)
+def corr_matrix(df: DataFrame, key, x: str = "x", d: int | None = None, method: str = "auto", pairwise: bool = False) -> DataFrame:
+    """A1: Pearson correlation of the columns of ``x`` within each ``key`` group.
+
+    ``pairwise``: ``x`` may hold NULLs, and r of a pair of columns is that of
+    the rows which have both values (NaN for fewer than two).
+    """
+    m = pairwise_moments(df, key, x, d, method) if pairwise else moments(df, key, x, d, method)
+    return corr_from_moments(m, key)
 
 
 def fisher_z(corr: DataFrame, undefined: str = "nan") -> DataFrame:

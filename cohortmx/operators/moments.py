@@ -28,32 +28,29 @@ Three physical forms produce the same table:
 ``chunks``  For wide rows (d(d+1)/2 pairs per row is too many): rows are
             sorted by key inside each partition (no shuffle) and an Arrow
             function computes ``n, mean, X_c^T X_c`` per contiguous run of
-            a key with numpy.  Runs are then merged exactly (Chan et al.)
-            with two small Spark aggregations over the checkpointed run
-            table: global means first, then ``sum(M2_p + n_p (m_p - m)
-            (m_p - m)^T)`` as JVM expressions.  Per key, nothing beyond
-            d means and d(d+1)/2 sums is ever collected.
+            a key with numpy; runs are merged exactly (Chan et al.) as packed
+            arrays, in steps of bounded size (:mod:`.runs`).  The arrays
+            become one row per pair only after the merge.
+
+:func:`pairwise_moments` gives the same table for rows with gaps.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.scalar import pair_list
+from .runs import Complete, Pairwise, merge_runs, run_states
 
 # Up to this many regions one wide aggregate; above it the Arrow chunks.
 # (sf0.1 lineitem, local[8]: d=4 wide 0.7 s, pairs 1.9 s, chunks 4.8 s;
 #  d=15 wide 20 s, pairs 28 s, chunks 8.6 s.)
 WIDE_MAX_D = 8
 
-RUN_BYTES = 8 << 20   # of finished runs that a Python worker holds before it hands them on
-
+PAIRWISE_WIDE_MAX_D = 4   # eight aggregates a pair there
 MOMENT_COLS = ["i", "j", "n", "mean_i", "mean_j", "c_ij", "c_ii", "c_jj", "const_i", "const_j"]
 
 
@@ -74,7 +71,8 @@ def moments(df: DataFrame, key, x: str = "x", d: int | None = None, method: str
     """Long moments table (see module doc) of ``x`` grouped by ``key``.
 
     ``x`` must hold complete observations (no NULL entries): the sources
-    drop or reject incomplete rows before this step.  A row of another
+    raise on incomplete rows, or leave them out and count them, before this
+    step; :func:`pairwise_moments` takes rows with gaps.  A row of another
     length than ``d`` raises.
 
     ``cluster`` (for the chunk form): first range-partition the rows by
@@ -155,136 +153,91 @@ def _pair_moments(df: DataFrame, keys: list[str], x: str, d: int) -> DataFrame:
 
 # ---------------------------------------------------------------- chunk form
 
-def _run_schema(keys: list[str], key_types: dict) -> T.StructType:
-    fields = [T.StructField(k, key_types[k], True) for k in keys]
-    fields += [
-        T.StructField("n", T.LongType(), False),
-        T.StructField("mean", T.ArrayType(T.DoubleType(), False), False),
-        T.StructField("m2", T.ArrayType(T.DoubleType(), False), False),
-        T.StructField("mn", T.ArrayType(T.DoubleType(), False), False),
-        T.StructField("mx", T.ArrayType(T.DoubleType(), False), False),
-    ]
-    return T.StructType(fields)
-
-
-def _run_moments_fn(keys: list[str], d: int):
-    iu = np.triu_indices(d)
-    xcols = [f"_x{k}" for k in range(d)]
-    held = max(1, RUN_BYTES // (8 * (len(iu[0]) + 3 * d)))   # runs per output frame
-
-    def emit(state):
-        k, n, mean, m2, mn, mx = state
-        return (*k, n, mean, m2[iu], mn, mx)
-
-    def merge(s, n2, mean2, m22, mn2, mx2):
-        k, n1, mean1, m21, mn1, mx1 = s
-        n = n1 + n2
-        delta = mean2 - mean1
-        mean = mean1 + delta * (n2 / n)
-        m2 = m21 + m22 + np.outer(delta, delta) * (n1 * n2 / n)
-        return (k, n, mean, m2, np.minimum(mn1, mn2), np.maximum(mx1, mx2))
-
-    def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        carry = None
-        out: list[tuple] = []
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            X = pdf[xcols].to_numpy(dtype=np.float64)
-            kcols = [pdf[k].to_numpy() for k in keys]
-            # rows arrive sorted by key: split into contiguous runs
-            change = np.zeros(len(pdf) - 1, dtype=bool)
-            for kv in kcols:
-                change |= kv[1:] != kv[:-1]
-            starts = np.concatenate(([0], np.flatnonzero(change) + 1))
-            ends = np.concatenate((starts[1:], [len(pdf)]))
-            for s, e in zip(starts.tolist(), ends.tolist()):
-                key_s = tuple(kv[s].item() if hasattr(kv[s], "item") else kv[s] for kv in kcols)
-                B = X[s:e]
-                n = e - s
-                mean = B.mean(axis=0)
-                C = B - mean
-                m2 = C.T @ C
-                mn, mx = B.min(axis=0), B.max(axis=0)
-                if carry is not None and carry[0] == key_s:
-                    carry = merge(carry, n, mean, m2, mn, mx)
-                    continue
-                if carry is not None:
-                    out.append(emit(carry))
-                carry = (key_s, n, mean, m2, mn, mx)
-                if len(out) >= held:
-                    yield pd.DataFrame(out, columns=[*keys, "n", "mean", "m2", "mn", "mx"])
-                    out = []
-        if carry is not None:
-            out.append(emit(carry))
-        if out:
-            yield pd.DataFrame(out, columns=[*keys, "n", "mean", "m2", "mn", "mx"])
-
-    return fn
-
-
-def _upper_pairs(d: int):
-    """Row-major upper-triangle cells as (i, j, e) columns, generated on the
-    executors from two ``sequence`` explodes (no d^2 literal arrays)."""
-    i = F.col("i")
-    e = i * F.lit(d) - (i * (i - F.lit(1))) / F.lit(2) + (F.col("j") - i)
-    return e.cast("int")
-
-
-def _diag_index(c, d: int):
-    return (c * F.lit(d) - (c * (c - F.lit(1))) / F.lit(2)).cast("int")
+def _cell(i, j, d: int):
+    """Place of (i, j), i <= j, in a packed upper triangle."""
+    return (i * F.lit(d) - (i * (i - F.lit(1))) / F.lit(2) + (j - i)).cast("int")
+
+
+def _cells(states: DataFrame, d: int) -> DataFrame:
+    """``states`` once for each index pair i <= j, generated on the executors
+    from two ``sequence`` explodes (no d^2 literal arrays)."""
+    return (states.select("*", F.explode(F.sequence(F.lit(0), F.lit(d - 1))).alias("i"))
+            .select("*", F.explode(F.sequence(F.col("i"), F.lit(d - 1))).alias("j")))
 
 
 def _chunk_moments(df: DataFrame, keys: list[str], x: str, d: int) -> DataFrame:
-    from ..session import materialize
+    state = Complete(d)
+    out = _cells(merge_runs(run_states(df, keys, x, state), keys, state), d)
+    n, i, j = F.col("n")[0], F.col("i"), F.col("j")
+    const = lambda c: F.col("mn")[c] == F.col("mx")[c]
+    m2 = lambda a, b: F.col("m2")[_cell(a, b, d)] / n
+    return out.select(*[F.col(k) for k in keys], i.cast("int").alias("i"), j.cast("int").alias("j"), n.cast("long").alias("n"),
+                      F.col("mean")[i].alias("mean_i"), F.col("mean")[j].alias("mean_j"),
+                      m2(i, j).alias("c_ij"), m2(i, i).alias("c_ii"), m2(j, j).alias("c_jj"), const(i).alias("const_i"), const(j).alias("const_j"))
+
+
+# ---------------------------------------------------------------- pairwise complete
+
+def pairwise_moments(df: DataFrame, key, x: str = "x", d: int | None = None, method: str = "auto") -> DataFrame:
+    """The moments table for rows with gaps: every pair (i, j) over the rows
+    that have both values, so ``n``, the means, variances and constant flags
+    are those of these rows and differ from pair to pair.
+
+    A gap is a NULL in ``x`` (or a NULL ``x``); NaN is a value and spreads.  A
+    pair that no row has both values of is there with n = 0.  Forms as in
+    :func:`moments`: ``wide`` up to PAIRWISE_WIDE_MAX_D regions, ``pairs``,
+    ``chunks``.  A row of another length than ``d`` raises.
+    """
+    keys = _keys(key)
+    d = d or array_width(df, x)
+    df = df.withColumn(x, F.when(F.col(x).isNull() | (F.size(x) == d), F.col(x)).otherwise(
+        F.raise_error(F.lit(f"a row of {x} does not hold {d} values"))))
+    if method == "auto":
+        method = "wide" if d <= PAIRWISE_WIDE_MAX_D else "chunks"
+    if method == "wide":
+        return _wide_pairwise(df, keys, x, d)
+    if method == "pairs":
+        return _pair_pairwise(df, keys, x, d)
+    if method == "chunks":
+        return _chunk_pairwise(df, keys, x, d)
+    raise ValueError(f"unknown method {method!r}")
+
+
+def _pair_aggs(a, b) -> dict[str, F.Column]:
+    """Aggregates of a pair of values over the rows that have both."""
+    a, b = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+    return {"n": F.count(a), "mean_i": F.avg(a), "mean_j": F.avg(b), "c_ij": F.covar_pop(a, b), "c_ii": F.covar_pop(a, a),
+            "c_jj": F.covar_pop(b, b), "const_i": F.min(a) == F.max(a), "const_j": F.min(b) == F.max(b)}
+
+
+def _wide_pairwise(df: DataFrame, keys: list[str], x: str, d: int) -> DataFrame:
+    kc = [F.col(k) for k in keys]
+    aggs, cells = [], []
+    for i, j in pair_list(d):
+        own = _pair_aggs(F.col(x)[i], F.col(x)[j])
+        aggs += [agg.alias(f"{name}_{i}_{j}") for name, agg in own.items()]
+        cells.append(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), *[F.col(f"{name}_{i}_{j}").alias(name) for name in own]))
+    return df.groupBy(*kc).agg(*aggs).select(*kc, F.inline(F.array(*cells))).select(*kc, *MOMENT_COLS)
+
 
+def _pair_pairwise(df: DataFrame, keys: list[str], x: str, d: int) -> DataFrame:
     kc = [F.col(k) for k in keys]
-    key_types = {f.name: f.dataType for f in df.schema.fields if f.name in keys}
-    # regions as primitive columns: Arrow hands them to numpy without
-    # per-row list conversion
-    src = (df.select(*kc, *[F.col(x)[k].cast("double").alias(f"_x{k}") for k in range(d)])
-           .sortWithinPartitions(*kc))
-    # the run table (one row per key and partition) feeds two steps; a
-    # reliable checkpoint makes the Python pass run once and cuts lineage
-    runs = materialize(src.mapInPandas(_run_moments_fn(keys, d), schema=_run_schema(keys, key_types)))
-
-    # 1. per key: N, global means, constant flags (arrays of d; the
-    #    collect_list groups hold d entries, never data rows)
-    col_stats = (runs.select(*kc, "n", "mn", "mx", F.posexplode("mean").alias("k", "m_p"))
-                 .groupBy(*kc, "k")
-                 .agg(F.sum("n").alias("N"),
-                      (F.sum(F.col("n") * F.col("m_p")) / F.sum("n")).alias("m"),
-                      (F.min(F.col("mn")[F.col("k")]) == F.max(F.col("mx")[F.col("k")])).alias("c")))
-    stats = (col_stats.groupBy(*kc)
-             .agg(F.max("N").alias("N"), F.sort_array(F.collect_list(F.struct("k", "m", "c"))).alias("_s"))
-             .select(*kc, "N", F.col("_s").getField("m").alias("gmean"),
-                     F.col("_s").getField("c").alias("gconst")))
-
-    # 2. Chan's merge as a plain sum over runs:
-    #    M2 = sum_p M2_p + n_p (m_p - m)(m_p - m)^T     (JVM expressions)
-    cells = (runs.join(stats.select(*kc, "gmean"), keys)
-             .select(*kc, "n", "mean", "m2", "gmean", F.explode(F.sequence(F.lit(0), F.lit(d - 1))).alias("i"))
-             .select("*", F.explode(F.sequence(F.col("i"), F.lit(d - 1))).alias("j")))
-    e = _upper_pairs(d)
-    delta = lambda c: F.col("mean")[c] - F.col("gmean")[c]
-    cells = cells.select(*kc, e.alias("e"),
-                         (F.col("m2")[e] + F.col("n").cast("double") * delta(F.col("i")) * delta(F.col("j"))).alias("v"))
-    comom = (cells.groupBy(*kc, "e").agg(F.sum("v").alias("M2"))
-             .groupBy(*kc).agg(F.sort_array(F.collect_list(F.struct("e", "M2"))).alias("_c"))
-             .select(*kc, F.col("_c").getField("M2").alias("M2")))
-
-    # 3. one row per key with all arrays -> long cells
-    per_key = comom.join(stats, keys)
-    out = (per_key.select(*kc, "N", "M2", "gmean", "gconst",
-                          F.explode(F.sequence(F.lit(0), F.lit(d - 1))).alias("i"))
-           .select("*", F.explode(F.sequence(F.col("i"), F.lit(d - 1))).alias("j")))
-    n = F.col("N").cast("double")
-    i, j = F.col("i"), F.col("j")
-    return out.select(*kc, i.cast("int").alias("i"), j.cast("int").alias("j"), F.col("N").cast("long").alias("n"),
-                      F.col("gmean")[i].alias("mean_i"), F.col("gmean")[j].alias("mean_j"),
-                      (F.col("M2")[e] / n).alias("c_ij"), (F.col("M2")[_diag_index(i, d)] / n).alias("c_ii"),
-                      (F.col("M2")[_diag_index(j, d)] / n).alias("c_jj"),
-                      F.col("gconst")[i].alias("const_i"), F.col("gconst")[j].alias("const_j"))
+    whole = df.select(*kc, F.coalesce(F.col(x), F.array_repeat(F.lit(None).cast("double"), d)).alias("_x"))
+    one = whole.select(*kc, "_x", F.posexplode("_x").alias("i", "a"))
+    two = one.select(*kc, "i", "a", F.posexplode(F.slice("_x", F.col("i") + 1, F.lit(d) - F.col("i"))).alias("_dj", "b"))
+    return (two.withColumn("j", F.col("i") + F.col("_dj")).groupBy(*kc, "i", "j")
+            .agg(*[agg.alias(name) for name, agg in _pair_aggs(F.col("a"), F.col("b")).items()]).select(*kc, *MOMENT_COLS))
+
+
+def _chunk_pairwise(df: DataFrame, keys: list[str], x: str, d: int) -> DataFrame:
+    state = Pairwise(d)
+    out = _cells(merge_runs(run_states(df, keys, x, state), keys, state), d)
+    at = _cell(F.col("i"), F.col("j"), d)
+    n = F.col("n")[at]
+    some = lambda c: F.when(n > 0, F.col(c)[at])        # noqa: E731
+    return out.select(*[F.col(k) for k in keys], F.col("i").cast("int").alias("i"), F.col("j").cast("int").alias("j"), n.cast("long").alias("n"),
+                      some("mi").alias("mean_i"), some("mj").alias("mean_j"), (some("c") / n).alias("c_ij"), (some("qi") / n).alias("c_ii"),
+                      (some("qj") / n).alias("c_jj"), (some("mni") == F.col("mxi")[at]).alias("const_i"), (some("mnj") == F.col("mxj")[at]).alias("const_j"))
 
 
 # ---------------------------------------------------------------- helpers

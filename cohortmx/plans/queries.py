@@ -20,17 +20,18 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import fixed, sql_fixed
 from ..operators import matrix as mx
-from ..operators.correlate import corr_from_moments, fisher_z
+from ..operators.correlate import corr_from_moments, corr_matrix, fisher_z
 from ..operators.covariance import zscored_stack_cov
 from ..operators.factorise import factor_gram
-from ..operators.moments import moments
+from ..operators.moments import moments, pairwise_moments
 from ..operators.normalise import apply_zscore, column_stats, zscore_params
 from ..operators.summarise import (attach_split, entry_stats, split_by_rank, split_by_threshold,
                                    subject_dim)
 from ..session import materialize, scratch_path
 from ..sources import sinks
 from ..sources.text import read_matrix_dir
-from ..sources.tables import embeddings_measurement, lineitem_measurement, lineitem_wide_measurement
+from ..sources.tables import (LINEITEM_MEASURES, embeddings_measurement, lineitem_measurement, lineitem_wide_measurement,
+                              lineitem_with_gaps)
 from . import pipeline
 
 D = 4          # lineitem regions
@@ -270,6 +271,25 @@ def q_fisher_z_d15(spark, sf):
                     F.when(low, F.lit(0.0)).otherwise(fixed(F.col("f"), R6)).alias("f"))
 
 
+def q_subject_corr_pairwise(spark, sf):
+    """A1 on rows with gaps: each pair over the rows that have both values."""
+    m = pairwise_moments(lineitem_with_gaps(spark, sf), "subject_id", d=D)
+    return corr_from_moments(m, "subject_id", keep_n=True).select("subject_id", "i", "j", F.col("n").alias("n_both"), _r9("r"))
+
+
+def q_subject_corr_pairwise_d15(spark, sf):
+    """The same at 17 regions, in Arrow chunks; NULL stands for an undefined r."""
+    r = corr_matrix(lineitem_with_gaps(spark, sf, wide=True), "subject_id", d=D_WIDE, pairwise=True)
+    return r.select("subject_id", "i", "j", F.when(~F.isnan("r"), fixed(F.col("r"), R6)).alias("r"))
+
+
+def q_fisher_mean_pairwise(spark, sf):
+    """A2 over subjects whose rows have gaps, undefined entries skipped."""
+    f = fisher_z(corr_from_moments(pairwise_moments(lineitem_with_gaps(spark, sf), "subject_id", d=D), "subject_id", full=False), undefined="skip")
+    s = entry_stats(f, ddof=0, upper=True)
+    return s.select("i", "j", fixed(F.col("mean"), R9).alias("f_mean"), F.col("n").alias("n_subjects"))
+
+
 def q_pipeline_csv_roundtrip(spark, sf):
     """K1/K4/K5: the whole pipeline on the table, written as CSV files and read back."""
     res = pipeline.compute(_li(spark, sf), d=D)
@@ -335,6 +355,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "subject_corr_d15": q_subject_corr_d15,
     "fisher_z_d15": q_fisher_z_d15,
     "pipeline_csv_roundtrip": q_pipeline_csv_roundtrip,
+    "subject_corr_pairwise": q_subject_corr_pairwise,
+    "subject_corr_pairwise_d15": q_subject_corr_pairwise_d15,
+    "fisher_mean_pairwise": q_fisher_mean_pairwise,
 }
 
 # ------------------------------------------------------------------ oracles
@@ -405,6 +428,32 @@ _WIDE_FISHER = """fz AS (
          CASE WHEN i = j OR r > 1 - 1e-12 THEN 0.0 WHEN r < -1 + 1e-12 THEN NULL ELSE atanh(r) END AS f FROM c)"""
 
 
+def _gap(k: int, value: str) -> str:
+    return (f"CASE WHEN (l_orderkey + l_linenumber + {k + 2} * l_partkey) % {k % 5 + 3} <> 0 AND l_orderkey % 97 <> 0 "
+            f"THEN CAST({value} AS DOUBLE) END")
+
+
+_GAPS = f"""g AS (
+  SELECT l_suppkey AS subject_id, [{', '.join(_gap(k, c) for k, c in enumerate(LINEITEM_MEASURES))}] AS x FROM lineitem)"""
+
+_WIDE_GAPS = """g AS (
+  SELECT subject_id, list_transform(range(17), lambda k: CASE WHEN (ok + ln + (k + 2) * pk) % (k % 5 + 3) <> 0 AND ok % 97 <> 0 THEN x[k + 1] END) AS x
+  FROM (SELECT w.*, l_orderkey AS ok, l_linenumber AS ln, l_partkey AS pk FROM w))"""
+
+
+def _gap_corr(d: int) -> str:
+    # corr, regr_count: over the rows that have both values
+    return f"""p AS (
+  SELECT subject_id, CAST(t1.i AS INTEGER) AS i, CAST(t2.j AS INTEGER) AS j, x[t1.i + 1] AS a, x[t2.j + 1] AS b
+  FROM g, range({d}) AS t1(i), range({d}) AS t2(j)),
+c0 AS (
+  SELECT subject_id, i, j, CAST(regr_count(a, b) AS BIGINT) AS n, corr(a, b) AS r,
+         min(a) FILTER (WHERE b IS NOT NULL) = max(a) FILTER (WHERE b IS NOT NULL)
+         OR min(b) FILTER (WHERE a IS NOT NULL) = max(b) FILTER (WHERE a IS NOT NULL) AS flat
+  FROM p GROUP BY subject_id, i, j),
+c AS (SELECT subject_id, i, j, n, CASE WHEN n < 2 OR flat THEN CAST('nan' AS DOUBLE) WHEN i = j THEN 1.0 ELSE r END AS r FROM c0)"""
+
+
 def _with(*parts: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
 
@@ -476,6 +525,11 @@ p AS (
       "FROM fz JOIN sp USING (subject_id) GROUP BY split, i, j "
       f"UNION ALL SELECT CASE split WHEN 'train' THEN 'Ctrain' ELSE 'Ctest' END, i, j, {_f9('value')} FROM cv "
       f"UNION ALL SELECT 'CtrainCtest', 0::INTEGER, 0::INTEGER, {_f9(_DIST)} FROM tr JOIN te USING (i, j)",
+    "subject_corr_pairwise": _with(_GAPS, _gap_corr(D)) + f"SELECT subject_id, i, j, n AS n_both, {_f9('r')} AS r FROM c",
+    "subject_corr_pairwise_d15": _with(_WIDE.replace("AS x FROM lineitem", "AS x, l_orderkey, l_linenumber, l_partkey FROM lineitem"), _WIDE_GAPS, _gap_corr(D_WIDE))
+    + f"SELECT subject_id, i, j, CASE WHEN isnan(r) THEN NULL ELSE {_f6('r')} END AS r FROM c",
+    "fisher_mean_pairwise": _with(_GAPS, _gap_corr(D), _FISHER)
+    + f"SELECT i, j, {_f9('avg(f)')} AS f_mean, count(*) AS n_subjects FROM fz WHERE i = j OR NOT isnan(r) GROUP BY i, j",
     "ingest_text_roundtrip": _with(_M) + "SELECT subject_id, x0, x1, x2, x3 FROM m",
     "csv_sink_roundtrip": _with(_M, _PAIRS, _CORR, _FISHER)
     + f"SELECT i, j, {_f9('avg(f)')} AS f_mean FROM fz GROUP BY i, j",

@@ -44,20 +44,22 @@ def _complete(df: DataFrame, reason: F.Column, strict: bool) -> DataFrame:
     return df.where(F.when(reason.isNull(), F.lit(True)).otherwise(F.raise_error(reason).cast("boolean")))
 
 
-def measurement_from_columns(df: DataFrame, subject: str, columns: Sequence[str],
-                             row_cols: Sequence[str] = (), strict: bool = True) -> DataFrame:
+def measurement_from_columns(df: DataFrame, subject: str, columns: Sequence[str], row_cols: Sequence[str] = (),
+                             strict: bool = True, gaps: bool = False) -> DataFrame:
     """Numeric columns -> ``x`` array.  A NULL subject or measure raises, or
-    (``strict=False``) its row is left out: :func:`null_rejects` counts these."""
+    (``strict=False``) its row is left out: :func:`null_rejects` counts these.
+    ``gaps``: measures may be NULL and stay so within ``x``, for pairwise
+    complete statistics."""
     x = F.array(*[F.col(c).cast("double") for c in columns])
-    return _complete(df, null_reason(subject, columns), strict).select(
+    return _complete(df, null_reason(subject, () if gaps else columns), strict).select(
         F.col(subject).cast("long").alias("subject_id"), *[F.col(c) for c in row_cols], x.alias("x"))
 
 
 def measurement_from_array(df: DataFrame, subject: str, array_col: str, row_cols: Sequence[str] = (),
-                           strict: bool = True) -> DataFrame:
+                           strict: bool = True, gaps: bool = False) -> DataFrame:
     """An array column (e.g. ``array<float>``) cast to ``array<double>``; NULL
     subjects, arrays and values within arrays as in :func:`measurement_from_columns`."""
-    return _complete(df, null_reason(subject, array_col=array_col), strict).select(
+    return _complete(df, null_reason(subject, array_col=None if gaps else array_col), strict).select(
         F.col(subject).cast("long").alias("subject_id"), *[F.col(c) for c in row_cols],
         F.col(array_col).cast(T.ArrayType(T.DoubleType())).alias("x"))
 
@@ -73,9 +75,8 @@ def lineitem_measurement(spark: SparkSession, sf_dir: str, row_cols: Sequence[st
     return measurement_from_columns(li, "l_suppkey", LINEITEM_MEASURES, row_cols)
 
 
-def lineitem_wide_measurement(spark: SparkSession, sf_dir: str, mirrored: bool = False) -> DataFrame:
-    """Subject = supplier, 15 regions: lineitem's numeric columns and measures
-    derived from them.  ``mirrored`` adds two: the first one again, and negated."""
+def _wide_lineitem(spark: SparkSession, sf_dir: str, mirrored: bool) -> tuple[DataFrame, list[str]]:
+    """lineitem's numeric columns and measures derived from them, as x0 .. x14 (``mirrored``: and x15, x16)."""
     li = read_table(spark, sf_dir, "lineitem")
     p, q, d, t = (F.col(c) for c in ("l_extendedprice", "l_quantity", "l_discount", "l_tax"))
     cols = [q, p, d, t, F.col("l_linenumber"), F.col("l_partkey"), F.col("l_orderkey"),
@@ -83,7 +84,34 @@ def lineitem_wide_measurement(spark: SparkSession, sf_dir: str, mirrored: bool =
             p / q, F.log1p(p), F.sqrt(q), d * t, q * d]
     if mirrored:
         cols += [q, -q]
-    return li.select(F.col("l_suppkey").cast("long").alias("subject_id"), F.array(*[c.cast("double") for c in cols]).alias("x"))
+    names = [f"x{k}" for k in range(len(cols))]
+    return li.select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", *[c.cast("double").alias(n) for c, n in zip(cols, names)]), names
+
+
+def lineitem_wide_measurement(spark: SparkSession, sf_dir: str, mirrored: bool = False) -> DataFrame:
+    """Subject = supplier, 15 regions: lineitem's numeric columns and measures
+    derived from them.  ``mirrored`` adds two: the first one again, and negated.
+    A NULL in any of them raises."""
+    li, names = _wide_lineitem(spark, sf_dir, mirrored)
+    return measurement_from_columns(li, "l_suppkey", names)
+
+
+def planted_gaps(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df`` of lineitem with ``columns`` set to NULL by a rule that SQL can
+    state: the k-th one where l_orderkey + (k + 2) * l_partkey + l_linenumber is
+    divisible by k % 5 + 3; all of them where l_orderkey is divisible by 97."""
+    mark = F.col("l_orderkey") + F.col("l_linenumber")
+    return df.select("l_suppkey", *[F.when(((mark + (k + 2) * F.col("l_partkey")) % (k % 5 + 3) != 0) & (F.col("l_orderkey") % 97 != 0), F.col(c)).alias(c)
+                                    for k, c in enumerate(columns)])
+
+
+def lineitem_with_gaps(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
+    """Subject = supplier, the four measures (``wide``: 17), with planted gaps."""
+    if wide:
+        li, names = _wide_lineitem(spark, sf_dir, mirrored=True)
+    else:
+        li, names = read_table(spark, sf_dir, "lineitem"), LINEITEM_MEASURES
+    return measurement_from_columns(planted_gaps(li, names), "l_suppkey", names, gaps=True)
 
 
 def embeddings_measurement(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,7 +51,7 @@ def _lines(spark: SparkSession, path: str, glob: str, recursive: bool) -> DataFr
 
 def read_matrix_dir(spark: SparkSession, path: str, glob: str = "sub*.txt", id_regex: str = r"(\d{6,})",
                     width: int | None = None, id_from: str = "file_name", recursive: bool = False,
-                    id_slice: tuple[int, int] | None = None, strict: bool = False) -> MatrixDir:
+                    id_slice: tuple[int, int] | None = None, strict: bool = False, gaps: tuple[str, ...] = ()) -> MatrixDir:
     """Read every matching file below ``path``.
 
     ``id_regex``'s first group, matched against the file name (P5), is the
@@ -61,14 +61,16 @@ def read_matrix_dir(spark: SparkSession, path: str, glob: str = "sub*.txt", id_r
     slice convention); a name whose digits go on after the slice has no id.
     ``strict`` raises on the first row that does not parse, in the same pass,
     instead of leaving it to ``rejects``.  ``width`` (regions per row)
-    defaults to the token count of the first line read.
+    defaults to the token count of the first line read.  A token of ``gaps``
+    (``("NA",)``) is a missing value: NULL in ``x``, for pairwise complete
+    statistics; without it such a line doesn't parse.
     """
-    return parse_lines(_lines(spark, path, glob, recursive), path, glob, width, id_regex, id_from, id_slice, strict)
+    return parse_lines(_lines(spark, path, glob, recursive), path, glob, width, id_regex, id_from, id_slice, strict, gaps)
 
 
 def parse_lines(lines: DataFrame, path: str = "", glob: str = "", width: int | None = None,
                 id_regex: str = r"(\d{6,})", id_from: str = "file_name",
-                id_slice: tuple[int, int] | None = None, strict: bool = False) -> MatrixDir:
+                id_slice: tuple[int, int] | None = None, strict: bool = False, gaps: tuple[str, ...] = ()) -> MatrixDir:
     """P3-P6 on :func:`split_lines` output; ``width`` is required for a
     streaming input (no first row to look at)."""
     source = F.col("file_name") if id_from == "file_name" else F.col("file_path")
@@ -84,14 +86,15 @@ def parse_lines(lines: DataFrame, path: str = "", glob: str = "", width: int | N
     parsed = lines.select(
         F.when(sid != "", sid).try_cast("long").alias("subject_id"),
         "file_name", F.col("row_idx").cast("int").alias("row_idx"), "line",
-        tokens.try_cast(T.ArrayType(T.DoubleType())).alias("x"))
+        tokens.try_cast(T.ArrayType(T.DoubleType())).alias("x"), tokens.alias("tokens"))
     if width is None:
         first = parsed.where(F.length(F.trim("line")) > 0).select(F.size("x")).first()
         if first is None:
             raise ValueError(f"no data lines under {path!r} matching {glob!r}")
         width = int(first[0])
-    ok = (F.col("subject_id").isNotNull() & (F.size("x") == width)
-          & F.forall("x", lambda v: v.isNotNull()) & (F.length(F.trim("line")) > 0))
+    numbers = (F.forall(F.arrays_zip("x", "tokens"), lambda e: e["x"].isNotNull() | e["tokens"].isin(*gaps)) if gaps
+               else F.forall("x", lambda v: v.isNotNull()))
+    ok = F.col("subject_id").isNotNull() & (F.size("x") == width) & numbers & (F.length(F.trim("line")) > 0)
     reason = (F.when(F.col("subject_id").isNull(), F.lit("no subject id in name"))
               .when(F.length(F.trim("line")) == 0, F.lit("empty line"))
               .when(F.size("x") != width, F.lit("wrong number of values"))
