@@ -30,6 +30,7 @@ from cohortmx.llm.common import written
 FAN_OUT = 16
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 TAMPER_EVERY = 5
+BROADCAST_NODES = 100_000     # of at most 600 bytes: 60 MB; more are joined by a shuffle
 TOP = -1             # number of the tree over the sources' roots
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -159,7 +160,8 @@ def climb(bottom: DataFrame, nodes: DataFrame) -> DataFrame:
     counts the rows of all iterations (results don't depend on it)."""
     spark = bottom.sparkSession
     spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
-    ends = spark.sql(CLIMB, bottom=bottom, nodes=nodes)
+    small = nodes.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES
+    ends = spark.sql(CLIMB, bottom=bottom, nodes=F.broadcast(nodes) if small else nodes)
     at = F.col("i") * 32
     return ends.select("doc_id", F.substring(F.col("own"), at + 1, F.lit(32)).alias("leaf"), "subroot", "root",
                        F.concat(F.substring(F.col("own"), F.lit(1), at), F.substring(F.col("own"), at + 33, F.lit(1 << 20)), F.col("above")).alias("siblings"),
