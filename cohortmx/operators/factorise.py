@@ -1,9 +1,19 @@
 """Low-rank factorisation ``X_train ~ U G`` of the z-scored stack.
 
-The thin SVD of the tall stack is read off the d x d Gram matrix
-``X^T X = V diag(s^2) V^T`` (computed on Spark from the moments, see
-``zscored_stack_cov(..., gram=True)``); only that d x d matrix reaches the
-driver, where ``numpy.linalg.eigh`` factors it.  Then
+Three ways to the singular values and right vectors of the tall stack:
+
+``gram``    ``X^T X = V diag(s^2) V^T``, from the moments that other results
+            need anyway (``zscored_stack_cov(..., gram=True)``): no pass over
+            the rows of its own.  Squares the condition number, so singular
+            values below about ``s_max * sqrt(eps)`` are noise.
+``tsqr``    R of a QR factorisation: one d x d triangle per Arrow batch, merged
+            in a tree; the SVD of the last R has the singular values of the
+            stack to working accuracy.  One pass over the rows.
+``random``  k of many regions: a block Krylov space of X^T X from a random start,
+            one pass over the rows for each block, nothing of size d x d on
+            the executors; ends when the residual of the k vectors is small.
+
+Only matrices of at most d x d reach the driver, where numpy factors them.  Then
 
     G = diag(s) V^T            (k x d)
     U = X V diag(1/s)          (rows; an Arrow map with a d x k matrix)
@@ -11,9 +21,9 @@ driver, where ``numpy.linalg.eigh`` factors it.  Then
     cov(UG) = P C_train P      (closed form: UG is a linear map of X)
 
 Each component is unique up to sign: the largest-magnitude entry of every
-column of V is made positive.  Components whose singular value is below
-``s_max * sqrt(eps) * d`` are treated as zero (their U column is 0), which
-avoids dividing by a rounding residue on rank-deficient stacks.
+column of V is made positive.  Singular values are reported as they come; for
+U alone, those below the accuracy of the method (``tol``) count as zero (their U
+column is 0), which avoids dividing by a rounding residue on rank-deficient stacks.
 """
 
 from __future__ import annotations
@@ -27,7 +37,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .matrix import from_numpy, to_numpy
+from .matrix import from_numpy
+from .moments import _keys, array_width
+from .runs import Complete, Product, Triangle, merge_runs, run_states
 
 
 @dataclass
@@ -72,29 +84,109 @@ class Factors:
         return _row_map(z_rows, x, self.projector, "ug", keep)
 
 
+def _factors(spark: SparkSession, s: np.ndarray, v: np.ndarray, k: int | None, accuracy: float) -> Factors:
+    """Factors of descending ``s`` and their vectors, cut to ``k``, with signs fixed."""
+    d = len(v)
+    k = len(s) if k is None else int(k)
+    if not 1 <= k <= len(s):
+        raise ValueError(f"k must be in 1..{len(s)}")
+    # sign convention: largest |entry| of each right singular vector positive
+    at = np.argmax(np.abs(v), axis=0)
+    sign = np.where(v[at, np.arange(v.shape[1])] < 0, -1.0, 1.0)
+    return Factors(spark=spark, s=s[:k], v=(v * sign)[:, :k], k=k, d=d, tol=s[0] * accuracy * d)
+
+
 def factor_gram(spark: SparkSession, gram: np.ndarray, k: int | None = None) -> Factors:
     """X1/X2 from a symmetric d x d Gram matrix."""
-    d = gram.shape[0]
-    k = d if k is None else int(k)
-    if not 1 <= k <= d:
-        raise ValueError(f"k must be in 1..{d}")
     w, v = np.linalg.eigh((gram + gram.T) / 2.0)
     order = np.argsort(w)[::-1]
-    w, v = w[order], v[:, order]
-    s = np.sqrt(np.clip(w, 0.0, None))
-    # sign convention: largest |entry| of each right singular vector positive
-    idx = np.argmax(np.abs(v), axis=0)
-    sign = np.sign(v[idx, np.arange(d)])
-    sign[sign == 0] = 1.0
-    v = v * sign[None, :]
-    tol = (s[0] if d else 0.0) * np.sqrt(np.finfo(float).eps) * d
-    s_k = np.where(s[:k] > tol, s[:k], 0.0)
-    return Factors(spark=spark, s=s_k, v=v[:, :k], k=k, d=d, tol=tol)
-
-
-def factorise(gram: DataFrame, d: int, k: int | None = None) -> Factors:
-    """Factor the Gram matrix table (``i, j, value``) of the train stack."""
-    return factor_gram(gram.sparkSession, to_numpy(gram, d), k)
+    return _factors(spark, np.sqrt(np.clip(w[order], 0.0, None)), v[:, order], k, np.sqrt(np.finfo(float).eps))
+
+
+def factor_triangle(spark: SparkSession, r: np.ndarray, k: int | None = None) -> Factors:
+    """X1/X2 from the triangle R of the stack's QR factorisation."""
+    _, s, vt = np.linalg.svd(r)
+    return _factors(spark, s, vt.T, k, np.finfo(float).eps)
+
+
+def tall_r(rows: DataFrame, x: str = "x", d: int | None = None, by=()) -> DataFrame:
+    """``by..., r``: the d x d triangle (row-major, diagonal not negative) of
+    the QR factorisation of each group's rows.  A NULL or NaN in a row raises."""
+    by = _keys(by) if by else []
+    state = Triangle(d or array_width(rows, x))
+    return merge_runs(run_states(rows, by, x, state), by, state)
+
+
+def factor_rows(rows: DataFrame, x: str = "x", d: int | None = None, k: int | None = None) -> Factors:
+    """``tsqr``: the factors of all rows of ``x``, one pass over them."""
+    d = d or array_width(rows, x)
+    found = tall_r(rows, x, d).first()
+    if found is None:
+        raise ValueError("no rows to factor")
+    return factor_triangle(rows.sparkSession, np.array(found["r"]).reshape(d, d), k)
+
+
+def factor_range(rows: DataFrame, k: int, x: str = "x", d: int | None = None, oversample: int = 8, tol: float = 1e-8,
+                 max_passes: int = 30, seed: int = 0) -> Factors:
+    """``random``: the first ``k`` factors of all rows of ``x``.
+
+    Blocks of k + oversample vectors, each the last one's image under X^T X
+    made orthogonal to all before, span the space in which the k vectors are
+    sought.  Ends when each of them is an eigenvector up to ``tol`` times the
+    largest eigenvalue; raises if that takes more than ``max_passes``.
+    """
+    d = d or array_width(rows, x)
+    if not 1 <= k <= d:
+        raise ValueError(f"k must be in 1..{d}")
+    width = min(d, k + oversample)
+    block = np.linalg.qr(np.random.default_rng(seed).normal(size=(d, width)))[0]
+    basis, images = np.zeros((d, 0)), np.zeros((d, 0))
+    for _ in range(max_passes):
+        state = Product(block)
+        found = merge_runs(run_states(rows, [], x, state), [], state).first()
+        if found is None:
+            raise ValueError("no rows to factor")
+        y = np.array(found["y"]).reshape(d, -1)
+        if not np.isfinite(y).all():
+            raise ValueError("a row to factor has a NULL, NaN or infinity")
+        basis, images = np.hstack([basis, block]), np.hstack([images, y])
+        small = basis.T @ images
+        w, v = np.linalg.eigh((small + small.T) / 2.0)
+        w, v = w[::-1][:k], v[:, ::-1][:, :k]
+        residual = np.linalg.norm(images @ v - (basis @ v) * w, axis=0).max(initial=0.0)
+        if residual <= tol * max(w[0], 0.0) or basis.shape[1] == d:
+            return _factors(rows.sparkSession, np.sqrt(np.clip(w, 0.0, None)), basis @ v, k, np.sqrt(np.finfo(float).eps))
+        for _ in range(2):       # twice: the first pass leaves rounding behind
+            y = y - basis @ (basis.T @ y)
+            y = y / np.maximum(np.linalg.norm(y, axis=0), np.finfo(float).tiny)
+        block = np.linalg.qr(y)[0][:, :min(width, d - basis.shape[1])]
+        block = np.linalg.qr(block - basis @ (basis.T @ block))[0]
+    raise ValueError(f"not converged after {max_passes} passes: residual {residual:.3g}; allow more passes or a larger oversample")
+
+
+METHODS = ("gram", "tsqr", "random")
+
+
+def factorise(rows: DataFrame, x: str = "x", k: int | None = None, method: str = "tsqr", d: int | None = None, **options) -> Factors:
+    """X1-X5 of all rows of ``x`` (complete rows): ``Factors`` with s, V, G, and
+    U and UG row by row.  ``options`` go to :func:`factor_range`."""
+    d = d or array_width(rows, x)
+    if method == "random":
+        return factor_range(rows, d if k is None else k, x, d, **options)
+    if method == "tsqr":
+        return factor_rows(rows, x, d, k)
+    if method != "gram":
+        raise ValueError(f"method must be one of {METHODS}")
+    state = Complete(d)
+    found = merge_runs(run_states(rows, [], x, state), [], state).first()
+    if found is None:
+        raise ValueError("no rows to factor")
+    gram, mean = np.zeros((d, d)), np.array(found["mean"])
+    gram[state.iu] = np.array(found["m2"])
+    gram = np.triu(gram) + np.triu(gram, 1).T + found["n"][0] * np.outer(mean, mean)
+    if not np.isfinite(gram).all():
+        raise ValueError("a row to factor has a NULL, NaN or infinity")
+    return factor_gram(rows.sparkSession, gram, k)
 
 
 def _row_map(rows: DataFrame, x: str, mat: np.ndarray, out: str, keep: Sequence[str] | None) -> DataFrame:

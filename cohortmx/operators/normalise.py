@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .moments import _keys, diagonal, moments
+from .moments import _keys, array_width, diagonal, moments
+from .runs import Columns, merge_runs, run_states
 
 # Broadcast the per-subject statistics only below this size (bytes); above
 # it the rows are joined by a shuffle join (AQE splits hot subjects).
@@ -52,6 +53,18 @@ def zscore_params(m: DataFrame, key, ddof: int = 0) -> DataFrame:
                       F.col("s").getField("sd").alias("z_sd"), F.col("s").getField("flat").alias("z_flat"))
 
 
+def column_params(df: DataFrame, key, x: str = "x", d: int | None = None, ddof: int = 0) -> DataFrame:
+    """:func:`zscore_params` straight from the rows, by d means and squares a
+    subject: for widths whose d x d moments nobody needs."""
+    keys = _keys(key)
+    d = d or array_width(df, x)
+    state = Columns(d)
+    s = merge_runs(run_states(df, keys, x, state), keys, state)
+    n = F.col("n")[0]
+    flat = F.transform(F.arrays_zip("mn", "mx"), lambda e: (e["mn"] == e["mx"]) | (n <= ddof))
+    return s.select(*keys, F.col("mean").alias("z_mean"), F.transform("q", lambda q: F.sqrt(F.try_divide(q, n - F.lit(float(ddof))))).alias("z_sd"), flat.alias("z_flat"))
+
+
 def apply_zscore(rows: DataFrame, params: DataFrame, key, x: str = "x", out: str = "z",
                  broadcast: bool | str = "auto", limit: int = BROADCAST_LIMIT, d: int | None = None) -> DataFrame:
     """Join per-subject parameters to the rows and z-score ``x`` (JVM-side).

@@ -102,9 +102,67 @@ class Pairwise:
         return out
 
 
+class Columns:
+    """n, mean, centred squares, min, max of each column: nothing of size d x d."""
+
+    columns = ("n", "mean", "q", "mn", "mx")
+
+    def __init__(self, d: int):
+        self.d = d
+
+    def of(self, x: np.ndarray, ok: np.ndarray | None = None) -> States:
+        mean = x.mean(axis=0)
+        return {"n": np.array([len(x)], float), "mean": mean, "q": ((x - mean) ** 2).sum(axis=0), "mn": x.min(axis=0), "mx": x.max(axis=0)}
+
+    def merge(self, s: States, starts: np.ndarray) -> States:
+        group = np.repeat(np.arange(len(starts)), np.diff([*starts, len(s["n"])]))
+        n = np.add.reduceat(s["n"], starts)
+        mean = np.add.reduceat(s["n"] * s["mean"], starts) / n
+        q = np.add.reduceat(s["q"] + s["n"] * (s["mean"] - mean[group]) ** 2, starts)
+        return {"n": n, "mean": mean, "q": q, "mn": np.minimum.reduceat(s["mn"], starts), "mx": np.maximum.reduceat(s["mx"], starts)}
+
+
+class Triangle:
+    """R of the QR factors of the rows (d x d): R of stacked Rs is R of the stacked rows."""
+
+    columns = ("r",)
+
+    def __init__(self, d: int):
+        self.d = d
+
+    def _r(self, x: np.ndarray) -> np.ndarray:
+        if not np.isfinite(x).all():
+            raise ValueError("a row to factor has a NULL, NaN or infinity")
+        r = np.linalg.qr(x, mode="r")
+        out = np.zeros((self.d, self.d))
+        out[:len(r)] = r * np.where(np.diagonal(r) < 0, -1.0, 1.0)[:, None]
+        return out.ravel()
+
+    def of(self, x: np.ndarray, ok: np.ndarray | None = None) -> States:
+        return {"r": self._r(x)}
+
+    def merge(self, s: States, starts: np.ndarray) -> States:
+        return {"r": np.stack([self._r(g.reshape(-1, self.d)) for g in np.split(s["r"], starts[1:])])}
+
+
+class Product:
+    """X'(X q) for a given d x l matrix q: a pass over the rows without X'X."""
+
+    columns = ("y",)
+
+    def __init__(self, q: np.ndarray):
+        self.d, self.q = len(q), q
+
+    def of(self, x: np.ndarray, ok: np.ndarray | None = None) -> States:
+        return {"y": (x.T @ (x @ self.q)).ravel()}
+
+    def merge(self, s: States, starts: np.ndarray) -> States:
+        return {"y": np.add.reduceat(s["y"], starts)}
+
+
 def _starts(keys: list[pa.Array], n: int) -> np.ndarray:
     """Where a new combination of keys begins (equal nulls are one key)."""
-    if not keys:
+    if not keys or not n:
         return np.zeros(1, np.int64)
     ends = [np.asarray(pc.run_end_encode(k).run_ends) for k in keys]
     return np.concatenate([[0], reduce(np.union1d, ends)[:-1]]).astype(np.int64)
@@ -200,6 +258,13 @@ def merge_runs(runs: DataFrame, keys: list[str], state) -> DataFrame:
     """keys and the state's arrays, one row per key, from ``run_states``."""
     runs = materialize(runs)      # read twice or more; the Python pass runs once
     names = list(keys)
+    if not names:      # one group: all parts in order
+        last = runs.agg(F.max("part")).first()[0] or 0
+        while last:
+            last //= FAN_IN
+            runs = (runs.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("int"))
+                    .repartition("part").sortWithinPartitions("part").mapInArrow(_merge_fn(names, state), runs.schema))
+        return runs.select(*state.columns)
     counts = runs.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"), F.max("part").alias("_last"))
     n_keys, n_multi, last = counts.agg(F.count(F.lit(1)), F.count(F.when(F.col("_n") > 1, 1)), F.max("_last")).first()
     alone, several = runs, None

@@ -22,9 +22,9 @@ from ..functions.scalar import fixed, sql_fixed
 from ..operators import matrix as mx
 from ..operators.correlate import corr_from_moments, corr_matrix, fisher_z
 from ..operators.covariance import zscored_stack_cov
-from ..operators.factorise import factor_gram
+from ..operators.factorise import factor_gram, factor_range, factor_rows, tall_r
 from ..operators.moments import moments, pairwise_moments
-from ..operators.normalise import apply_zscore, column_stats, zscore_params
+from ..operators.normalise import apply_zscore, column_params, column_stats, zscore_params
 from ..operators.summarise import (attach_split, entry_stats, split_by_rank, split_by_threshold,
                                    subject_dim)
 from ..session import materialize, scratch_path
@@ -38,9 +38,11 @@ D = 4          # lineitem regions
 D_EMB = 64     # embedding regions
 CUT = 39       # threshold split: subject_id <= CUT is train (as the reference's fixed id cut)
 D_WIDE = 17    # 15 lineitem measures, one of them again and negated
+K_RANGE = 3    # rank sought by the randomised range finder
 K_LOW = 2      # rank of the truncated factorisation
 WRITTEN = ("Fn", "Fv", "Ftrain", "Ftest", "Ctrain", "Ctest", "CtrainCtest")   # result files that SQL can state
 R9, R6 = 9, 6
+STEPS = 40     # squarings in the SQL of eigenvectors
 
 # ------------------------------------------------------------------ shared
 
@@ -201,11 +203,11 @@ def q_ug_closeness_rank2(spark, sf):
 
 
 def q_singular_values(spark, sf):
-    return _factors(spark, sf)[2].singular_values().select("component", _r9("s"))
+    return _factors(spark, sf)[2].singular_values().select("component", fixed(F.col("s"), R6).alias("s"))
 
 
 def q_g_matrix(spark, sf):
-    return _factors(spark, sf)[2].g_matrix().select("i", "j", _r9("value"))
+    return _factors(spark, sf)[2].g_matrix().select("i", "j", fixed(F.col("value"), R6).alias("value"))
 
 
 def _train_z_rows(spark, sf, m, splits):
@@ -219,14 +221,39 @@ def q_u_rows(spark, sf):
     m, splits, f = _factors(spark, sf)
     u = f.u_rows(_train_z_rows(spark, sf, m, splits))
     return u.select("subject_id", "l_orderkey", "l_linenumber",
-                    *[fixed(F.col("u")[k], 12).alias(f"u{k}") for k in range(D)])
+                    *[fixed(F.col("u")[k], R6).alias(f"u{k}") for k in range(D)])
 
 
 def q_ug_truncated(spark, sf):
     m, splits, f = _factors(spark, sf, K_LOW)
     ug = f.ug_rows(_train_z_rows(spark, sf, m, splits))
     return ug.select("subject_id", "l_orderkey", "l_linenumber",
-                     *[fixed(F.col("ug")[k], R9).alias(f"ug{k}") for k in range(D)])
+                     *[fixed(F.col("ug")[k], R6).alias(f"ug{k}") for k in range(D)])
+
+
+def q_r_gram(spark, sf):
+    """X1 by tall-skinny QR: the transpose of R times R is the train Gram matrix."""
+    m, splits = _prepared(spark, sf)
+    r = np.array(tall_r(_train_z_rows(spark, sf, m, splits), d=D).first()["r"]).reshape(D, D)
+    return mx.from_numpy(spark, r.T @ r).select("i", "j", fixed(F.col("value"), R6).alias("value"))
+
+
+def q_tsqr_factors(spark, sf):
+    """X1/X2 by tall-skinny QR: s and V of each component."""
+    m, splits = _prepared(spark, sf)
+    f = factor_rows(_train_z_rows(spark, sf, m, splits), d=D)
+    rows = [(i, j, float(f.s[i]), float(f.v[j, i])) for i in range(D) for j in range(D)]
+    return spark.createDataFrame(rows, "component int, j int, s double, v double").select(
+        "component", "j", fixed(F.col("s"), R6).alias("s"), fixed(F.col("v"), R6).alias("v"))
+
+
+def q_range_projector_d15(spark, sf):
+    """X1 at k = 3 of 15 regions by the randomised range finder: the projector
+    on the first three right vectors of all z-scored rows."""
+    rows = lineitem_wide_measurement(spark, sf)
+    z = apply_zscore(rows, column_params(rows, "subject_id", d=15), "subject_id", out="x", d=15)
+    p = factor_range(z, K_RANGE, d=15, oversample=2, tol=1e-10).projector
+    return mx.from_numpy(spark, p).select("i", "j", fixed(F.col("value"), R6).alias("value"))
 
 
 def q_g_gram(spark, sf):
@@ -355,6 +382,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "subject_corr_d15": q_subject_corr_d15,
     "fisher_z_d15": q_fisher_z_d15,
     "pipeline_csv_roundtrip": q_pipeline_csv_roundtrip,
+    "r_gram": q_r_gram,
+    "tsqr_factors": q_tsqr_factors,
+    "range_projector_d15": q_range_projector_d15,
     "subject_corr_pairwise": q_subject_corr_pairwise,
     "subject_corr_pairwise_d15": q_subject_corr_pairwise_d15,
     "fisher_mean_pairwise": q_fisher_mean_pairwise,
@@ -454,6 +484,52 @@ c0 AS (
 c AS (SELECT subject_id, i, j, n, CASE WHEN n < 2 OR flat THEN CAST('nan' AS DOUBLE) WHEN i = j THEN 1.0 ELSE r END AS r FROM c0)"""
 
 
+def _eigen(d: int, k: int) -> list[str]:
+    """e: c, s (root of the eigenvalue), v of the first k eigenpairs of the matrix in list ``a`` of table gm.
+
+    A symmetric matrix squared again and again, with trace 1, tends to v v' of
+    its largest eigenvalue; the column with the largest diagonal entry gives v
+    with its largest entry positive.  Taken off, the next one is the largest.
+    """
+    cell = f"list_sum(list_transform(range({d}), lambda t: m[(z - z % {d}) + t + 1] * m[t * {d} + z % {d} + 1]))"
+    trace = f"list_sum(list_transform(range({d}), lambda t: p[t * {d + 1} + 1]))"
+    parts = ["a0 AS MATERIALIZED (SELECT a FROM gm)"]
+    for c in range(k):
+        parts.append(f"""q{c} AS (
+  SELECT 0 AS step, list_transform(a, lambda x: x / {trace.replace('p[', 'a[')}) AS m FROM a{c}
+  UNION ALL
+  SELECT step + 1, list_transform(p, lambda x: x / {trace}) FROM (
+    SELECT step, list_transform(range({d * d}), lambda z: {cell}) AS p FROM q{c} WHERE step < {STEPS}))""")
+        diagonal = f"list_transform(range({d}), lambda t: m[t * {d + 1} + 1])"
+        parts.append(f"""v{c} AS MATERIALIZED (
+  SELECT list_transform(range({d}), lambda t: m[t * {d} + b + 1] / sqrt(m[b * {d + 1} + 1])) AS v FROM (
+    SELECT m, list_position({diagonal}, list_max({diagonal})) - 1 AS b FROM q{c} WHERE step = {STEPS}))""")
+        row = f"CAST((z - z % {d}) / {d} AS BIGINT) + 1"
+        image = f"list_sum(list_transform(range({d * d}), lambda z: a[z + 1] * v[{row}] * v[z % {d} + 1]))"
+        parts.append(f"e{c} AS MATERIALIZED (SELECT {c} AS c, {image} AS l, v FROM v{c}, gm)")
+        parts.append(f"""a{c + 1} AS MATERIALIZED (
+  SELECT list_transform(range({d * d}), lambda z: a[z + 1] - e{c}.l * e{c}.v[{row}] * e{c}.v[z % {d} + 1]) AS a FROM a{c}, e{c})""")
+    parts.append("e AS (" + " UNION ALL ".join(f"SELECT c, sqrt(l) AS s, v FROM e{c}" for c in range(k)) + ")")
+    return parts
+
+
+_GRAM = """gm AS MATERIALIZED (
+  SELECT list(g ORDER BY i, j) AS a FROM (SELECT i, j, fsum(a * b) AS g FROM zp WHERE split = 'train' GROUP BY i, j))"""
+
+# all rows of the 15 columns, z-scored per subject, and the Gram matrix of the stack
+_WIDE_GRAM = """cells AS (
+  SELECT id, subject_id, CAST(t.k AS INTEGER) AS k, x[t.k + 1] AS v FROM (SELECT row_number() OVER () AS id, subject_id, x FROM w), range(15) AS t(k)),
+zs AS MATERIALIZED (
+  SELECT id, k, CASE WHEN min(v) OVER s = max(v) OVER s THEN 0.0 ELSE (v - avg(v) OVER s) / stddev_pop(v) OVER s END AS z
+  FROM cells WINDOW s AS (PARTITION BY subject_id, k)),
+gm AS MATERIALIZED (
+  SELECT list(g ORDER BY i, j) AS a FROM (SELECT a.k AS i, b.k AS j, fsum(a.z * b.z) AS g FROM zs a JOIN zs b USING (id) GROUP BY a.k, b.k))"""
+
+
+def _rec(*parts: str) -> str:
+    return "WITH RECURSIVE " + ",\n".join(parts) + "\n"
+
+
 def _with(*parts: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
 
@@ -533,6 +609,29 @@ p AS (
     "ingest_text_roundtrip": _with(_M) + "SELECT subject_id, x0, x1, x2, x3 FROM m",
     "csv_sink_roundtrip": _with(_M, _PAIRS, _CORR, _FISHER)
     + f"SELECT i, j, {_f9('avg(f)')} AS f_mean FROM fz GROUP BY i, j",
+    "r_gram": _with(_M, _RANK, _Z, _ZP)
+    + f"SELECT i, j, {_f6('sum(a * b)')} AS value FROM zp WHERE split = 'train' GROUP BY i, j",
+    "singular_values": _rec(_M, _RANK, _Z, _ZP, _GRAM, *_eigen(D, D)) + f"SELECT CAST(c AS INTEGER) AS component, {_f6('s')} AS s FROM e",
+    "tsqr_factors": _rec(_M, _RANK, _Z, _ZP, _GRAM, *_eigen(D, D))
+    + f"SELECT CAST(c AS INTEGER) AS component, CAST(j AS INTEGER) AS j, {_f6('s')} AS s, {_f6('v[j + 1]')} AS v FROM e, range({D}) t(j)",
+    "g_matrix": _rec(_M, _RANK, _Z, _ZP, _GRAM, *_eigen(D, D))
+    + f"SELECT CAST(c AS INTEGER) AS i, CAST(j AS INTEGER) AS j, {_f6('s * v[j + 1]')} AS value FROM e, range({D}) t(j)",
+    "u_rows": _rec(_M, _RANK, _Z, _ZP, _GRAM, *_eigen(D, D), "u AS (SELECT list(e.s ORDER BY c) AS s, list(e.v ORDER BY c) AS v FROM e)")
+    + "SELECT subject_id, l_orderkey, l_linenumber, "
+    + ", ".join(_f6("(" + " + ".join(f"z{j} * u.v[{k + 1}][{j + 1}]" for j in range(D)) + f") / u.s[{k + 1}]") + f" AS u{k}" for k in range(D))
+    + " FROM z JOIN sp USING (subject_id), u WHERE split = 'train'",
+    "ug_truncated": _rec(_M, _RANK, _Z, _ZP, _GRAM, *_eigen(D, K_LOW), "u AS (SELECT list(e.v ORDER BY c) AS v FROM e)")
+    + "SELECT subject_id, l_orderkey, l_linenumber, "
+    + ", ".join(_f6(" + ".join("(" + " + ".join(f"z{j} * u.v[{c + 1}][{j + 1}]" for j in range(D)) + f") * u.v[{c + 1}][{k + 1}]" for c in range(K_LOW))) + f" AS ug{k}"
+                for k in range(D))
+    + " FROM z JOIN sp USING (subject_id), u WHERE split = 'train'",
+    "ug_closeness_rank2": _rec(_M, _RANK, _Z, _ZP, _COV, _GRAM, *_eigen(D, K_LOW),
+                               "pr AS (SELECT CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, sum(v[i + 1] * v[j + 1]) AS value FROM e, range(4) t(i), range(4) t2(j) GROUP BY i, j)",
+                               "cug AS (SELECT a.i, b.j, sum(a.value * tr.value * b.value) AS value FROM pr a JOIN tr ON tr.i = a.j JOIN pr b ON b.i = tr.j GROUP BY a.i, b.j)")
+    + f"SELECT 'CUG_Ctest' AS pair, {_f9('sqrt(sum((cug.value - te.value) * (cug.value - te.value)))')} AS value FROM cug JOIN te USING (i, j) "
+      f"UNION ALL SELECT 'Ctrain_Ctest', {_f9(_DIST)} FROM tr JOIN te USING (i, j)",
+    "range_projector_d15": _rec(_WIDE, _WIDE_GRAM, *_eigen(15, K_RANGE))
+    + f"SELECT CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, {_f6('sum(v[i + 1] * v[j + 1])')} AS value FROM e, range(15) t(i), range(15) t2(j) GROUP BY i, j",
     "ug_closeness": _with(_M, _RANK, _Z, _ZP, _COV)
     + f"SELECT 'CUG_Ctest' AS pair, {_f9(_DIST)} AS value FROM tr JOIN te USING (i, j) "
       f"UNION ALL SELECT 'Ctrain_Ctest' AS pair, {_f9(_DIST)} AS value FROM tr JOIN te USING (i, j)",
