@@ -50,6 +50,14 @@ def zscored_contributions(m: DataFrame, key, ddof_z: int = 0) -> DataFrame:
     return m.select(*_keys(key), "i", "j", "n", F.when(flat, F.lit(0.0)).otherwise(nn * r).alias("w"))
 
 
+def zscored_sums(m: DataFrame, key, ddof_z: int = 0, split: str = "split") -> DataFrame:
+    """``split, i, j, s, N`` (i <= j): cross-product sums and row counts of the
+    z-scored rows per split, from moments that carry their subject's split.
+    ``s`` is the Gram matrix, ``s / (N - ddof)`` the covariance."""
+    contrib = zscored_contributions(m, [*_keys(key), split], ddof_z)
+    return contrib.groupBy(split, "i", "j").agg(F.sum("w").alias("s"), F.sum("n").alias("N"))
+
+
 def zscored_stack_cov(m: DataFrame, key, splits: DataFrame | None = None, ddof_z: int = 0,
                       ddof: int = 1, gram: bool = False) -> DataFrame:
     """T4: covariance (or, with ``gram=True``, the Gram matrix ``X^T X``) of
@@ -59,14 +67,7 @@ def zscored_stack_cov(m: DataFrame, key, splits: DataFrame | None = None, ddof_z
     every subject is in one split named 'all'.
     """
     keys = _keys(key)
-    contrib = zscored_contributions(m, keys, ddof_z)
-    if splits is not None:
-        contrib = attach_split(contrib, splits, keys[0])
-    else:
-        contrib = contrib.withColumn("split", F.lit("all"))
-    agg = contrib.groupBy("split", "i", "j").agg(F.sum("w").alias("s"), F.sum("n").alias("N"))
-    if gram:
-        value = F.col("s")
-    else:
-        value = F.col("s") / (F.col("N").cast("double") - F.lit(float(ddof)))
-    return mirror(agg.select("split", "i", "j", value.alias("value")), ["split"], ["value"])
+    labelled = attach_split(m, splits, keys[0]) if splits is not None else m.withColumn("split", F.lit("all"))
+    sums = zscored_sums(labelled, keys, ddof_z)
+    value = F.col("s") if gram else F.col("s") / (F.col("N").cast("double") - F.lit(float(ddof)))
+    return mirror(sums.select("split", "i", "j", value.alias("value")), ["split"], ["value"])

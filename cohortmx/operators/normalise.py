@@ -43,7 +43,7 @@ def zscore_params(m: DataFrame, key, ddof: int = 0) -> DataFrame:
     keys = _keys(key)
     dg = diagonal(m, keys)
     n = F.col("n").cast("double")
-    sd = F.sqrt(F.col("var_pop") * n / (n - F.lit(float(ddof))))
+    sd = F.sqrt(F.try_divide(F.col("var_pop") * n, n - F.lit(float(ddof))))
     # constant column or too few rows: z is 0 (as scikit-learn's scale does)
     flat = F.col("const") | (F.col("n") <= ddof)
     items = dg.select(*keys, F.struct("k", "mean", sd.alias("sd"), flat.alias("flat")).alias("s"))

@@ -1,6 +1,6 @@
 """T1-T5 end to end: the eleven named results from one measurement table.
 
-Plan (raw rows are read twice in all, whatever d):
+Plan (raw rows are read twice; writing U in order samples them once more):
 
 1. ``moments`` of every subject                     -- pass 1 over the rows
    checkpointed: subjects x d(d+1)/2 rows
@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 
 from ..operators import matrix as mx
 from ..operators.correlate import corr_from_moments, fisher_z
-from ..operators.covariance import zscored_stack_cov
-from ..operators.factorise import Factors, factor_gram
-from ..operators.moments import array_width, moments
+from ..operators.covariance import zscored_sums
+from ..operators.factorise import METHODS, Factors, factor_gram, factorise
+from ..operators.moments import array_width, mirror, moments
 from ..operators.normalise import BROADCAST_LIMIT, apply_zscore, zscore_params
 from ..operators.summarise import (attach_split, entry_stats, split_by_rank, split_by_threshold,
                                    subject_dim)
@@ -56,18 +56,18 @@ class Results:
 
 def compute(meas: DataFrame, d: int | None = None, split: str = "rank", n_train: int | None = None,
             cut=None, k: int | None = None, ddof_var: int = 0, ddof_z: int = 0,
-            undefined: str = "nan", method: str = "auto", cluster: bool | int = False) -> Results:
+            undefined: str = "nan", method: str = "auto", cluster: bool | int = False, factor: str = "gram") -> Results:
     """All results as DataFrames (U lazily, as a row-level plan).
 
     ``cluster``: see :func:`moments` (scattered layouts with many subjects).
+    ``factor``: how the train stack is factored (see
+    :mod:`..operators.factorise`); ``tsqr`` and ``random`` read the rows again.
     """
+    if factor not in METHODS:
+        raise ValueError(f"factor must be one of {METHODS}")
     spark = meas.sparkSession
     d = d or array_width(meas)
     m = materialize(moments(meas, "subject_id", d=d, method=method, cluster=cluster))
-    # upper triangle only: F is symmetric, mirror the d x d results
-    fz = fisher_z(corr_from_moments(m, "subject_id", full=False), undefined=undefined)
-
-    stats = entry_stats(fz, ddof=ddof_var, upper=True)
     subjects = subject_dim(m)
     if split == "rank":
         splits = split_by_rank(subjects, n_train=n_train)
@@ -78,10 +78,13 @@ def compute(meas: DataFrame, d: int | None = None, split: str = "rank", n_train:
     else:
         raise ValueError("split must be 'rank' or 'threshold'")
     splits = materialize(splits)
-    by_split = entry_stats(attach_split(fz, splits), by="split", ddof=ddof_var, upper=True)
-
-    cov = zscored_stack_cov(m, "subject_id", splits, ddof_z=ddof_z)
-    gram = zscored_stack_cov(m, "subject_id", splits, ddof_z=ddof_z, gram=True).where(F.col("split") == "train")
+    # the one split join: F and the z-scored sums both come from labelled moments
+    labelled = attach_split(m, splits)
+    # upper triangle only: F is symmetric, mirror the d x d results
+    fz = fisher_z(corr_from_moments(labelled, ["subject_id", "split"], full=False), undefined=undefined)
+    stats = entry_stats(fz, ddof=ddof_var, upper=True)
+    by_split = entry_stats(fz, by="split", ddof=ddof_var, upper=True)
+    sums = mirror(zscored_sums(labelled, "subject_id", ddof_z), ["split"], ["s", "N"])
 
     # every d x d result in one small collect (7 d^2 rows + 1, bounded by d);
     # one branch per source table, the result name computed per row
@@ -94,8 +97,11 @@ def compute(meas: DataFrame, d: int | None = None, split: str = "rank", n_train:
                  F.struct(F.lit("Fv").alias("n"), F.col("var").alias("v")))).alias("s")),
                  F.col("s.n"), F.col("s.v"))
              .unionByName(tag(by_split, F.when(train, "Ftrain").otherwise("Ftest"), F.col("mean")))
-             .unionByName(tag(cov, F.when(train, "Ctrain").otherwise("Ctest"), F.col("value")))
-             .unionByName(tag(gram, F.lit("gram"), F.col("value")))
+             # covariance and, for train, the Gram matrix from one aggregate
+             .unionByName(tag(sums.select("split", "i", "j", F.inline(F.array(
+                 F.struct(F.when(train, "Ctrain").otherwise("Ctest").alias("name"), (F.col("s") / (F.col("N").cast("double") - 1.0)).alias("value")),
+                 F.struct(F.when(train, F.lit("gram")).alias("name"), F.col("s").alias("value"))))).where("name is not null"),
+                 F.col("name"), F.col("value")))
              # the subject count rides along: it sizes the z-score join below
              .unionByName(m.where((F.col("i") == 0) & (F.col("j") == 0))
                           .agg(F.count(F.lit(1)).alias("value"))
@@ -111,16 +117,15 @@ def compute(meas: DataFrame, d: int | None = None, split: str = "rank", n_train:
 
     if not np.isfinite(mats["gram"]).all():
         raise ValueError("the train split has no subject, or its values have NaN or infinity")
-    f = factor_gram(spark, mats["gram"], k)
-    ctrain_np, ctest_np = mats["Ctrain"], mats["Ctest"]
-    cug_np = f.cov_ug(ctrain_np)
-
     # one row-level join: parameters of train subjects only, so the inner
     # join both keeps the train rows and z-scores them
     train_params = zscore_params(m, "subject_id", ddof_z).join(
         splits.where(F.col("split") == "train").select("subject_id"), "subject_id")
     small_params = n_subjects * (24 * d + 64) <= BROADCAST_LIMIT
     z_train = apply_zscore(meas, train_params, "subject_id", out="x", d=d, broadcast=small_params)
+    f = factor_gram(spark, mats["gram"], k) if factor == "gram" else factorise(z_train, "x", k, factor, d)
+    ctrain_np, ctest_np = mats["Ctrain"], mats["Ctest"]
+    cug_np = f.cov_ug(ctrain_np)
     u = f.u_rows(z_train)
 
     dist = {"CUG_Ctest": float(np.linalg.norm(cug_np - ctest_np)),
@@ -218,12 +223,13 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--k", type=int)
     ap.add_argument("--ddof-var", type=int, default=0)
     ap.add_argument("--ddof-z", type=int, default=0)
+    ap.add_argument("--factor", choices=METHODS, default="gram")
     ap.add_argument("--suffix", default="")
     ap.add_argument("--on-reject", choices=["fail", "count"], default="fail")
     a = ap.parse_args(argv)
     spark = builder("cohortmx-pipeline").getOrCreate()
     res = run(spark, a.input_dir, a.out_dir, glob=a.glob, width=a.width, suffix=a.suffix, split=a.split,
-              n_train=a.n_train, cut=a.cut, k=a.k, ddof_var=a.ddof_var, ddof_z=a.ddof_z, on_reject=a.on_reject)
+              n_train=a.n_train, cut=a.cut, k=a.k, ddof_var=a.ddof_var, ddof_z=a.ddof_z, on_reject=a.on_reject, factor=a.factor)
     for reason, n in res.rejects.items():
         print(f"rejected, {reason}: {n}")
     for pair, value in res.distances.items():

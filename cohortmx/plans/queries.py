@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 from ..functions.scalar import fixed, sql_fixed
 from ..operators import matrix as mx
 from ..operators.correlate import corr_from_moments, corr_matrix, fisher_z
-from ..operators.covariance import zscored_stack_cov
+from ..operators.covariance import zscored_stack_cov, zscored_sums
 from ..operators.factorise import factor_gram, factor_range, factor_rows, tall_r
-from ..operators.moments import moments, pairwise_moments
+from ..operators.moments import mirror, moments, pairwise_moments
 from ..operators.normalise import apply_zscore, column_params, column_stats, zscore_params
 from ..operators.summarise import (attach_split, entry_stats, split_by_rank, split_by_threshold,
                                    subject_dim)
@@ -70,10 +70,19 @@ def _prepared(spark, sf):
     return m, materialize(_rank_split(m))
 
 
+def _stacks(m, splits):
+    """Per split: (Gram matrix, covariance) of the z-scored stack, from one
+    aggregate and one collect of 2 d^2 rows."""
+    s = {"train": np.zeros((D, D)), "test": np.zeros((D, D))}
+    n = dict.fromkeys(s, 0)
+    for r in mirror(zscored_sums(attach_split(m, splits), "subject_id"), ["split"], ["s", "N"]).collect():
+        s[r["split"]][r["i"], r["j"]], n[r["split"]] = r["s"], r["N"]
+    return {k: (v, v / (n[k] - 1.0)) for k, v in s.items()}
+
+
 def _factors(spark, sf, k=None):
     m, splits = _prepared(spark, sf)
-    gram = zscored_stack_cov(m, "subject_id", splits, gram=True).where(F.col("split") == "train")
-    return m, splits, factor_gram(spark, mx.to_numpy(gram, D), k)
+    return m, splits, factor_gram(spark, _stacks(m, splits)["train"][0], k)
 
 
 def _r9(c: str):
@@ -178,20 +187,17 @@ def q_embedding_corr_wide(spark, sf):
 
 
 def q_cov_ug_full_rank(spark, sf):
-    m, splits, f = _factors(spark, sf)
-    tr = zscored_stack_cov(m, "subject_id", splits).where(F.col("split") == "train").drop("split")
-    return mx.from_numpy(spark, f.cov_ug(mx.to_numpy(tr, D))).select("i", "j", _r9("value"))
+    gram, cov = _stacks(*_prepared(spark, sf))["train"]
+    return mx.from_numpy(spark, factor_gram(spark, gram).cov_ug(cov)).select("i", "j", _r9("value"))
 
 
 def _closeness(spark, sf, k):
-    # 2 d^2 rows in one collect; the distances are d x d algebra, as in pipeline.compute
-    m, splits, f = _factors(spark, sf, k)
-    c = {"train": np.zeros((D, D)), "test": np.zeros((D, D))}
-    for r in zscored_stack_cov(m, "subject_id", splits).collect():
-        c[r["split"]][r["i"], r["j"]] = r["value"]
+    # the distances are d x d algebra, as in pipeline.compute
+    c = _stacks(*_prepared(spark, sf))
+    (gram, train), (_, test) = c["train"], c["test"]
+    cug = factor_gram(spark, gram, k).cov_ug(train)
     return spark.createDataFrame(
-        [("CUG_Ctest", float(np.linalg.norm(f.cov_ug(c["train"]) - c["test"]))),
-         ("Ctrain_Ctest", float(np.linalg.norm(c["train"] - c["test"])))], "pair string, value double")
+        [("CUG_Ctest", float(np.linalg.norm(cug - test))), ("Ctrain_Ctest", float(np.linalg.norm(train - test)))], "pair string, value double")
 
 
 def q_ug_closeness(spark, sf):

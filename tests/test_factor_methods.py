@@ -1,0 +1,115 @@
+"""Tall-skinny QR, the randomised range finder and the factorise call, against numpy."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from cohortmx import apply_zscore, column_params, factorise, moments, tall_r, zscore_params
+from cohortmx.operators import runs as rn
+from cohortmx.operators.factorise import METHODS, factor_range
+
+
+def table(spark, x, parts=5, key=None):
+    rows = [(int(key[i]) if key is not None else 0, i, [float(v) for v in r]) for i, r in enumerate(x)]
+    return spark.createDataFrame(rows, "subject_id long, row_idx int, x array<double>").repartition(parts)
+
+
+def spectrum(rng, n, d, s):
+    u = np.linalg.qr(rng.normal(size=(n, len(s))))[0]
+    v = np.linalg.qr(rng.normal(size=(d, len(s))))[0]
+    return (u * s) @ v.T
+
+
+def test_tsqr_keeps_small_singular_values_where_gram_loses_them(spark):
+    rng = np.random.default_rng(1)
+    s = np.logspace(0, -10, 8)                     # condition 1e10
+    x = spectrum(rng, 500, 8, s)
+    want = np.linalg.svd(x, compute_uv=False)
+    tsqr = factorise(table(spark, x), k=8, method="tsqr")
+    gram = factorise(table(spark, x), k=8, method="gram")
+    assert tsqr.s == pytest.approx(want, rel=1e-6)
+    assert abs(gram.s[-1] / want[-1] - 1) > 1e-2
+    assert gram.s[:3] == pytest.approx(want[:3], rel=1e-6)
+    u = np.array([r["u"] for r in tsqr.u_rows(table(spark, x)).orderBy("row_idx").collect()])
+    assert u @ tsqr.g == pytest.approx(x, abs=1e-12)
+
+
+@pytest.mark.parametrize("fan_in", [2, 64])
+@pytest.mark.parametrize("parts", [1, 9])
+def test_r_is_the_triangle_of_the_stack(spark, monkeypatch, fan_in, parts):
+    monkeypatch.setattr(rn, "FAN_IN", fan_in)
+    rng = np.random.default_rng(2)
+    x, key = rng.normal(size=(211, 5)), rng.integers(0, 3, 211)
+    key[0:3] = 7                                   # a group of fewer rows than columns
+    got = {r["subject_id"]: np.array(r["r"]).reshape(5, 5) for r in tall_r(table(spark, x, parts, key), by="subject_id").collect()}
+    assert sorted(got) == [0, 1, 2, 7]
+    for k, r in got.items():
+        assert np.allclose(r, np.triu(r)) and (np.diagonal(r) >= 0).all()
+        assert r.T @ r == pytest.approx(x[key == k].T @ x[key == k], abs=1e-10)
+
+
+def test_range_finder_finds_eight_of_300(spark):
+    rng = np.random.default_rng(3)
+    s = 50 * 0.93 ** np.arange(300)
+    x = spectrum(rng, 1200, 300, s)
+    w, v = np.linalg.eigh(x.T @ x)
+    f = factor_range(table(spark, x, 4), 8, d=300)
+    assert f.s == pytest.approx(np.sqrt(w[::-1][:8]), rel=1e-6)
+    p = v[:, ::-1][:, :8]
+    assert f.projector == pytest.approx(p @ p.T, abs=1e-6)
+    assert f.v.shape == (300, 8) and f.v.T @ f.v == pytest.approx(np.eye(8), abs=1e-9)
+
+
+def test_range_finder_says_when_it_has_not_converged(spark):
+    x = np.random.default_rng(4).normal(size=(400, 60))
+    with pytest.raises(ValueError, match="not converged"):
+        factor_range(table(spark, x), 3, d=60, oversample=1, max_passes=2)
+    f = factor_range(table(spark, x), 3, d=60, oversample=1, max_passes=60)      # at the latest when the space is whole
+    assert f.s == pytest.approx(np.linalg.svd(x, compute_uv=False)[:3], rel=1e-6)
+
+
+def test_methods_agree_with_svd(spark):
+    rng = np.random.default_rng(5)
+    x = spectrum(rng, 300, 6, np.array([9, 7, 4, 2, 1, 0.5])) + 0.3
+    u, s, vt = np.linalg.svd(x, full_matrices=False)
+    for method in METHODS:
+        f = factorise(table(spark, x), k=2, method=method)
+        assert f.s == pytest.approx(s[:2], rel=1e-8)
+        assert f.projector == pytest.approx(vt[:2].T @ vt[:2], abs=1e-8)
+        assert (f.v[np.abs(f.v).argmax(0), [0, 1]] > 0).all()
+        ug = np.array([r["ug"] for r in f.ug_rows(table(spark, x)).orderBy("row_idx").collect()])
+        assert ug == pytest.approx((u[:, :2] * s[:2]) @ vt[:2], abs=1e-7)
+        assert f.cov_ug(np.cov(x.T)) == pytest.approx(np.cov(ug.T), abs=1e-7)
+
+
+@pytest.mark.parametrize("method", METHODS)
+def test_odd_stacks(spark, method):
+    x = np.arange(24.0).reshape(8, 3)              # rank 2
+    f = factorise(table(spark, x), k=3, method=method)
+    assert f.s == pytest.approx(np.linalg.svd(x, compute_uv=False), abs=1e-5)
+    u = np.array([r["u"] for r in f.u_rows(table(spark, x)).orderBy("row_idx").collect()])
+    assert np.isfinite(u).all() and (u[:, 2] == 0).all() and u[:, :2] @ f.g[:2] == pytest.approx(x, abs=1e-6)
+    with pytest.raises(ValueError, match="k must be"):
+        factorise(table(spark, x), k=4, method=method)
+    with pytest.raises(ValueError, match="no rows"):
+        factorise(table(spark, x).where("false"), k=2, method=method, d=3)
+    with pytest.raises(Exception, match="NULL, NaN or infinity"):
+        factorise(table(spark, x).withColumn("x", F.when(F.col("row_idx") == 3, F.array(F.lit(1.0), F.lit(None), F.lit(2.0))).otherwise(F.col("x"))), k=2, method=method, d=3)
+
+
+def test_one_row_has_one_component(spark):
+    f = factorise(table(spark, np.array([[3.0, 4.0]]), 1), k=2, method="tsqr")
+    assert f.s == pytest.approx([5.0, 0.0]) and f.v[:, 0] == pytest.approx([0.6, 0.8])
+
+
+@pytest.mark.parametrize("ddof", [0, 1])
+def test_column_params_are_the_moments_params(spark, ddof):
+    rng = np.random.default_rng(6)
+    x, key = rng.normal(size=(90, 4)) + 50, rng.integers(0, 4, 90)
+    x[key == 1, 2] = 8.0
+    key[0] = 9                                     # one row
+    df = table(spark, x, 6, key)
+    z = []
+    for params in (column_params(df, "subject_id", d=4, ddof=ddof), zscore_params(moments(df, "subject_id", d=4), "subject_id", ddof)):
+        z.append(np.array([r["z"] for r in apply_zscore(df, params, "subject_id", d=4).orderBy("row_idx").collect()]))
+    assert z[0] == pytest.approx(z[1], abs=1e-12)

@@ -63,8 +63,9 @@ def test_rank_deficient_has_no_division_by_zero(spark):
     raw[:, 3] = raw[:, 0] + raw[:, 1]
     X = raw - raw.mean(0)          # one subject: the deficiency survives centring
     f = factor_gram(spark, X.T @ X)
-    assert f.s[-1] == 0.0
+    assert f.s[-1] <= f.tol        # reported as it comes; U's column is 0
     M = f.left_map()
+    assert np.all(M[:, -1] == 0.0)
     assert np.all(np.isfinite(M))
     assert np.allclose((X @ M) @ f.g, X, atol=1e-9)
 
