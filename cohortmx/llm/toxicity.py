@@ -6,7 +6,7 @@ words, in one pass, whatever their number.  A term that lies within an
 exception phrase ("trash can") does not count.  The score is a logistic
 function of the largest weight found and of the found weight per word.
 
-Terms and weights are learned from labelled rows: a word's weight is the
+Terms, weights and exceptions are learned from labelled rows: a word's weight is the
 logarithm of its odds among toxic against other documents.  A word counts once
 per document, and once per pair of neighbouring words over all documents, so
 that copies of one document don't make its words look toxic.  The first
@@ -18,8 +18,10 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +32,9 @@ from pyspark.sql import functions as F
 from cohortmx.llm.common import fold, only_ids, text_slices, written
 
 SAMPLE_ROWS = 50_000       # labelled rows that are learned from at most
-MAX_TERMS = 5_000          # bounds the lexicon that is broadcast
 MIN_EVIDENCE = 3.0         # standard deviations by which a term's toxic share must exceed a half
 STEMS, STEM_WORDS = range(4, 9), 3      # letters of a stem; words that must share it
+MIN_LETTERS = 2            # of a word that may be a term; single letters are no words
 FLAG_AT = 0.3
 
 # fixed values: letters that look like Latin ones, and signs written for letters
@@ -40,13 +42,14 @@ HOMOGLYPHS = {"а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y",
               "к": "k", "м": "m", "т": "t", "в": "b", "н": "h", "ԁ": "d", "ɡ": "g", "ı": "i", "ο": "o", "α": "a",
               "ε": "e", "ι": "i", "κ": "k", "ν": "v", "ρ": "p", "τ": "t", "υ": "u", "χ": "x"}
 DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i", "|": "i"}
-EXCEPTIONS = ("trash can", "trash bin", "trash bag", "clown fish", "class clown", "loser bracket", "pathetic fallacy",
-              "scum line", "pond scum")
 
 _WORD = re.compile(r"[^\W\d_]+")
 _TOKEN = re.compile(r"\S+")
-_MIXED = re.compile(r"(?=\S*[A-Za-z])(?=\S*[0-9@$!|])[A-Za-z0-9@$!|]+")
-_PLAIN: dict[int, str] = {}
+# from the begin of a run on, so that a run is looked at once whatever its length
+_MIXED = re.compile(r"(?<![A-Za-z0-9@$!|])(?:[A-Za-z]++[0-9@$!|]|[0-9@$!|]++[A-Za-z])[A-Za-z0-9@$!|]*+")
+PHRASE_REACH = 80          # characters around a term that its neighbouring words are looked for in
+_BEFORE = re.compile(r"([^\W\d_]*)[\W\d_]*?(?<![^\W\d_])([^\W\d_]+) $")
+_AFTER = re.compile(r" ([^\W\d_]+)[\W\d_]*([^\W\d_]*)")
 
 
 def _fold_char(c: int) -> str:
@@ -87,7 +90,7 @@ class Lexicon:
     """Folded terms with weights (a stem ends with *), exception phrases, and the score's coefficients."""
 
     terms: dict[str, float]
-    exceptions: tuple[str, ...] = EXCEPTIONS
+    exceptions: tuple[str, ...] = ()
     intercept: float = -3.0
     found: float = 0.5
     density: float = 0.5
@@ -112,8 +115,10 @@ class Lexicon:
 
     def weights_of(self, folded: str) -> list[float]:
         """The weights of the terms in a folded text."""
-        if not self.terms:
-            return []
+        return [h[2] for h in self.hits(folded)] if self.terms else []
+
+    def hits(self, folded: str) -> list[tuple[int, int, float]]:
+        """(begin, end, weight) of the terms in a folded text that no exception phrase covers."""
         hits: list[tuple[int, int, float]] = []
         excused: list[tuple[int, int]] = []
         for last, (weight, length, is_stem, is_exception) in self.matcher().iter(folded):
@@ -124,8 +129,12 @@ class Lexicon:
                 excused.append((first, end))
             else:
                 hits.append((first, end, weight))
-        hits = [h for h in hits if not any(a <= h[0] and h[1] <= b for a, b in excused)] if excused else hits
-        return [h[2] for h in hits]
+        if not excused:
+            return hits
+        excused.sort()
+        begins = [a for a, _ in excused]
+        reach = list(accumulate((b for _, b in excused), max))         # the furthest end of the phrases that begin no later
+        return [(a, b, w) for a, b, w in hits if not (i := bisect_right(begins, a)) or reach[i - 1] < b]
 
     def features(self, text: str | None) -> tuple[float, float, int]:
         """(largest weight found, log of 1 + weight per 100 words, number found)."""
@@ -152,7 +161,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, held_out: F.
 
 def word_evidence(sample: DataFrame, label: str) -> DataFrame:
     """word, n, n_toxic: in how many different neighbourhoods each folded word
-    of three letters or more stands, one a document, and how many are toxic."""
+    of MIN_LETTERS or more stands, one a document, and how many are toxic."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -164,7 +173,7 @@ def word_evidence(sample: DataFrame, label: str) -> DataFrame:
                     own = _WORD.findall(fold_text(text or ""))
                     first: dict[str, int] = {}
                     for i, w in enumerate(own):
-                        if len(w) >= 3 and w not in first:
+                        if len(w) >= MIN_LETTERS and w not in first:
                             first[w] = i
                     for w, i in first.items():
                         words.append(w)
@@ -178,11 +187,13 @@ def word_evidence(sample: DataFrame, label: str) -> DataFrame:
 
 
 def learn(docs: DataFrame, labels: DataFrame, held_out: F.Column, label: str = "toxic", rows: int = SAMPLE_ROWS,
-          exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
-    """Lexicon and score coefficients from a bounded sample of labelled rows.
+          exceptions: tuple[str, ...] = ()) -> Lexicon:
+    """Lexicon, exception phrases and score coefficients from a bounded sample of labelled rows.
 
     A word is a term if the lower confidence bound of its toxic share is over
-    a half.  Without labels of both kinds the lexicon is empty.
+    a half, and a term with a neighbouring word an exception ("trash can") if
+    that of the phrase's clean share is; ``exceptions`` adds phrases to those
+    learned.  Without labels of both kinds the lexicon is empty.
     """
     sample = written(labelled_sample(docs, labels, label, held_out, rows))
     n_all = sample.agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("t")).collect()[0]
@@ -192,6 +203,7 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: F.Column, label: str = "
         return lexicon
     base = math.log(toxic / (total - toxic))
     lexicon.terms = _terms(written(word_evidence(sample, label)), base)
+    lexicon.exceptions = tuple(sorted({*exceptions, *_exceptions(phrase_evidence(sample, label, lexicon))}))
     # coefficients: logistic regression over counts of rows by rounded features
     counts = (sample.select(measure(lexicon)(F.col("text")).alias("m"), F.col(label))
               .groupBy(F.round("m.largest", 2).alias("largest"), F.round("m.density", 1).alias("density")).agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("t")).collect())
@@ -207,7 +219,8 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: F.Column, label: str = "
 def _terms(words: DataFrame, base: float) -> dict[str, float]:
     """Stems and words whose toxic share has a lower confidence bound over a
     half; of stems within each other the one with the highest bound, of words
-    those without a stem."""
+    those without a stem.  A term takes at least MIN_EVIDENCE ** 2 toxic places in
+    the bounded sample, which bounds how many there are."""
     z2 = MIN_EVIDENCE ** 2
     share = (F.col("n_toxic") + z2 / 2) / (F.col("n") + z2)
     spread = MIN_EVIDENCE * F.sqrt(F.col("n_toxic") * (F.col("n") - F.col("n_toxic")) / F.col("n") + z2 / 4) / (F.col("n") + z2)
@@ -217,16 +230,57 @@ def _terms(words: DataFrame, base: float) -> dict[str, float]:
              .groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic"), F.sum((F.col("n_toxic") * 2 > F.col("n")).cast("int")).alias("of"))
              .where(F.col("of") >= STEM_WORDS))
     found: dict[str, float] = {}
+    begun: set[str] = set()          # beginnings of the stems found
     for rows, mark in ((stems, "*"), (words, "")):
         for r in (rows.withColumn("low", F.round(share - spread, 9)).where(F.col("low") >= 0.5)
-                  .orderBy(F.desc("low"), F.length("word"), "word").limit(MAX_TERMS).collect()):
+                  .orderBy(F.desc("low"), F.length("word"), "word").collect()):
             word = r["word"]
             inside = any(word[:k] + "*" in found for k in STEMS if k <= len(word))
-            if not inside and not (mark and any(t.startswith(word) for t in found)):
+            if not inside and not (mark and word in begun):
+                begun.update(word[:k] for k in range(1, len(word) + 1) if mark)
                 found[word + mark] = math.log((r["n_toxic"] + 0.5) / (r["n"] - r["n_toxic"] + 0.5)) - base
     return found
 
 
+def phrase_evidence(sample: DataFrame, label: str, lexicon: Lexicon) -> DataFrame:
+    """phrase, n, n_toxic of each term found with the word before or after it
+    (one blank between): in how many neighbourhoods, one a document, and how
+    many are toxic."""
+    shared = sample.sparkSession.sparkContext.broadcast(lexicon)
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in text_slices(whole):
+                rows: list[tuple[str, int, int]] = []
+                for text, flag in zip(b.column("text").to_pylist(), b.column(label).to_pylist()):
+                    folded = fold_text(text or "")
+                    seen: set[str] = set()
+                    for first, end, _ in shared.value.hits(folded) if shared.value.terms else ():
+                        while end < len(folded) and folded[end].isalpha():           # a stem: to the end of its word
+                            end += 1
+                        before, after = _BEFORE.search(folded[max(0, first - PHRASE_REACH):first]), _AFTER.match(folded[end:end + PHRASE_REACH])
+                        term = folded[first:end]
+                        phrases = [(f"{before[2]} {term}", before[1])] if before else []
+                        phrases += [(f"{term} {after[1]}", after[2])] if after else []
+                        for phrase, side in phrases:
+                            if phrase not in seen:
+                                seen.add(phrase)
+                                rows.append((phrase, xxhash.xxh3_64_intdigest(side) >> 1, flag))
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int32())],
+                                                 ["phrase", "around", "toxic"])
+
+    places = sample.select("text", F.col(label)).mapInArrow(emit, "phrase string, around long, toxic int")
+    return (places.groupBy("phrase", "around").agg(F.avg("toxic").alias("t"))
+            .groupBy("phrase").agg(F.count(F.lit(1)).alias("n"), F.sum("t").alias("n_toxic")))
+
+
+def _exceptions(phrases: DataFrame) -> list[str]:
+    """Phrases whose clean share has a lower confidence bound over a half."""
+    z2, clean = MIN_EVIDENCE ** 2, F.col("n") - F.col("n_toxic")
+    low = (clean + z2 / 2 - MIN_EVIDENCE * F.sqrt(clean * F.col("n_toxic") / F.col("n") + z2 / 4)) / (F.col("n") + z2)
+    return [r["phrase"] for r in phrases.where(F.round(low, 9) >= 0.5).collect()]
+
+
 def _logistic(x: np.ndarray, n: np.ndarray, t: np.ndarray, ridge: float = 1.0) -> tuple[float, ...]:
     """Ridge logistic regression of t of n by Newton steps."""
     w = np.zeros(x.shape[1])
