@@ -8,9 +8,14 @@ length, how often its characters change kind, the shapes of its neighbours,
 keywords, quotes and assignment signs before and after it, and features of the
 file (a keyword anywhere, many digits, many signs).
 
-The field is trained on windows around base spans and around the likeliest
-other tokens of a bounded sample of documents, so it learns from their
-contexts what secrets of other forms look like.  Decoding is exact: a token
+Base spans are all that is known to be secret, and a field trained on them as
+they stand would only repeat the patterns.  So most of its examples are
+altered: in a bounded sample of the documents with base spans, the secret
+gets letters and digits of its own, another length, another keyword or none,
+and is kept where no pattern finds it any more; near misses put ordinary words and
+short numbers of the text behind keywords.  Windows around the likeliest other
+tokens of a sample of all documents show what isn't secret; a secret-shaped
+token behind a keyword isn't called that.  Decoding is exact: a token
 whose score for O leads by more than any two transitions can make up for is O
 on the best path, and the runs of other tokens between are decoded by Viterbi.
 """
@@ -19,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,8 +35,10 @@ from pyspark.sql import functions as F
 
 from cohortmx.llm.common import _BYTE, _powers, mix64, only_ids, text_slices, written
 
-SAMPLE_DOCS = 20_000       # documents that windows are taken from at most
-WINDOWS = 3_000            # windows that are learned from at most
+SAMPLE_DOCS = 20_000       # documents that windows without secrets are taken from at most
+SECRET_DOCS = 1_500        # documents with base spans that are learned from at most
+WINDOWS = 4_000            # windows that are learned from at most
+ALTERED, NEAR_MISSES = 5, 3   # examples made of each base span
 REACH = 12                 # tokens on each side of a window's middle
 SPANS_PER_DOC = 3          # of the base spans of a sampled document, those that give windows
 MIN_LENGTH = 6             # code points of a span of the field, as of base assignments
@@ -44,6 +52,12 @@ _ASSIGN_WORDS = ("passw", "secret", "token", "api_key", "apikey")
 KEYWORDS = ("password", "passwd", "pwd", "secret", "token", "api_key", "apikey", "api-key", "key", "auth",
             "authorization", "bearer", "credential", "credentials", "private_key", "access_key", "client_secret")
 
+# keywords that no base pattern knows, and ways to write one before a value
+OTHER_KEYWORDS = ("pwd", "key", "auth", "authorization", "bearer", "credential", "credentials", "private_key", "access_key")
+FORMS = ("{k}: {v}", "{k} = {v}", "{k}={v}", '{k}: "{v}"', "{k} = '{v}'", "{k} '{v}'", "Authorization: Bearer {v}", "{k}:{v}")
+# a superset of the base patterns, as Spark reads it
+LIKELY = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[a-z0-9+/_.=-]{6}|AKIA[A-Z0-9]{16}|[0-9a-f]{24}"""
+
 OUT, BEGIN, IN = 0, 1, 2
 SHAPES = 12                # see _shape
 LENGTHS = np.array([2, 4, 8, 16, 20, 24, 40])
@@ -257,48 +271,131 @@ def _tags(tok: Tokens, doc: int, spans: list[tuple[int, int, str]]) -> tuple[np.
     return at, tags
 
 
+def _draws(seed: str) -> Iterator[int]:
+    """An endless sequence of 64-bit numbers from a text."""
+    state, i = int.from_bytes(hashlib.sha256(seed.encode("utf-8", "surrogatepass")).digest()[:8], "little"), 0
+    while True:
+        i += 1
+        yield int(mix64(np.array([(state + i * 0x9E3779B97F4A7C15) % 2**64], np.uint64))[0])
+
+
+def _another(value: str, draw: Iterator[int]) -> tuple[str, bool]:
+    """(a secret of another form made of ``value``, whether it needs a keyword
+    before it).  Letters get other letters and cases, half of the digits become
+    letters; the long ones may get a prefix or be parted by dots or dashes."""
+    alphabet = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    size = (8 + next(draw) % 6, 14 + next(draw) % 10, 24 + next(draw) % 20)[next(draw) % 3]
+    chars = []
+    for c in (value * (1 + size // len(value)))[:size]:
+        n = next(draw)
+        chars.append(alphabet[n % 52] if c.isalpha() or n >> 32 & 1 else str((n >> 8) % 10))
+    chars[1 + next(draw) % (size - 1)] = str(next(draw) % 10)
+    out = "".join(chars)
+    way = next(draw) % 6
+    if size >= 20 and way == 0:
+        out = "".join(alphabet[next(draw) % 26] for _ in range(2 + next(draw) % 3)) + "_-"[next(draw) % 2] + out
+    elif size >= 20 and way == 1:
+        out = ".".join((out[:size // 3], out[size // 3:2 * size // 3], out[2 * size // 3:]))
+    elif size >= 20 and way == 2:
+        out = "-".join(out[i:i + 8] for i in range(0, size, 8))
+    return out, size < 20
+
+
+def _behind(keyword: str, value: str, draw: Iterator[int]) -> str:
+    return FORMS[next(draw) % len(FORMS)].format(k=(keyword, keyword.upper(), keyword.title())[next(draw) % 3], v=value)
+
+
+def examples(text: str, span: tuple[int, int, str]) -> Iterator[tuple[str, int, int, bool]]:
+    """(text, start, end, secret) made of a text with a base span: the base
+    match replaced by a secret of another form, at start..end, that no base
+    pattern touches, or by a near miss."""
+    start, end, kind = span
+    whole = next((m.span() for m in _ASSIGN.finditer(text) if m.span(2) == (start, end)), (start, end)) if kind == "assign" else (start, end)
+    if whole[1] < len(text) and text[whole[1]] in "\"'":
+        whole = whole[0], whole[1] + 1
+    words = [w for w in re.findall(r"[^\W\d_]{3,}", text[max(0, start - 400):end + 400]) if w.lower() not in KEYWORDS] or ["word"]
+    for i in range(ALTERED + NEAR_MISSES):
+        draw = _draws(f"{i}:{start}:{text[start:end]}")
+        secret = i < ALTERED
+        if secret:
+            value, needs = _another(text[start:end], draw)
+        else:
+            value, needs = str(next(draw) % 10_000) if next(draw) % 4 == 0 else words[next(draw) % len(words)], True
+        put = _behind(OTHER_KEYWORDS[next(draw) % len(OTHER_KEYWORDS)], value, draw) if needs or next(draw) % 2 else value
+        at = whole[0] + put.rindex(value)
+        changed = text[:whole[0]] + put + text[whole[1]:]
+        if not secret or not any(a < at + len(value) and b > at for a, b, _ in base_spans(changed)):
+            yield changed, at, at + len(value), secret
+
+
+PLAIN, SECRET, NEAR_MISS = 0, 1, 2
+
+
 def training_windows(docs: DataFrame) -> DataFrame:
-    """attributes (flat), tags, has_secret of windows of each document: around
-    its first base spans, around its longest other token with a digit, and
-    around the token in its middle."""
+    """attributes (flat), tags, kind (PLAIN, SECRET, NEAR_MISS) of windows of
+    each document: around its first base spans and around what ``examples``
+    makes of them, around its longest other token with a digit, and around the
+    token in its middle."""
+
+    def windows(texts: list[str]) -> Iterator[tuple[list[int], list[int], int]]:
+        tok = tokens(texts)
+
+        def cut(at: np.ndarray, tags: np.ndarray, middle: int, kind: int) -> tuple[list[int], list[int], int]:
+            part = slice(max(0, middle - REACH), middle + REACH + 1)
+            return tok.attributes[at[part]].reshape(-1).tolist(), tags[part].tolist(), kind
+
+        made: list[tuple[str, int, int, bool]] = []
+        for d, text in enumerate(texts):
+            spans = base_spans(text)
+            at, tags = _tags(tok, d, spans)
+            if not len(at):
+                continue
+            for i in np.flatnonzero(tags == BEGIN)[:SPANS_PER_DOC]:
+                yield cut(at, tags, int(i), SECRET)
+            a = tok.attributes[at]
+            shape, keyed = a[:, 0] // 8, a[:, 2] >= 4
+            size = np.where((tags == OUT) & np.isin(shape, (2, 3, 7, 8, 9)) & ~keyed, tok.end[at] - tok.start[at], 0)
+            for i in dict.fromkeys([*([int(size.argmax())] if size.max() > 0 else []), len(at) // 2]):
+                kind = SECRET if tags[max(0, i - REACH):i + REACH + 1].any() else PLAIN
+                if kind == SECRET or not (keyed & np.isin(shape, (2, 7, 8, 9)))[max(0, i - REACH):i + REACH + 1].any():
+                    yield cut(at, tags, i, kind)
+            own = [s for s in spans if not any(o is not s and o[0] <= s[0] and s[1] <= o[1] and o[2] == "assign" for o in spans)]
+            for span in own[:SPANS_PER_DOC]:
+                made += examples(text, span)
+        for text, start, end, secret in made:
+            tok = tokens([text])
+            at, tags = _tags(tok, 0, base_spans(text) + ([(start, end, "crf")] if secret else []))
+            middle = int(np.searchsorted(tok.end, start, "right"))
+            yield cut(at, tags, middle, SECRET if secret else NEAR_MISS)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in text_slices(whole):
-                texts = [t or "" for t in b.column("text").to_pylist()]
-                tok = tokens(texts)
-                rows: list[tuple[list[int], list[int], bool]] = []
-                for d, text in enumerate(texts):
-                    at, tags = _tags(tok, d, base_spans(text))
-                    if not len(at):
-                        continue
-                    middles = list(np.flatnonzero(tags == BEGIN)[:SPANS_PER_DOC])
-                    shape = tok.attributes[at, 0] // 8
-                    size = np.where((tags == OUT) & np.isin(shape, (2, 3, 7, 8, 9)), tok.end[at] - tok.start[at], 0)
-                    if size.max() > 0:
-                        middles.append(int(size.argmax()))
-                    middles.append(len(at) // 2)
-                    for i in dict.fromkeys(int(x) for x in middles):
-                        part = slice(max(0, i - REACH), i + REACH + 1)
-                        rows.append((tok.attributes[at[part]].reshape(-1).tolist(), tags[part].tolist(), bool(tags[part].any())))
+                rows = list(windows([t or "" for t in b.column("text").to_pylist()]))
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.list_(pa.int32())),
-                                                  pa.array([r[2] for r in rows], pa.bool_())], ["attributes", "tags", "has_secret"])
+                                                  pa.array([r[2] for r in rows], pa.int32())], ["attributes", "tags", "kind"])
 
-    return docs.select("text").mapInArrow(cut, "attributes array<int>, tags array<int>, has_secret boolean")
+    return docs.select("text").mapInArrow(run, "attributes array<int>, tags array<int>, kind int")
 
 
-def learn(docs: DataFrame, rows: int = SAMPLE_DOCS, windows: int = WINDOWS) -> Field | None:
-    """The field from a bounded sample: the ``rows`` documents with the smallest
-    hash of the id, and of their windows up to ``windows``, half of them with
-    secrets.  None if they hold no base span."""
-    ids = written(docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id").distinct()
-                  .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
-    cut = written(training_windows(only_ids(docs.select("doc_id", "text"), ids)))
+def learn(docs: DataFrame, rows: int = SAMPLE_DOCS, secret_rows: int = SECRET_DOCS, windows: int = WINDOWS) -> Field | None:
+    """The field from bounded samples: of the documents that hold a base span,
+    all searched, the ``secret_rows`` with the smallest hash of the id, and of
+    all documents the ``rows`` with the smallest; of their windows up to
+    ``windows``, half of them with secrets, a quarter near misses.  None, with a
+    warning, if no document holds a base span: there is nothing to learn from."""
+    own = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text")
+    first = lambda df, n: df.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+    ids = written(first(own.where(F.col("text").rlike(LIKELY)), secret_rows).union(first(own, rows)).distinct())
+    cut = written(training_windows(only_ids(own, ids)))
     found = []
-    for has in (True, False):
-        kept = cut.where(F.col("has_secret") == has).orderBy(F.xxhash64("attributes", "tags"), "attributes", "tags").limit(windows // 2)
+    for kind, share in ((SECRET, 2), (NEAR_MISS, 4), (PLAIN, 4)):
+        kept = cut.where(F.col("kind") == kind).orderBy(F.xxhash64("attributes", "tags"), "attributes", "tags").limit(windows // share)
         found.append([(np.array(r["attributes"]).reshape(-1, len(SIZES)), np.array(r["tags"])) for r in kept.collect()])
-    return fit(found[0] + found[1]) if found[0] else None
+    if not found[0]:
+        warnings.warn("no document holds a secret that the base patterns know: the field has nothing to learn from and adds no spans", stacklevel=2)
+        return None
+    return fit(sum(found, []))
 
 
 def _uncovered(start: int, end: int, spans: list[tuple[int, int, str]]) -> Iterator[tuple[int, int]]:
