@@ -287,6 +287,24 @@ def _links_in_blocks(open_: DataFrame, docs: DataFrame, threshold: float, k_word
     return blocks.groupBy("bucket", "row", "col").applyInArrow(link, "a long, b long").distinct()
 
 
+def _unambiguous(docs: DataFrame, bands: int, rows: int, k_words: int) -> tuple[DataFrame, DataFrame, bool]:
+    """(``docs``, its written band table, False) if every doc_id stands for one
+    text.  Else each text of an id that stands for several gets a number of its
+    own, below all ids: (``docs`` with that as doc_id and the id in _doc_id,
+    its band table, True)."""
+    signed = written(band_table(docs, bands, rows, k_words))
+    named = signed.where(F.col("doc_id").isNotNull())
+    several = written(named.groupBy("doc_id").agg((F.min("h1") < F.max("h1")).alias("several")).where("several").select("doc_id"))
+    if several.isEmpty():
+        return docs, signed, False
+    low = min(named.agg(F.min("doc_id")).collect()[0][0], 0)
+    own = docs.withColumn("_doc_id", F.col("doc_id").cast("long")).withColumn("_text", F.xxhash64("text"))
+    texts = only_ids(own.select(F.col("_doc_id").alias("doc_id"), "_text"), several).distinct()
+    numbers = written(texts.withColumn("_number", F.lit(low - 1) - F.monotonically_increasing_id()).withColumnsRenamed({"doc_id": "_doc_id"}))
+    marked = own.join(numbers, ["_doc_id", "_text"], "left").withColumn("doc_id", F.coalesce("_number", "_doc_id")).drop("_number", "_text")
+    return marked, written(band_table(marked, bands, rows, k_words)), True
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
                     k_words: int = K_WORDS) -> DataFrame:
     """One row per document: doc_id, text_id, class_id, n_rows.
@@ -299,9 +317,20 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     A text without any word (null, empty, punctuation only) is a class with
     its equals if it is not empty, else by itself.  A row with a null doc_id
     can't be named: its text_id and class_id are null and nothing is compared
-    with it.  No rows: no rows.  Other columns of ``docs`` are ignored.
+    with it.  If a doc_id stands for several texts, each of these is a document
+    of its own: for it, text_id and class_id use a number that no doc_id has.
+    No rows: no rows.  Other columns of ``docs`` are ignored.
     """
-    signed = written(band_table(docs, bands, rows, k_words))
+    marked, signed, renamed = _unambiguous(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), bands, rows, k_words)
+    out = _classes(marked, signed, threshold, k_words)
+    if not renamed:
+        return out
+    ids = marked.where("doc_id <> _doc_id").select("doc_id", "_doc_id").distinct()
+    return out.join(ids, "doc_id", "left").select(F.coalesce("_doc_id", "doc_id").alias("doc_id"), "text_id", "class_id", "n_rows")
+
+
+def _classes(docs: DataFrame, signed: DataFrame, threshold: float, k_words: int) -> DataFrame:
+    """``near_duplicates`` of documents whose ids stand for one text each, from their band table."""
     empty = xxhash.xxh3_128_intdigest("")
     lone = (F.col("h1") == _signed(empty & (2**64 - 1))) & (F.col("h2") == _signed(empty >> 64))
     named = signed.where(F.col("doc_id").isNotNull())
@@ -327,16 +356,18 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, k_words: int = K_WORDS) -> DataFrame:
     """``docs`` with one row of each near-duplicate class, all columns as
     they are.  Rows with a null doc_id stay; of rows that repeat a doc_id and
-    its text one stays."""
-    classes = written(near_duplicates(docs, **options))
+    its text one stays; different texts under one doc_id are different documents."""
+    marked, signed, renamed = _unambiguous(docs, bands, rows, k_words)
+    classes = written(_classes(marked, signed, threshold, k_words))
     kept = classes.where("doc_id = class_id")
     n_kept = kept.select("doc_id").distinct()
-    stay = docs.join(n_kept, "doc_id", "left_semi").union(docs.where(F.col("doc_id").isNull()))
-    if kept.where("n_rows > 1").isEmpty() and kept.count() == n_kept.count():
-        return stay
-    # repeated rows: of the first text under each kept doc_id, one row
-    named = stay.where(F.col("doc_id").isNotNull())
-    return named.dropDuplicates(["doc_id"]).union(docs.where(F.col("doc_id").isNull()))
+    nameless = docs.where(F.col("doc_id").isNull())
+    stay = marked.join(n_kept, "doc_id", "left_semi")
+    if not kept.where("n_rows > 1").isEmpty():
+        stay = stay.dropDuplicates(["doc_id"])       # repeated rows
+    if renamed:
+        stay = stay.withColumn("doc_id", F.col("_doc_id").cast(docs.schema["doc_id"].dataType))
+    return stay.select(*docs.columns).union(nameless)
