@@ -16,7 +16,7 @@ def test_fold_text():
 
 
 def test_lexicon_matches_words_stems_and_exceptions():
-    lexicon = toxicity.Lexicon({"trash": 2.0, "vequ*": 1.0}, intercept=-3, found=2, density=0)
+    lexicon = toxicity.Lexicon({"trash": 2.0, "vequ*": 1.0}, ("trash can",), intercept=-3, found=2, density=0)
     assert lexicon.features("")[2] == lexicon.features(None)[2] == 0
     assert [lexicon.features(t)[2] for t in ("trash", "trashy", "a TR4SH b", "the trash can is", "vequation vequ", "xvequ")] == [1, 0, 1, 0, 2, 0]
 
