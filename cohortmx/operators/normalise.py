@@ -66,8 +66,10 @@ def column_params(df: DataFrame, key, x: str = "x", d: int | None = None, ddof:
 
 
 def apply_zscore(rows: DataFrame, params: DataFrame, key, x: str = "x", out: str = "z",
-                 broadcast: bool | str = "auto", limit: int = BROADCAST_LIMIT, d: int | None = None) -> DataFrame:
-    """Join per-subject parameters to the rows and z-score ``x`` (JVM-side).
+                 broadcast: bool | str = "auto", limit: int = BROADCAST_LIMIT, d: int | None = None,
+                 carry: tuple[str, ...] = ()) -> DataFrame:
+    """Join per-subject parameters to the rows and z-score ``x`` (JVM-side);
+    ``carry`` names other columns of ``params`` that the rows get.
 
     ``broadcast="auto"`` checkpoints the (small) parameter table, counts it
     and broadcasts it only when subjects x d x 24 bytes fit under ``limit``;
@@ -87,7 +89,7 @@ def apply_zscore(rows: DataFrame, params: DataFrame, key, x: str = "x", out: str
                   .otherwise(F.try_divide(F.col(x)[k] - F.col("z_mean")[k], F.col("z_sd")[k]))
                   for k in range(d)])
     other = [c for c in rows.columns if c != x]
-    return joined.select(*other, z.alias(out))
+    return joined.select(*other, *carry, z.alias(out))
 
 
 def zscore(df: DataFrame, key, x: str = "x", d: int | None = None, ddof: int = 0,

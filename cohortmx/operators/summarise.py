@@ -51,11 +51,7 @@ def rank_subjects(subjects: DataFrame, key: str = "subject_id", partitions: int
     """
     spark = subjects.sparkSession
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (subjects.repartitionByRange(p, key).sortWithinPartitions(key)
-               .withColumn("_pid", F.spark_partition_id())
-               .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33)))
-    # numbered once: a second range exchange could sample other bounds
-    ordered = materialize(ordered)
+    ordered = _dealt(subjects, key, p)
     counts = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.orderBy("_pid")
     offsets = counts.select(
@@ -67,6 +63,29 @@ def rank_subjects(subjects: DataFrame, key: str = "subject_id", partitions: int
             .select(key, (F.col("_off") + F.col("_pos") + 1).alias("rank"), "n_subjects"))
 
 
+def _dealt(subjects: DataFrame, key: str, partitions: int) -> DataFrame:
+    """``subjects`` in ranges of ``key``, with the range (_pid) and the place in it (_pos)."""
+    ordered = (subjects.repartitionByRange(partitions, key).sortWithinPartitions(key)
+               .withColumn("_pid", F.spark_partition_id())
+               .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33)))
+    # numbered once: a second range exchange could sample other bounds
+    return materialize(ordered)
+
+
+def row_offsets(sizes: DataFrame, key: str = "subject_id", n: str = "n", partitions: int | None = None) -> DataFrame:
+    """O1: ``sizes`` (a row per subject, ``n`` rows each) with ``offset``: how many
+    rows the subjects before it in key order have.  Only one sum per range of
+    subjects goes through a single task."""
+    p = partitions or int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = _dealt(sizes, key, p)
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    before = (ordered.groupBy("_pid").agg(F.sum(n).alias("_sum"))
+              .select("_pid", F.coalesce(F.sum("_sum").over(w), F.lit(0)).alias("_off")))
+    own = Window.partitionBy("_pid").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
+    return (ordered.withColumn("_own", F.coalesce(F.sum(n).over(own), F.lit(0))).join(F.broadcast(before), "_pid")
+            .withColumn("offset", F.col("_off") + F.col("_own")).drop("_pid", "_pos", "_off", "_own"))
+
+
 def split_by_rank(subjects: DataFrame, key: str = "subject_id", n_train: int | None = None) -> DataFrame:
     """the first ``n_train`` subjects by id are 'train', the rest 'test'.
 

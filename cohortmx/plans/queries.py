@@ -304,6 +304,14 @@ def q_fisher_z_d15(spark, sf):
                     F.when(low, F.lit(0.0)).otherwise(fixed(F.col("f"), R6)).alias("f"))
 
 
+def q_u_csv_roundtrip(spark, sf):
+    """K2: U written in subject order with its key, and read back."""
+    res = pipeline.compute(_li(spark, sf), d=D)
+    paths = pipeline.write(res, _fresh(spark, "results"), u_key=True)
+    back = sinks.read_rows(spark, paths["U"], D, {"subject_id": "long"})
+    return back.select("subject_id", *[fixed(F.col("u")[k], R6).alias(f"u{k}") for k in range(D)])
+
+
 def q_subject_corr_pairwise(spark, sf):
     """A1 on rows with gaps: each pair over the rows that have both values."""
     m = pairwise_moments(lineitem_with_gaps(spark, sf), "subject_id", d=D)
@@ -388,6 +396,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "subject_corr_d15": q_subject_corr_d15,
     "fisher_z_d15": q_fisher_z_d15,
     "pipeline_csv_roundtrip": q_pipeline_csv_roundtrip,
+    "u_csv_roundtrip": q_u_csv_roundtrip,
     "r_gram": q_r_gram,
     "tsqr_factors": q_tsqr_factors,
     "range_projector_d15": q_range_projector_d15,
@@ -550,6 +559,10 @@ def _f6(e: str) -> str:
 
 _DIST = "sqrt(sum((tr.value - te.value) * (tr.value - te.value)))"
 
+_U = (_rec(_M, _RANK, _Z, _ZP, _GRAM, *_eigen(D, D), "u AS (SELECT list(e.s ORDER BY c) AS s, list(e.v ORDER BY c) AS v FROM e)"),
+      ", ".join(_f6("(" + " + ".join(f"z{j} * u.v[{k + 1}][{j + 1}]" for j in range(D)) + f") / u.s[{k + 1}]") + f" AS u{k}" for k in range(D))
+      + " FROM z JOIN sp USING (subject_id), u WHERE split = 'train'")
+
 ORACLE: dict[str, str] = {
     "subject_corr": _with(_M, _PAIRS, _CORR) + f"SELECT subject_id, i, j, {_f9('r')} AS r FROM c",
     "fisher_z": _with(_M, _PAIRS, _CORR, _FISHER) + f"SELECT subject_id, i, j, {_f9('r')} AS r, {_f9('f')} AS f FROM fz",
@@ -622,10 +635,8 @@ p AS (
     + f"SELECT CAST(c AS INTEGER) AS component, CAST(j AS INTEGER) AS j, {_f6('s')} AS s, {_f6('v[j + 1]')} AS v FROM e, range({D}) t(j)",
     "g_matrix": _rec(_M, _RANK, _Z, _ZP, _GRAM, *_eigen(D, D))
     + f"SELECT CAST(c AS INTEGER) AS i, CAST(j AS INTEGER) AS j, {_f6('s * v[j + 1]')} AS value FROM e, range({D}) t(j)",
-    "u_rows": _rec(_M, _RANK, _Z, _ZP, _GRAM, *_eigen(D, D), "u AS (SELECT list(e.s ORDER BY c) AS s, list(e.v ORDER BY c) AS v FROM e)")
-    + "SELECT subject_id, l_orderkey, l_linenumber, "
-    + ", ".join(_f6("(" + " + ".join(f"z{j} * u.v[{k + 1}][{j + 1}]" for j in range(D)) + f") / u.s[{k + 1}]") + f" AS u{k}" for k in range(D))
-    + " FROM z JOIN sp USING (subject_id), u WHERE split = 'train'",
+    "u_rows": f"{_U[0]}SELECT subject_id, l_orderkey, l_linenumber, {_U[1]}",
+    "u_csv_roundtrip": f"{_U[0]}SELECT subject_id, {_U[1]}",
     "ug_truncated": _rec(_M, _RANK, _Z, _ZP, _GRAM, *_eigen(D, K_LOW), "u AS (SELECT list(e.v ORDER BY c) AS v FROM e)")
     + "SELECT subject_id, l_orderkey, l_linenumber, "
     + ", ".join(_f6(" + ".join("(" + " + ".join(f"z{j} * u.v[{c + 1}][{j + 1}]" for j in range(D)) + f") * u.v[{c + 1}][{k + 1}]" for c in range(K_LOW))) + f" AS ug{k}"

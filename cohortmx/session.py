@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,6 +71,39 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def bucketed(df: DataFrame, key: str, n: int | None = None, sort: tuple[str, ...] = (), dealt: bool = False) -> DataFrame:
+    """``df`` written into the shared scratch folder in ``n`` buckets of ``key``
+    (by default as many as shuffle partitions), each sorted by ``sort``:
+    later joins and groups by ``key`` read it without a shuffle.
+
+    All rows of a key are in one bucket, which one task reads, so ``key`` must
+    have no value with a large share of the rows.  ``dealt``: the rows lie by
+    ``key`` already.  The table's name goes as soon as it is resolved: what is
+    returned knows its files and buckets.
+    """
+    spark = df.sparkSession
+    n = n or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"buckets_{uuid.uuid4().hex}"
+    writer = (df if dealt else df.repartition(n, key)).write.bucketBy(n, key)
+    if sort:
+        writer = writer.sortBy(*sort)
+    writer.option("path", scratch_path(spark, name)).saveAsTable(name)
+    out = spark.table(name)
+    out.schema          # resolved before the name goes
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
+def kept(df: DataFrame, key: str | None = None, sort: tuple[str, ...] = ()) -> DataFrame:
+    """K6: rows that later steps read again, written once: as Parquet as they
+    lie, or with ``key`` in buckets (see :func:`bucketed`)."""
+    if key is not None:
+        return bucketed(df, key, sort=sort)
+    path = scratch_path(df.sparkSession, f"kept-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder for written intermediate tables, under the checkpoint dir."""
     base = checkpoint_dir(spark)

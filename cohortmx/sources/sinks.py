@@ -35,18 +35,27 @@ def write_matrix(m: DataFrame, path: str, d: int, fmt: str | None = "%.18e") ->
 
 
 def write_rows(df: DataFrame, path: str, order_by: Sequence[str], array_col: str, width: int,
-               fmt: str | None = "%.18e", presorted: bool = False) -> None:
+               fmt: str | None = "%.18e", presorted: bool = False, keys: Sequence[str] = ()) -> None:
     """K2: tall results in key order, one CSV line per row, no header.
 
     The sort is a range-partitioned distributed sort; part files are
     numbered in key order.  ``presorted``: ``df`` is already globally sorted
-    by a narrow plan above an ``orderBy`` (order-preserving maps only).
+    by a narrow plan above a sort (order-preserving maps only).  ``keys``:
+    columns that begin each line.
     """
-    cols = [_fmt(F.col(array_col)[k], fmt).alias(f"c{k}") for k in range(width)]
+    cols = [*[F.col(k).cast("string") for k in keys], *[_fmt(F.col(array_col)[k], fmt).alias(f"c{k}") for k in range(width)]]
     src = df if presorted else df.orderBy(*order_by)
     src.select(*cols).write.mode("overwrite").option("header", "false").csv(path)
 
 
+def read_rows(spark, path: str, width: int, keys: dict[str, str]) -> DataFrame:
+    """Rows of :func:`write_rows` with ``keys`` (name: type), read back:
+    the keys and ``u``, an array."""
+    fields = [f"{k} {t}" for k, t in keys.items()] + [f"c{j} double" for j in range(width)]
+    raw = spark.read.option("header", "false").option("mode", "FAILFAST").schema(", ".join(fields)).csv(path)
+    return raw.select(*keys, F.array(*[F.col(f"c{j}") for j in range(width)]).alias("u"))
+
+
 def write_scalar(value: DataFrame, path: str, fmt: str | None = "%.18e") -> None:
     """K4: a one-row ``value`` DataFrame as a one-line file."""
     value.select(_fmt(F.col("value"), fmt).alias("value")).coalesce(1).write.mode("overwrite") \

@@ -2,8 +2,9 @@
 
 Each file holds one subject: one observation per line, the regions as
 whitespace-separated numbers, no header.  The scan itself distributes the
-files (``wholetext`` keeps a file's lines together so line order gives
-``row_idx``); every parsing step is a built-in column expression.
+files: small ones whole (``wholetext``, line order gives ``row_idx``), large
+ones in splits whose lines are numbered by counting them first.  Every
+parsing step is a built-in column expression.
 
 Rows that do not parse to exactly ``width`` numbers are not silently
 dropped: :func:`read_matrix_dir` returns them, with a reason, next to the
@@ -14,10 +15,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
+
+WHOLE_BYTES = 64 << 20     # a larger file is read in splits
+SPLITS = 200_000           # of the table of splits: about 40 MB, broadcast; a larger one is joined by a shuffle
+
 
 @dataclass
 class MatrixDir:
@@ -42,16 +48,63 @@ def split_lines(raw: DataFrame) -> DataFrame:
                       F.posexplode(F.split(content, r"\r?\n")).alias("row_idx", "line"))
 
 
-def _lines(spark: SparkSession, path: str, glob: str, recursive: bool) -> DataFrame:
+def _reader(spark: SparkSession, glob: str, recursive: bool):
     reader = spark.read.option("pathGlobFilter", glob)
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-    return split_lines(whole_files(reader.text(path, wholetext=True)))
+    return reader.option("recursiveFileLookup", "true") if recursive else reader
+
+
+def split_file_lines(spark: SparkSession, path: str, glob: str = "sub*.txt", recursive: bool = False) -> DataFrame:
+    """P1/P2 for files of any size: ``file_name, file_path, row_idx, line`` as
+    :func:`split_lines` gives them, but a file is read by as many tasks as it
+    has splits.
+
+    A first pass counts the lines of each split (and finds the last one that
+    isn't blank: blank lines at a file's end don't count); running sums of the
+    counts, one row a split, number the lines of the second pass.  A file that
+    changes between the passes raises.  A file of no bytes has no line.
+    """
+    raw = _reader(spark, glob, recursive).option("lineSep", "\n").text(path)
+    # ids grow by one along a task's lines, so a split's first one makes positions of them
+    lines = raw.select(F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_path").alias("file_path"),
+                       F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"),
+                       F.regexp_replace("value", r"\r$", "").alias("line"))
+    full = F.col("line").rlike(r"\S")
+    splits = lines.groupBy("file_path", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"), F.max(F.when(full, F.col("_id"))).alias("_last"))
+    of_file = Window.partitionBy("file_path")
+    before = of_file.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    splits = materialize(splits.withColumn("_end", F.coalesce(F.max(F.col("_offset") + F.col("_last") - F.col("_first")).over(of_file), F.lit(0)))
+                         .select("file_path", "_block", "_n", "_first", "_offset", "_end"))
+    small = splits.count() <= SPLITS
+    placed = lines.join(F.broadcast(splits) if small else splits, ["file_path", "_block"])
+    at = F.col("_id") - F.col("_first")
+    same = F.when((at >= 0) & (at < F.col("_n")), F.col("_offset") + at).otherwise(F.raise_error(F.concat(F.col("file_path"), F.lit(" has changed"))).cast("long"))
+    return placed.withColumn("row_idx", same.cast("int")).where(F.col("row_idx") <= F.col("_end")).select("file_name", "file_path", "row_idx", "line")
+
+
+def _lines(spark: SparkSession, path: str, glob: str, recursive: bool, by_line: bool | str = False) -> DataFrame:
+    if by_line == "auto":
+        largest = _reader(spark, glob, recursive).format("binaryFile").load(path).agg(F.max("length")).first()[0]
+        by_line = (largest or 0) > WHOLE_BYTES
+    if by_line:
+        return split_file_lines(spark, path, glob, recursive)
+    return split_lines(whole_files(_reader(spark, glob, recursive).text(path, wholetext=True)))
+
+
+def _refuse_shared_ids(spark: SparkSession, path: str, glob: str, recursive: bool, sid) -> None:
+    """Raises if two files have one subject id: their rows would mix."""
+    files = (_reader(spark, glob, recursive).format("binaryFile").load(path)
+             .select(F.col("path").alias("file_path"), F.element_at(F.split("path", "/"), -1).alias("file_name")))
+    shared = (files.select(sid.alias("id"), "file_path").where("id IS NOT NULL").groupBy("id")
+              .agg(F.min("file_path").alias("a"), F.max("file_path").alias("b")).where("a < b").orderBy("id").limit(3).collect())
+    if shared:
+        raise ValueError("files with one subject id: " + "; ".join(f"{r['id']}: {r['a']}, {r['b']}" for r in shared))
 
 
 def read_matrix_dir(spark: SparkSession, path: str, glob: str = "sub*.txt", id_regex: str = r"(\d{6,})",
                     width: int | None = None, id_from: str = "file_name", recursive: bool = False,
-                    id_slice: tuple[int, int] | None = None, strict: bool = False, gaps: tuple[str, ...] = ()) -> MatrixDir:
+                    id_slice: tuple[int, int] | None = None, strict: bool = False, gaps: tuple[str, ...] = (),
+                    by_line: bool | str = "auto") -> MatrixDir:
     """Read every matching file below ``path``.
 
     ``id_regex``'s first group, matched against the file name (P5), is the
@@ -63,28 +116,36 @@ def read_matrix_dir(spark: SparkSession, path: str, glob: str = "sub*.txt", id_r
     instead of leaving it to ``rejects``.  ``width`` (regions per row)
     defaults to the token count of the first line read.  A token of ``gaps``
     (``("NA",)``) is a missing value: NULL in ``x``, for pairwise complete
-    statistics; without it such a line doesn't parse.
+    statistics; without it such a line doesn't parse.  ``by_line`` reads files
+    in splits (:func:`split_file_lines`), not whole: by default if one is larger
+    than WHOLE_BYTES.  Two files whose names give one id raise.
     """
-    return parse_lines(_lines(spark, path, glob, recursive), path, glob, width, id_regex, id_from, id_slice, strict, gaps)
+    if id_from == "file_name":
+        _refuse_shared_ids(spark, path, glob, recursive, _subject_id(id_regex, id_from, id_slice))
+    return parse_lines(_lines(spark, path, glob, recursive, by_line), path, glob, width, id_regex, id_from, id_slice, strict, gaps)
 
 
-def parse_lines(lines: DataFrame, path: str = "", glob: str = "", width: int | None = None,
-                id_regex: str = r"(\d{6,})", id_from: str = "file_name",
-                id_slice: tuple[int, int] | None = None, strict: bool = False, gaps: tuple[str, ...] = ()) -> MatrixDir:
-    """P3-P6 on :func:`split_lines` output; ``width`` is required for a
-    streaming input (no first row to look at)."""
-    source = F.col("file_name") if id_from == "file_name" else F.col("file_path")
+def _subject_id(id_regex: str, id_from: str, id_slice: tuple[int, int] | None):
+    """The subject id by a file's name or path, NULL where it has none."""
     if id_slice is not None:
         start, stop = id_slice
         goes_on = F.substring(F.col("file_name"), stop + 1, 1).rlike(r"\d")
         sid = F.when(goes_on, F.lit("")).otherwise(F.substring(F.col("file_name"), start + 1, stop - start))
     else:
-        sid = F.regexp_extract(source, id_regex, 1)
+        sid = F.regexp_extract(F.col("file_name") if id_from == "file_name" else F.col("file_path"), id_regex, 1)
+    return F.when(sid != "", sid).try_cast("long")
+
+
+def parse_lines(lines: DataFrame, path: str = "", glob: str = "", width: int | None = None,
+                id_regex: str = r"(\d{6,})", id_from: str = "file_name",
+                id_slice: tuple[int, int] | None = None, strict: bool = False, gaps: tuple[str, ...] = ()) -> MatrixDir:
+    """P3-P6 on :func:`split_lines` output; ``width`` is required for a
+    streaming input (no first row to look at)."""
     # Trim, split on any run of whitespace; P4: cast the whole array
     # (generated code), a token that is not a number becomes NULL
     tokens = F.split(F.regexp_replace("line", r"^\s+|\s+$", ""), r"\s+")
     parsed = lines.select(
-        F.when(sid != "", sid).try_cast("long").alias("subject_id"),
+        _subject_id(id_regex, id_from, id_slice).alias("subject_id"),
         "file_name", F.col("row_idx").cast("int").alias("row_idx"), "line",
         tokens.try_cast(T.ArrayType(T.DoubleType())).alias("x"), tokens.alias("tokens"))
     if width is None:
