@@ -20,7 +20,6 @@ Distances are compared as exact integers, so ties go to the smaller number.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortmx.llm.common import small_batches, written
-from cohortmx.session import scratch_path
+from cohortmx.session import bucketed
 
 DIM, SCALE = 64, 1024
 CLUSTERS, ROUNDS, SEED = 8, 10, 3
@@ -97,21 +96,6 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n += 1
 
 
-def bucketed(df: DataFrame, key: str, dealt: bool = False) -> DataFrame:
-    """``df`` written into the shared scratch folder in buckets of ``key``, as
-    many as shuffle partitions.  The table's name goes as soon as it is read:
-    what is returned knows its files and buckets."""
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"buckets_{uuid.uuid4().hex}"
-    df = df if dealt else df.repartition(n, key)
-    df.write.bucketBy(n, key).option("path", f"{scratch_path(spark, 'llm')}-{name}").saveAsTable(name)
-    out = spark.table(name)
-    out.schema          # resolved before the name goes
-    spark.sql(f"DROP TABLE {name}")
-    return out
-
-
 def _heaps(batch: pa.RecordBatch, i: int, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """(keys, slots) of each cluster from row ``i``."""
     cuts = np.cumsum(batch.column("sizes")[i].as_py())[:-1]
