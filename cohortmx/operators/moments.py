@@ -32,6 +32,12 @@ Three physical forms produce the same table:
             arrays, in steps of bounded size (:mod:`.runs`).  The arrays
             become one row per pair only after the merge.
 
+``tiles``   For rows so wide that d^2 / 2 doubles a subject are too many for
+            one state: columns are cut into tiles, every row goes to each
+            pair of tiles with its values in these two, and each (key, pair of
+            tiles) is a chunk form of its own.  A task holds (2 tiles)^2 / 2
+            doubles a state, whatever d; rows are copied once for each tile.
+
 :func:`pairwise_moments` gives the same table for rows with gaps.
 """
 
@@ -50,6 +56,8 @@ from .runs import Complete, Pairwise, merge_runs, run_states
 #  d=15 wide 20 s, pairs 28 s, chunks 8.6 s.)
 WIDE_MAX_D = 8
 
+# Beyond so many regions a state of d^2 / 2 doubles (8 MB) is parted into tiles.
+CHUNK_MAX_D, TILE = 1448, 512
 PAIRWISE_WIDE_MAX_D = 4   # eight aggregates a pair there
 MOMENT_COLS = ["i", "j", "n", "mean_i", "mean_j", "c_ij", "c_ii", "c_jj", "const_i", "const_j"]
 
@@ -92,13 +100,15 @@ def moments(df: DataFrame, key, x: str = "x", d: int | None = None, method: str
         n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) if cluster is True else int(cluster)
         df = df.repartitionByRange(n, *[F.col(k) for k in keys], F.xxhash64(F.col(x)))
     if method == "auto":
-        method = "wide" if d <= WIDE_MAX_D else "chunks"
+        method = "wide" if d <= WIDE_MAX_D else "chunks" if d <= CHUNK_MAX_D else "tiles"
     if method == "wide":
         return _wide_moments(df, keys, x, d)
     if method == "pairs":
         return _pair_moments(df, keys, x, d)
     if method == "chunks":
         return _chunk_moments(df, keys, x, d)
+    if method == "tiles":
+        return _tile_moments(df, keys, x, d)
     raise ValueError(f"unknown method {method!r}")
 
 
@@ -176,6 +186,28 @@ def _chunk_moments(df: DataFrame, keys: list[str], x: str, d: int) -> DataFrame:
                       m2(i, j).alias("c_ij"), m2(i, i).alias("c_ii"), m2(j, j).alias("c_jj"), const(i).alias("const_i"), const(j).alias("const_j"))
 
 
+def _tile_moments(df: DataFrame, keys: list[str], x: str, d: int, tile: int | None = None) -> DataFrame:
+    tile = tile or TILE
+    n = -(-d // tile)
+    if n < 3:
+        return _chunk_moments(df, keys, x, d)
+    # tiles are padded with zeros to one width; pair (a, b), a < b, also yields the cells
+    # within a of b = a + 1, and the last one those within b
+    padded = F.concat(F.col(x).cast("array<double>"), F.array_repeat(F.lit(0.0), n * tile - d)) if n * tile > d else F.col(x).cast("array<double>")
+    pairs = F.array(*[F.struct(F.lit(a).alias("_a"), F.lit(b).alias("_b")) for a in range(n) for b in range(a + 1, n)])
+    rows = (df.select(*keys, padded.alias("_all")).select(*keys, "_all", F.inline(pairs))
+            .select(*keys, "_a", "_b", F.concat(F.slice("_all", F.col("_a") * tile + 1, F.lit(tile)),
+                                                F.slice("_all", F.col("_b") * tile + 1, F.lit(tile))).alias("_x")))
+    cells = _chunk_moments(rows, [*keys, "_a", "_b"], "_x", 2 * tile)
+    i, j, a, b = (F.col(c) for c in ("i", "j", "_a", "_b"))
+    cross = (i < tile) & (j >= tile)
+    first = (i < tile) & (j < tile) & (b == a + 1)
+    last = (i >= tile) & (j >= tile) & (a == n - 2) & (b == n - 1)
+    at = lambda c: F.when(c < tile, a * tile + c).otherwise((b - 1) * tile + c).cast("int")
+    out = cells.where(cross | first | last).withColumns({"i": at(i), "j": at(j)}).where(F.col("j") < d)
+    return out.select(*keys, *MOMENT_COLS)
+
+
 # ---------------------------------------------------------------- pairwise complete
 
 def pairwise_moments(df: DataFrame, key, x: str = "x", d: int | None = None, method: str = "auto") -> DataFrame:

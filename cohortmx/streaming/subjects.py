@@ -11,6 +11,7 @@ train/test means are ordinary batch aggregates over that table at any time.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.correlate import corr_from_moments, fisher_z
@@ -52,8 +53,12 @@ def fisher_stream(spark: SparkSession, input_dir: str, table_path: str, checkpoi
 
 
 def fisher_table(spark: SparkSession, table_path: str) -> DataFrame:
-    """The per-subject upper-triangle F rows written so far."""
-    return spark.read.parquet(table_path).drop("epoch")
+    """The per-subject upper-triangle F rows written so far.  A subject that
+    came in several batches (a file replaced, or sent again) counts once, by
+    the newest one."""
+    rows = spark.read.parquet(table_path)
+    newest = rows.groupBy("subject_id").agg(F.max("epoch").alias("epoch"))
+    return rows.join(newest, ["subject_id", "epoch"], "left_semi").drop("epoch")
 
 
 def stream_rejects(spark: SparkSession, table_path: str) -> DataFrame:

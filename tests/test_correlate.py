@@ -97,3 +97,30 @@ def test_clustered_chunks_same_result(spark, main_dir):
     got = corr_from_moments(m, "subject_id").collect()
     for sid, mat in mats.items():
         assert np.allclose(to_dense(got, sid), np.corrcoef(mat, rowvar=False), atol=1e-12)
+
+
+@pytest.mark.parametrize("d,tile", [(13, 4), (12, 4), (9, 5), (7, 3)])
+def test_tiles_are_the_chunks(spark, monkeypatch, d, tile):
+    from cohortmx.operators import moments as mo
+
+    monkeypatch.setattr(mo, "TILE", tile)
+    rng = np.random.default_rng(d)
+    rows = [(k, [float(v) for v in np.where(np.arange(d) == 2, 7.0, rng.normal(size=d) + k)]) for k in range(3) for _ in range(20 + 30 * (k == 1))]
+    df = spark.createDataFrame(rows, "subject_id long, x array<double>").repartition(4)
+    a, b = ({(r["subject_id"], r["i"], r["j"]): tuple(r)[3:] for r in moments(df, "subject_id", d=d, method=m).collect()} for m in ("pairs", "tiles"))
+    assert a.keys() == b.keys() and len(b) == 3 * d * (d + 1) // 2
+    for k in a:
+        assert a[k][0] == b[k][0] and a[k][6:] == b[k][6:] and a[k][1:6] == pytest.approx(b[k][1:6], abs=1e-10)
+
+
+def test_a_tile_holds_its_width_not_all(spark, monkeypatch):
+    """No state of a task is larger than two tiles make it."""
+    from cohortmx.operators import moments as mo
+    from cohortmx.operators import runs as rn
+
+    seen = []
+    monkeypatch.setattr(mo, "TILE", 8)
+    monkeypatch.setattr(mo, "run_states", lambda df, keys, x, state: seen.append(state.d) or rn.run_states(df, keys, x, state))
+    df = spark.createDataFrame([(1, [float((i * j) % 7) for j in range(300)]) for i in range(20)], "subject_id long, x array<double>")
+    got = moments(df, "subject_id", d=300, method="tiles")
+    assert seen == [16] and got.count() == 300 * 301 // 2

@@ -56,3 +56,18 @@ def test_stream_refuses_or_keeps_rejects(spark, main_dir):
     assert got == [(f"sub{MAIN_IDS[0]}.txt", n, "not a number"), (f"sub{MAIN_IDS[0]}.txt", n + 1, "wrong number of values"),
                    ("subject.txt", 0, "no subject id in name")]
     assert {(r.subject_id, r.n) for r in fisher_table(spark, table).collect()} == {(MAIN_IDS[0], n)}
+
+
+def test_a_subject_sent_again_counts_once_by_its_newest_file(spark):
+    base = tempfile.mkdtemp(prefix="cohortmx-stream-")
+    inbox, table, ckpt = (os.path.join(base, p) for p in ("in", "table", "ckpt"))
+    os.makedirs(inbox)
+    rng = np.random.default_rng(1)
+    mats = {name: rng.normal(size=(20, WIDTH)) for name in ("sub100001.txt", "sub100002.txt", "sub0100001.txt")}
+    for batch in (("sub100001.txt", "sub100002.txt"), ("sub0100001.txt",)):
+        for name in batch:
+            np.savetxt(os.path.join(inbox, name), mats[name])
+        fisher_stream(spark, inbox, table, ckpt, width=WIDTH).awaitTermination()
+    want = np.stack([np_fisher(mats[n])[1] for n in ("sub0100001.txt", "sub100002.txt")])
+    st = running_stats(spark, table).collect()
+    assert np.allclose(to_dense(st, col="mean"), want.mean(0), atol=1e-12) and {r["n"] for r in st} == {2}
