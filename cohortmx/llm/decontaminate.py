@@ -13,11 +13,15 @@ RADIUS = 23 bits: of 8 blocks one differs in at most 2 bits then, and the
 index lists the items under every block value up to 2 bits away.  A pair at
 similarity 0.8 differs in about 10 bits.  The exact similarity decides.
 
-The benchmark is taken in blocks of BLOCK_ITEMS items, each an index of
-bounded size that is broadcast; all documents meet every block.  Rarity is
-counted once over all items, so results don't depend on the blocks: shingles
-of a single item weigh as much as unknown ones, and those of two items or
-more (12 bytes each) are broadcast beside the blocks.
+The benchmark is taken in blocks of at most BLOCK_ITEMS items and about
+BLOCK_BYTES of text, each an index of bounded size that is broadcast.  With
+several blocks the documents are not read once for each: a Bloom filter of all
+items' shingles (at most BLOOM_BITS bits) picks the documents that may share a
+shingle with any item, these are written, and only they meet every block; what
+the filter lets through in vain is dropped there.  Rarity is counted once over
+all items, so results don't depend on the blocks: shingles of a single item
+weigh as much as unknown ones, and those of two items or more (12 bytes each)
+are broadcast beside the blocks.
 """
 
 from __future__ import annotations
@@ -37,7 +41,8 @@ from cohortmx.llm.common import shingles, text_slices, word_hashes, written
 K_WORDS = 5
 THRESHOLD = 0.8
 BITS, BLOCKS, RADIUS = 64, 8, 23
-BLOCK_ITEMS = 20_000
+BLOCK_ITEMS, BLOCK_BYTES = 20_000, 64 << 20
+BLOOM_BITS = 1 << 29       # 64 MB; 16 bits a shingle up to 32 million shingles
 
 
 def _bits(h: np.ndarray) -> np.ndarray:
@@ -194,13 +199,21 @@ class ItemIndex:
         return [(d, int(self.ids[i]), -at, words, -apart, sim) for (d, i), (sim, at, apart, words) in sorted(best.items())]
 
 
-def _indexes(benchmark: DataFrame, k_words: int, block_items: int) -> Iterator[tuple[Broadcast, Broadcast]]:
-    """An index for each block of the items that have an id and a word, and the rarity by all of them."""
-    sc = benchmark.sparkSession.sparkContext
-    items = written(benchmark.where(F.col("item_id").isNotNull() & F.col("text").rlike(r"[\p{L}\p{N}_]"))
-                    .select(F.col("item_id").cast("long").alias("item_id"), "text"))
-    n = items.count()
-    blocks = -(-n // block_items)
+def _items(benchmark: DataFrame) -> DataFrame:
+    """The items that have an id and a word, written."""
+    return written(benchmark.where(F.col("item_id").isNotNull() & F.col("text").rlike(r"[\p{L}\p{N}_]"))
+                   .select(F.col("item_id").cast("long").alias("item_id"), "text"))
+
+
+def _n_blocks(items: DataFrame, block_items: int) -> tuple[int, int]:
+    """(items, blocks that hold them)."""
+    n, size = items.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).collect()[0]
+    return n, max(-(-n // block_items), -(-(size or 0) // BLOCK_BYTES))
+
+
+def _indexes(items: DataFrame, n: int, blocks: int, k_words: int) -> Iterator[tuple[Broadcast, Broadcast]]:
+    """An index for each block of the items, and the rarity by all of them."""
+    sc = items.sparkSession.sparkContext
     rarity = _rarity(items, n, k_words) if n else None
     shared = sc.broadcast(rarity)
     for i in range(blocks):
@@ -210,6 +223,55 @@ def _indexes(benchmark: DataFrame, k_words: int, block_items: int) -> Iterator[t
             yield sc.broadcast(ItemIndex([r["item_id"] for r in rows], [r["text"] for r in rows], rarity, k_words)), shared
 
 
+def _probes(h: np.ndarray, bits: int) -> list[np.ndarray]:
+    """Two places of a Bloom filter for each hash."""
+    return [((h >> np.uint64(s)) % np.uint64(bits)).astype(np.int64) for s in (0, 17)]
+
+
+def shingle_filter(items: DataFrame, k_words: int = K_WORDS, most: int = BLOOM_BITS) -> np.ndarray:
+    """Bloom filter (bytes) of the items' shingles: 16 bits for each, at most ``most``.
+
+    Set places are collected as words of 64 bits, merged by Spark: never more
+    of them than the filter has."""
+
+    def shingled(batches: Iterator[pa.RecordBatch], bits: int | None) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in text_slices(whole):
+                h = np.unique(shingles(*word_hashes(b.column("text")), k_words)[0])
+                if bits is None:
+                    yield pa.RecordBatch.from_arrays([pa.array([len(h)], pa.int64())], ["n"])
+                    continue
+                place = np.unique(np.concatenate(_probes(h, bits)))
+                word, first = np.unique(place >> 6, return_index=True)
+                mask = np.bitwise_or.reduceat(np.uint64(1) << (place & 63).astype(np.uint64), first) if len(place) else place
+                yield pa.RecordBatch.from_arrays([pa.array(word, pa.int64()), pa.array(mask.view(np.int64), pa.int64())], ["word", "mask"])
+
+    texts = items.select("text")
+    n = texts.mapInArrow(lambda b: shingled(b, None), "n long").agg(F.sum("n")).collect()[0][0] or 1
+    bits = min(most, max(1 << 10, 1 << (16 * n - 1).bit_length()))
+    out = np.zeros(bits >> 6, np.uint64)
+    found = texts.mapInArrow(lambda b: shingled(b, bits), "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
+    out[found["word"].to_numpy()] = found["mask"].to_numpy().view(np.uint64)
+    return out
+
+
+def _may_share(bloom: Broadcast, k_words: int):
+    """Whether a text may have a shingle of the filter."""
+
+    @F.arrow_udf("boolean")
+    def may(texts: pa.Array) -> pa.Array:
+        out = [np.zeros(0, bool)]
+        for part in text_slices(pa.RecordBatch.from_arrays([texts], ["text"])):
+            h, doc, _ = shingles(*word_hashes(part.column("text")), k_words)
+            hit = np.ones(len(h), bool)
+            for place in _probes(h, len(bloom.value) << 6):
+                hit &= (bloom.value[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+            out.append(np.bincount(doc[hit], minlength=len(part)) > 0)
+        return pa.array(np.concatenate(out))
+
+    return may
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, k_words: int = K_WORDS,
                   block_items: int = BLOCK_ITEMS) -> DataFrame:
     """doc_id, item_id, first_word, n_words, hamming, similarity: the most
@@ -233,7 +295,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, threshold: float = THRE
         return scan
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = [texts.mapInArrow(pass_over(*x), schema) for x in _indexes(benchmark, k_words, block_items)]
+    items = _items(benchmark)
+    n, blocks = _n_blocks(items, block_items)
+    if blocks > 1:
+        texts = written(texts.where(_may_share(spark.sparkContext.broadcast(shingle_filter(items, k_words)), k_words)(F.col("text"))))
+    found = [texts.mapInArrow(pass_over(*x), schema) for x in _indexes(items, n, blocks, k_words)]
     return reduce(DataFrame.union, found) if found else spark.createDataFrame([], schema)
 
 
@@ -251,6 +317,12 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float =
             return pa.array(np.concatenate(out) if out else np.zeros(0, bool))
         return is_clean
 
-    for x in _indexes(benchmark, k_words, block_items):
+    items = _items(benchmark)
+    n, blocks = _n_blocks(items, block_items)
+    untouched = None
+    if blocks > 1:
+        may = _may_share(docs.sparkSession.sparkContext.broadcast(shingle_filter(items, k_words)), k_words)
+        untouched, docs = docs.where(~may(F.col("text"))), written(docs.where(may(F.col("text"))))
+    for x in _indexes(items, n, blocks, k_words):
         docs = docs.where(clean(*x)(F.col("text")))
-    return docs
+    return docs if untouched is None else untouched.union(docs)

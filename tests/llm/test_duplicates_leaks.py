@@ -220,3 +220,23 @@ def test_leaks_odd_rows(spark, odd, nothing):
     for docs, benchmark in ((nothing, items), (odd, items.where("false"))):
         assert decontaminate.contamination(docs, benchmark).count() == 0
     assert decontaminate.drop_contaminated(odd, items.where("false")).count() == odd.count()
+
+
+def test_filter_of_shingles_lets_all_documents_through_that_share_one(spark, make_docs):
+    import numpy as np
+    import pyarrow as pa
+
+    from cohortmx.llm.common import shingles, word_hashes
+
+    items = spark.createDataFrame([(i, prose(900 + i, 4 + 3 * i)) for i in range(30)] + [(50, "two words")], "item_id long, text string").repartition(3)
+    own = {int(h) for r in items.collect() for h in shingles(*word_hashes(pa.array([r.text])))[0]}
+    for most in (1 << 29, 1 << 12):
+        bloom = decontaminate.shingle_filter(items, most=most)
+        assert len(bloom) * 64 <= most
+        for place in decontaminate._probes(np.array(sorted(own), np.uint64), len(bloom) << 6):
+            assert (bloom[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1)).all()
+    texts = [prose(905, 19) + " and more", "two words", "two words more", prose(1, 50), "", None]
+    docs = make_docs(list(enumerate(texts)))
+    bloom = decontaminate.shingle_filter(items)
+    may = {r.doc_id for r in docs.where(decontaminate._may_share(spark.sparkContext.broadcast(bloom), 5)(docs["text"])).collect()}
+    assert {0, 1} <= may and not {4, 5} & may and may <= {0, 1, 2, 3}
