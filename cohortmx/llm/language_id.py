@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cohortmx.llm.common import fold, text_slices
+from cohortmx.llm.common import fold, text_slices, written
 
 PROFILE = 400
 MAX_LANGUAGES = 2_000      # bounds the profiles that are broadcast
@@ -145,8 +145,8 @@ def ngram_counts(docs: DataFrame) -> DataFrame:
 def profiles(docs: DataFrame, size: int = PROFILE) -> dict[str, np.ndarray]:
     """Each non-null lang's ``size`` most frequent n-grams, most frequent first
     (a language without any letter has none)."""
-    ranked = ngram_counts(docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())).withColumn(
-        "rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))).where(F.col("rank") <= size)
+    ranked = written(ngram_counts(docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())).withColumn(
+        "rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))).where(F.col("rank") <= size))
     languages = ranked.select("lang").distinct().limit(MAX_LANGUAGES + 1).count()
     if languages > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} values of lang")
