@@ -32,7 +32,7 @@ from ..operators.moments import array_width, mirror, moments
 from ..operators.normalise import BROADCAST_LIMIT, apply_zscore, zscore_params
 from ..operators.summarise import (attach_split, entry_stats, row_offsets, split_by_rank, split_by_threshold,
                                    subject_dim)
-from ..session import kept, materialize
+from ..session import clear_scratch, kept, materialize
 from ..sources import sinks
 
 
@@ -277,6 +277,7 @@ def main(argv: list[str] | None = None) -> None:
         print(f"rejected, {reason}: {n}")
     for pair, value in res.distances.items():
         print(f"{pair}: {value:.17g}")
+    clear_scratch(spark)
 
 
 if __name__ == "__main__":

@@ -104,7 +104,18 @@ def kept(df: DataFrame, key: str | None = None, sort: tuple[str, ...] = ()) -> D
     return df.sparkSession.read.parquet(path)
 
 
+_RUN = uuid.uuid4().hex     # of this driver's scratch folder
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder for written intermediate tables, under the checkpoint dir."""
     base = checkpoint_dir(spark)
-    return os.path.join(base, "tables", name)
+    return os.path.join(base, "tables", _RUN, name)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables that this driver has written.  Only once
+    no DataFrame made from them is needed any more."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(os.path.join(checkpoint_dir(spark), "tables", _RUN))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
