@@ -264,3 +264,27 @@ def test_profiles_are_ranked_counts(spark):
         assert counts == {code[g]: n for g, n in grams.items()}
     assert {k: v.tolist() for k, v in got.items()} == want
     assert np.array_equal(language_id.profiles(docs.repartition(1), 60)["x"], got["x"])
+
+
+# ------------------------------------------------------------------ op8
+
+@pytest.mark.parametrize("shards", [1, 2, 16, 32, 200])
+def test_jumps_by_hand(spark, shards):
+    """3,000 keys: the last jump below the number of shards, from the same draws."""
+    from cohortmx.llm import jump_shards
+
+    steps = 60
+    keys = spark.range(3000).select((F.col("id") * 7919 - 5000).alias("doc_id"))
+    drawn = keys.select("doc_id", F.array(*[F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(i)), 33) + 1 for i in range(1, steps + 1)]).alias("draws"),
+                        jump_shards.jump(F.col("doc_id"), shards).alias("jump"), jump_shards.jump(F.col("doc_id"), shards + 1)["b"].alias("more")).collect()
+    counts = collections.Counter()
+    for r in drawn:
+        b, j = -1, 0
+        for draw in r.draws:
+            if j >= shards:
+                break
+            b, j = j, math.floor((j + 1) * ((1 << 31) / draw))
+        assert j >= shards and (r.jump["b"], r.jump["j"]) == (b, j)
+        assert r.more == (shards if j == shards else b)          # one shard more takes only what comes to it
+        counts[b] += 1
+    assert len(counts) == shards and max(counts.values()) < 2 * 3000 / shards + 30
