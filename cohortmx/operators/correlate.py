@@ -29,13 +29,15 @@ def corr_from_moments(m: DataFrame, key, keep_n: bool = False, full: bool = True
     return mirror(up, keys, ["r", *extra]) if full else up
 
 
-def corr_matrix(df: DataFrame, key, x: str = "x", d: int | None = None, method: str = "auto", pairwise: bool = False) -> DataFrame:
+def corr_matrix(df: DataFrame, key, x: str = "x", d: int | None = None, method: str = "auto", pairwise: bool = False,
+                cluster: bool | int = False) -> DataFrame:
     """A1: Pearson correlation of the columns of ``x`` within each ``key`` group.
 
     ``pairwise``: ``x`` may hold NULLs, and r of a pair of columns is that of
-    the rows which have both values (NaN for fewer than two).
+    the rows which have both values (NaN for fewer than two).  ``cluster`` as
+    in :func:`.moments.moments`.
     """
-    m = pairwise_moments(df, key, x, d, method) if pairwise else moments(df, key, x, d, method)
+    m = (pairwise_moments if pairwise else moments)(df, key, x, d, method, cluster)
     return corr_from_moments(m, key)
 
 

@@ -96,9 +96,7 @@ def moments(df: DataFrame, key, x: str = "x", d: int | None = None, method: str
     d = d or array_width(df, x)
     df = df.withColumn(x, F.when(F.size(x) == d, F.col(x)).otherwise(
         F.raise_error(F.lit(f"a row of {x} does not hold {d} values"))))
-    if cluster:
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) if cluster is True else int(cluster)
-        df = df.repartitionByRange(n, *[F.col(k) for k in keys], F.xxhash64(F.col(x)))
+    df = _clustered(df, keys, x, cluster)
     if method == "auto":
         method = "wide" if d <= WIDE_MAX_D else "chunks" if d <= CHUNK_MAX_D else "tiles"
     if method == "wide":
@@ -112,6 +110,13 @@ def moments(df: DataFrame, key, x: str = "x", d: int | None = None, method: str
     raise ValueError(f"unknown method {method!r}")
 
 
+def _clustered(df: DataFrame, keys: list[str], x: str, cluster: bool | int) -> DataFrame:
+    if not cluster:
+        return df
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) if cluster is True else int(cluster)
+    return df.repartitionByRange(n, *[F.col(k) for k in keys], F.xxhash64(F.col(x)))
+
+
 # ---------------------------------------------------------------- wide form
 
 def _wide_moments(df: DataFrame, keys: list[str], x: str, d: int) -> DataFrame:
@@ -210,7 +215,8 @@ def _tile_moments(df: DataFrame, keys: list[str], x: str, d: int, tile: int | No
 
 # ---------------------------------------------------------------- pairwise complete
 
-def pairwise_moments(df: DataFrame, key, x: str = "x", d: int | None = None, method: str = "auto") -> DataFrame:
+def pairwise_moments(df: DataFrame, key, x: str = "x", d: int | None = None, method: str = "auto",
+                     cluster: bool | int = False) -> DataFrame:
     """The moments table for rows with gaps: every pair (i, j) over the rows
     that have both values, so ``n``, the means, variances and constant flags
     are those of these rows and differ from pair to pair.
@@ -218,12 +224,15 @@ def pairwise_moments(df: DataFrame, key, x: str = "x", d: int | None = None, met
     A gap is a NULL in ``x`` (or a NULL ``x``); NaN is a value and spreads.  A
     pair that no row has both values of is there with n = 0.  Forms as in
     :func:`moments`: ``wide`` up to PAIRWISE_WIDE_MAX_D regions, ``pairs``,
-    ``chunks``.  A row of another length than ``d`` raises.
+    ``chunks``.  A row of another length than ``d`` raises.  ``cluster`` as
+    there: a state here is 5 d^2 doubles, as large as some 5 d rows, so keys
+    that lie scattered in smaller runs make more states than there are rows.
     """
     keys = _keys(key)
     d = d or array_width(df, x)
     df = df.withColumn(x, F.when(F.col(x).isNull() | (F.size(x) == d), F.col(x)).otherwise(
         F.raise_error(F.lit(f"a row of {x} does not hold {d} values"))))
+    df = _clustered(df, keys, x, cluster)
     if method == "auto":
         method = "wide" if d <= PAIRWISE_WIDE_MAX_D else "chunks"
     if method == "wide":

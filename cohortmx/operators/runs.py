@@ -76,13 +76,11 @@ class Pairwise:
         full = np.maximum(n, 1.0)
         mean = sums / full                                     # of i over the rows that have j
         q = np.maximum(squares - sums * mean, 0.0)
-        low, high = np.full((self.d, self.d), np.inf), np.full((self.d, self.d), -np.inf)
+        low, high = np.empty((self.d, self.d)), np.empty((self.d, self.d))
+        has, up, down = (np.ascontiguousarray(v.T) for v in (ok, np.where(ok, x, np.inf), np.where(ok, x, -np.inf)))
         for j in range(self.d):
-            own = x[ok[:, j]]
-            if len(own):
-                has = ok[ok[:, j]]
-                low[:, j] = np.where(has, own, np.inf).min(axis=0)
-                high[:, j] = np.where(has, own, -np.inf).max(axis=0)
+            low[:, j] = np.where(has[j], up, np.inf).min(axis=1)
+            high[:, j] = np.where(has[j], down, -np.inf).max(axis=1)
         at = mean + shift[:, None]
         return {"n": n[iu, ju], "mi": at[iu, ju], "mj": at[ju, iu], "c": (products - sums * sums.T / full)[iu, ju], "qi": q[iu, ju], "qj": q[ju, iu],
                 "mni": low[iu, ju], "mxi": high[iu, ju], "mnj": low[ju, iu], "mxj": high[ju, iu]}

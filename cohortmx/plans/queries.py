@@ -287,7 +287,8 @@ def q_ug_full_rank_rows(spark, sf):
 
 
 def _wide_corr(spark, sf):
-    m = moments(lineitem_wide_measurement(spark, sf, mirrored=True), "subject_id", d=D_WIDE)
+    # a supplier's rows lie all over the table
+    m = moments(lineitem_wide_measurement(spark, sf, mirrored=True), "subject_id", d=D_WIDE, cluster=True)
     return corr_from_moments(m, "subject_id")
 
 
@@ -320,7 +321,7 @@ def q_subject_corr_pairwise(spark, sf):
 
 def q_subject_corr_pairwise_d15(spark, sf):
     """The same at 17 regions, in Arrow chunks; NULL stands for an undefined r."""
-    r = corr_matrix(lineitem_with_gaps(spark, sf, wide=True), "subject_id", d=D_WIDE, pairwise=True)
+    r = corr_matrix(lineitem_with_gaps(spark, sf, wide=True), "subject_id", d=D_WIDE, pairwise=True, cluster=True)
     return r.select("subject_id", "i", "j", F.when(~F.isnan("r"), fixed(F.col("r"), R6)).alias("r"))
 
 
