@@ -81,15 +81,21 @@ def write_matrix_dir(meas: DataFrame, path: str, width: int, id_digits: int = 6,
     """The inverse of ``read_matrix_dir``: rows as space-separated text under
     ``path/sub=NNNNNN/``, line order = ``row_idx`` within each file.
 
-    Ids are padded to ``id_digits``, longer ones written whole.  By default rows are written where they are (no shuffle): a subject
-    spread over several tasks gets several files in its folder, each
-    numbered from 0.  ``one_file_per_subject`` reproduces the one-file
-    layout with a hash shuffle by subject (each subject's rows then go
+    Ids are padded to ``id_digits``, longer ones written whole.  By default rows
+    are range-partitioned by subject, then ``row_idx`` (without one: the row's
+    hash), so there are at most subjects + partitions files however scattered
+    the rows lie: a subject that several partitions share gets several files in
+    its folder, each numbered from 0.  ``one_file_per_subject`` reproduces the
+    one-file layout with a hash shuffle by subject (each subject's rows then go
     through one task, as that format requires).  Doubles are written in
     Spark's shortest round-trip form.
     """
     if one_file_per_subject:
         meas = meas.repartition(F.col("subject_id"))
+    else:
+        # a file costs more than its rows: as many tasks as there may be, not few by their bytes
+        n = int(meas.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        meas = meas.repartitionByRange(n, F.col("subject_id"), F.col("row_idx") if "row_idx" in meas.columns else F.xxhash64("x"))
     line = F.concat_ws(" ", *[F.col("x")[k].cast("string") for k in range(width)])
     order = ["sub", "row_idx"] if "row_idx" in meas.columns else ["sub"]
     out = meas.select(F.lpad(F.col("subject_id").cast("string"),

@@ -13,6 +13,8 @@ good rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -82,6 +84,22 @@ def split_file_lines(spark: SparkSession, path: str, glob: str = "sub*.txt", rec
     return placed.withColumn("row_idx", same.cast("int")).where(F.col("row_idx") <= F.col("_end")).select("file_name", "file_path", "row_idx", "line")
 
 
+@contextmanager
+def _listing(spark: SparkSession) -> Iterator[None]:
+    """Folders are listed by as many tasks as there are shuffle partitions:
+    by default by one task each, up to 10,000, that take longer to start than to run."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    was = spark.conf.get(name, None)
+    spark.conf.set(name, spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        yield
+    finally:
+        if was is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, was)
+
+
 def _lines(spark: SparkSession, path: str, glob: str, recursive: bool, by_line: bool | str = False) -> DataFrame:
     if by_line == "auto":
         largest = _reader(spark, glob, recursive).format("binaryFile").load(path).agg(F.max("length")).first()[0]
@@ -121,8 +139,11 @@ def read_matrix_dir(spark: SparkSession, path: str, glob: str = "sub*.txt", id_r
     than WHOLE_BYTES.  Two files whose names give one id raise.
     """
     if id_from == "file_name":
-        _refuse_shared_ids(spark, path, glob, recursive, _subject_id(id_regex, id_from, id_slice))
-    return parse_lines(_lines(spark, path, glob, recursive, by_line), path, glob, width, id_regex, id_from, id_slice, strict, gaps)
+        with _listing(spark):
+            _refuse_shared_ids(spark, path, glob, recursive, _subject_id(id_regex, id_from, id_slice))
+    with _listing(spark):
+        lines = _lines(spark, path, glob, recursive, by_line)
+    return parse_lines(lines, path, glob, width, id_regex, id_from, id_slice, strict, gaps)
 
 
 def _subject_id(id_regex: str, id_from: str, id_slice: tuple[int, int] | None):
